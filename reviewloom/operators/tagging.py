@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,11 +79,12 @@ def tag_reviews(
     rating: str = "Rating",
     vector: str | None = None,
     forms: dict[str, str] | None = None,
+    withdraw: Callable[[Column, Column], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """One row per review: key, status, error, five tag arrays and the keyword bag.
 
     ``centroids`` maps a family to (sub, vector) pairs in label order; without it, or without a vector
-    column, only rules apply. Blank text gets no tags and an empty keyword bag and counts as processed.
+    column, only rules apply. ``withdraw`` replaces the friction withdrawal rules. Blank text gets no tags and an empty keyword bag and counts as processed.
     """
     rules = tax.starter_rules() if rules is None else rules
     centroids = centroids if centroids and vector else {}
@@ -94,7 +97,7 @@ def tag_reviews(
         F.col(rating).alias("_rating"),
         (F.col(vector) if vector else F.lit(None).cast("array<float>")).alias("_vector"),
     )
-    unless = {"friction": withdrawal_rules(body, stars)}
+    unless = {"friction": (withdraw or withdrawal_rules)(body, stars)}
     # one projection per family keeps each generated method small
     hits = base
     for family in ("scene", "friction", "motivation"):

@@ -12,10 +12,11 @@ from reviewloom.schemas import FEATURE_TABLES
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, database: str = "default"):
+    def __init__(self, spark: SparkSession, database: str = "default", location: str | None = None):
         self.spark = spark
         self.database = database
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        place = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
