@@ -19,6 +19,8 @@ class Warehouse:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
     def table(self, name: str) -> DataFrame:
+        # another session (a stream has its own) may have added files since this one listed them
+        self.spark.catalog.refreshTable(f"{self.database}.{name}")
         return self.spark.table(f"{self.database}.{name}")
 
     def exists(self, name: str) -> bool:
