@@ -144,7 +144,7 @@ def tags(family: str, extra: dict[str, str] | None = None) -> str:
     return " UNION ALL ".join(
         f"SELECT doc_id, n_chars, '{main}' AS main, '{sub}' AS sub FROM documents "
         f"WHERE trim(text) <> '' AND {found(pattern)} {extra.get(sub, '')}"
-        for main, sub, pattern in label_patterns(small.RULES, family)
+        for main, sub, pattern, _ in label_patterns(small.RULES, family)
     )
 
 
@@ -577,7 +577,7 @@ def build() -> dict[str, str]:
         f"SELECT '{n}', CAST(0 AS BIGINT)" for n in names
     )
     merged = " UNION ALL ".join(
-        f"SELECT Review_ID, '{sub}' AS sub FROM one WHERE trim(Clean_Text) <> '' AND {found(pattern, 'Clean_Text')}" for _, sub, pattern in label_patterns(small.RULES, "scene")
+        f"SELECT Review_ID, '{sub}' AS sub FROM one WHERE trim(Clean_Text) <> '' AND {found(pattern, 'Clean_Text')}" for _, sub, pattern, _ in label_patterns(small.RULES, "scene")
     )
     o["tag_status"] = sql(
         f"""SELECT CAST(o.Review_ID AS VARCHAR) AS Review_ID, 'v2' AS Model_Version, 'SUCCESS' AS Processing_Status, coalesce(n, 0) AS scenes

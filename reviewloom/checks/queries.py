@@ -239,7 +239,8 @@ def month_windows(spark, folder):
 
 
 def market(spark: SparkSession, folder: str, **filters: Column) -> Market:
-    return Market(s.listing(spark, folder), filters)
+    """The listing table is stored once, as an import would; measures pass over it several times."""
+    return Market(materialise(s.listing(spark, folder), "listing"), filters)
 
 
 @query
@@ -350,7 +351,7 @@ def region_pattern(spark, folder):
 
 @query
 def clean_html_text(spark, folder):
-    return s.read(spark, folder, "pages").select("page_id", text.clean_text(F.col("html")).alias("clean_text"))
+    return s.read_spread(spark, folder, "pages", "page_id").select("page_id", text.clean_text(F.col("html")).alias("clean_text"))
 
 
 @query
@@ -470,7 +471,7 @@ def listing_prep(spark, folder):
 
 @query
 def keyword_bag(spark, folder):
-    return s.read(spark, folder, "documents").select("doc_id", keywords.keyword_bag(F.col("text"), forms={"lytion": "ly"}).alias("keywords"))
+    return s.read_spread(spark, folder, "documents", "doc_id").select("doc_id", keywords.keyword_bag(F.col("text"), forms={"lytion": "ly"}).alias("keywords"))
 
 
 @query
@@ -483,7 +484,7 @@ def keyword_top150(spark, folder):
 
 
 def tagged_documents(spark: SparkSession, folder: str) -> DataFrame:
-    docs = s.read(spark, folder, "documents")
+    docs = s.read_spread(spark, folder, "documents", "doc_id")
     stars = F.pmod("n_chars", F.lit(6))
     rated = docs.select(F.col("doc_id").alias("Review_ID"), F.col("text").alias("Clean_Text"), F.when(stars > 0, stars).alias("Rating"))
     return tagging.tag_reviews(rated, small.RULES, withdraw=small.withdraw)
@@ -576,7 +577,7 @@ def centroid_fallback(spark, folder):
 def rules_then_centroids(spark, folder):
     """Documents with vectors: a scene by rule, else by centroid."""
     labels = vectors.load_centroids(label_centroids(spark, folder), "label")
-    docs = s.read(spark, folder, "documents").select(F.col("doc_id").alias("Review_ID"), F.col("text").alias("Clean_Text"), F.lit(None).cast("bigint").alias("Rating"))
+    docs = s.read_spread(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("Review_ID"), F.col("text").alias("Clean_Text"), F.lit(None).cast("bigint").alias("Rating"))
     vecs = s.read(spark, folder, "embeddings").select(F.col("vec_id").alias("Review_ID"), "embedding")
     rules = [r for r in small.RULES if r.family == "scene"]
     tagged = tagging.tag_reviews(docs.join(vecs, "Review_ID"), rules, {"scene": labels}, vector="embedding")
@@ -674,7 +675,7 @@ def safe_ratios(spark, folder):
 
 def write_landing(spark: SparkSession, folder: str, path: str) -> None:
     """Documents as landing files: full ones, ones without the optional columns, ones without a link."""
-    docs = s.read(spark, folder, "documents")
+    docs = s.read_spread(spark, folder, "documents", "doc_id")
     link = F.concat(F.lit("https://h/customer-reviews/R"), F.col("doc_id").cast("string"), F.lit("/ref=cm"))
     base = [F.col("source").alias("Title"), F.col("text").alias("Content"), link.alias("URL"), F.pmod("n_chars", F.lit(7)).cast("string").alias("Rating")]
     extra = [

@@ -14,25 +14,29 @@ def word(*words: str) -> str:
     return r"(?:^|[^\p{L}\p{N}_])(?:" + "|".join(words) + r")(?:$|[^\p{L}\p{N}_])"
 
 
+def of(family: str, main: str, sub: str, order: int, *words: str) -> Rule:
+    return Rule(family, main, sub, order, word(*words), words)
+
+
 RULES = [
-    Rule("scene", "English", "the_of", 0, word("the of", "of the")),
-    Rule("scene", "English", "with_that", 1, word("with that", "that with")),
-    Rule("scene", "English", "with_that", 1, word("with it")),
-    Rule("scene", "French", "les_des", 2, word("les des", "des les")),
-    Rule("scene", "German", "der_und", 3, word("der und", "und der")),
-    Rule("scene", "Spanish", "que_los", 4, word("que los", "los que")),
-    Rule("friction", "Legal", "License", 0, word("license", "copyright")),
-    Rule("friction", "Legal", "Rights", 1, word("rights", "warranty")),
+    of("scene", "English", "the_of", 0, "the of", "of the"),
+    of("scene", "English", "with_that", 1, "with that", "that with"),
+    of("scene", "English", "with_that", 1, "with it"),
+    of("scene", "French", "les_des", 2, "les des", "des les"),
+    of("scene", "German", "der_und", 3, "der und", "und der"),
+    of("scene", "Spanish", "que_los", 4, "que los", "los que"),
+    of("friction", "Legal", "License", 0, "license", "copyright"),
+    of("friction", "Legal", "Rights", 1, "rights", "warranty"),
     Rule("friction", "Noise", "Numbers", 2, r"[0-9]{4}"),
     Rule("friction", "Noise", "Symbols", 3, r"[#*%]{3}"),
-    Rule("friction", "Tone", "Disappointment", 4, word("was", "no")),
-    Rule("motivation", "Short", "is_it", 0, word("is it", "it is")),
-    Rule("motivation", "Short", "for_as", 1, word("for as", "as for")),
-    Rule("motivation", "Long", "from_this", 2, word("from this", "this from")),
-    Rule("time", "Early", "Early", 0, word("at the", "by the")),
-    Rule("time", "Late", "Late", 1, word("on the")),
-    Rule("location", "Inside", "Inside", 0, word("in the", "into")),
-    Rule("location", "Outside", "Outside", 1, word("out", "from the")),
+    of("friction", "Tone", "Disappointment", 4, "was", "no"),
+    of("motivation", "Short", "is_it", 0, "is it", "it is"),
+    of("motivation", "Short", "for_as", 1, "for as", "as for"),
+    of("motivation", "Long", "from_this", 2, "from this", "this from"),
+    of("time", "Early", "Early", 0, "at the", "by the"),
+    of("time", "Late", "Late", 1, "on the"),
+    of("location", "Inside", "Inside", 0, "in the", "into"),
+    of("location", "Outside", "Outside", 1, "out", "from the"),
 ]
 
 WITHDRAW_LICENSE = word("free", "under")

@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewloom.functions.scalars import price_band
 from reviewloom.plans.model import ReviewModel
+from reviewloom.session import spread
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A provided table; its schema is looked up once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def read_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A provided table in front of work on its texts."""
+    return spread(read(spark, folder, name), key)
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,7 +157,7 @@ def model(spark: SparkSession, folder: str) -> ReviewModel:
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as raw reviews: three copies per review id, every sixth rating missing."""
     stars = F.pmod("n_chars", F.lit(6))
-    return read(spark, folder, "documents").select(
+    return read_spread(spark, folder, "documents", "doc_id").select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("Review_Key"),
         (F.col("doc_id") - F.pmod("doc_id", F.lit(3))).alias("Review_ID"),
         F.col("source").alias("ASIN"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +25,44 @@ def found(text: Column, pattern: str) -> Column:
     return text.rlike(FLAGS + pattern)
 
 
-def label_patterns(rules: list[tax.Rule], family: str) -> list[tuple[str, str, str]]:
-    """(main, sub, pattern) per label in test order; a label's patterns become one alternation."""
-    grouped: dict[tuple[int, str, str], list[str]] = {}
+class Label(NamedTuple):
+    """One label of a family: its patterns as one alternation, and words without which none can match."""
+
+    main: str
+    sub: str
+    pattern: str
+    hints: tuple[str, ...]
+
+
+def label_patterns(rules: list[tax.Rule], family: str) -> list[Label]:
+    """The labels of a family in test order."""
+    grouped: dict[tuple[int, str, str], list[tax.Rule]] = {}
     for r in sorted((r for r in rules if r.family == family), key=lambda r: r.ord):
-        grouped.setdefault((r.ord, r.main, r.sub), []).append(r.pattern)
-    return [(main, sub, "|".join(f"(?:{p})" for p in ps)) for (_, main, sub), ps in grouped.items()]
+        grouped.setdefault((r.ord, r.main, r.sub), []).append(r)
+    labels = []
+    for (_, main, sub), members in grouped.items():
+        hints = tuple(h for r in members for h in r.hints) if all(r.hints for r in members) else ()
+        labels.append(Label(main, sub, "|".join(f"(?:{r.pattern})" for r in members), hints))
+    return labels
+
+
+# Non-ASCII letters that the case rules of the patterns treat as ASCII ones.
+FOLD_FROM, FOLD_TO = "İıſ\u212a", "iisk"
+
+
+def folded(text: Column) -> Column:
+    """Text in the form that hints are searched in."""
+    return F.lower(F.translate(text, FOLD_FROM, FOLD_TO))
+
+
+def label_found(label: Label, text: Column, plain: Column) -> Column:
+    """Whether the label's pattern occurs. A substring search per hint decides most texts."""
+    hit = found(text, label.pattern)
+    if not label.hints:
+        return hit
+    fold = str.maketrans(FOLD_FROM, FOLD_TO)
+    likely = [F.contains(plain, F.lit(h.translate(fold).lower())) for h in label.hints]
+    return reduce(lambda a, b: a | b, likely) & hit
 
 
 def withdrawal_rules(text: Column, rating: Column) -> dict[str, Column]:
@@ -46,28 +80,28 @@ def withdrawal_rules(text: Column, rating: Column) -> dict[str, Column]:
     }
 
 
-def rule_hits(text: Column, labels: list[tuple[str, str, str]], unless: dict[str, Column] | None = None) -> Column:
+def rule_hits(text: Column, plain: Column, labels: list[Label], unless: dict[str, Column] | None = None) -> Column:
     """Sorted array of (sub, main) whose pattern is found and not withdrawn.
 
     The withdrawal test stands behind the hit test, so it runs only on rows that hit.
     """
     unless = unless or {}
     tags = []
-    for main, sub, pattern in labels:
-        hit = found(text, pattern)
-        if sub in unless:
-            hit = hit & ~unless[sub]
-        tags.append(F.when(hit, F.struct(F.lit(sub).alias("sub"), F.lit(main).alias("main"))))
+    for label in labels:
+        hit = label_found(label, text, plain)
+        if label.sub in unless:
+            hit = hit & ~unless[label.sub]
+        tags.append(F.when(hit, F.struct(F.lit(label.sub).alias("sub"), F.lit(label.main).alias("main"))))
     if not tags:
         return F.array().cast(SCENE_TAGS)
     return F.array_sort(F.array_compact(F.array(*tags)))
 
 
-def plain_hits(text: Column, labels: list[tuple[str, str, str]]) -> Column:
+def plain_hits(text: Column, plain: Column, labels: list[Label]) -> Column:
     """Labels found, in test order (times and places)."""
     if not labels:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(found(text, p), F.lit(sub)) for _, sub, p in labels]))
+    return F.array_compact(F.array(*[F.when(label_found(x, text, plain), F.lit(x.sub)) for x in labels]))
 
 
 def tag_reviews(
@@ -88,22 +122,22 @@ def tag_reviews(
     """
     rules = tax.starter_rules() if rules is None else rules
     centroids = centroids if centroids and vector else {}
-    main_of = {f: {sub: main for main, sub, _ in label_patterns(rules, f)} for f in tax.FAMILIES}
+    main_of = {f: {x.sub: x.main for x in label_patterns(rules, f)} for f in tax.FAMILIES}
 
-    body, stars = F.col("_text"), F.col("_rating")
+    body, plain, stars = F.col("_text"), F.col("_plain"), F.col("_rating")
     base = reviews.select(
         key,
         F.trim(F.coalesce(F.col(text), F.lit(""))).alias("_text"),
         F.col(rating).alias("_rating"),
         (F.col(vector) if vector else F.lit(None).cast("array<float>")).alias("_vector"),
-    )
+    ).withColumn("_plain", folded(body))
     unless = {"friction": (withdraw or withdrawal_rules)(body, stars)}
     # one projection per family keeps each generated method small
     hits = base
     for family in ("scene", "friction", "motivation"):
-        hits = hits.withColumn(f"_{family}", rule_hits(body, label_patterns(rules, family), unless.get(family)))
+        hits = hits.withColumn(f"_{family}", rule_hits(body, plain, label_patterns(rules, family), unless.get(family)))
     for family in ("time", "location"):
-        hits = hits.withColumn(f"_{family}", plain_hits(body, label_patterns(rules, family)))
+        hits = hits.withColumn(f"_{family}", plain_hits(body, plain, label_patterns(rules, family)))
 
     blank = body == ""
     excluded = {"motivation": tax.NO_FALLBACK}
@@ -178,21 +212,25 @@ def bridges(tagged: DataFrame, key: str = "Review_ID") -> dict[str, DataFrame]:
     """The five long tables of a tagged frame; failed reviews have no rows."""
     done = tagged.where(F.col("status") == "SUCCESS")
 
+    def rows(column: str) -> DataFrame:
+        # a plain explode would copy the tag expressions into a filter in front and run every pattern twice
+        return done.select(key, F.explode_outer(column).alias("t")).where(F.col("t").isNotNull())
+
     def scored(column: str, prefix: str) -> DataFrame:
         tag = F.col("t")
-        return done.select(key, F.explode(column).alias("t")).select(
+        return rows(column).select(
             key,
             *[tag[f].alias(f"{prefix}_{f.capitalize()}") for f in ("main", "sub", "source", "score", "margin")],
         )
 
     return {
-        "scene_bridge": done.select(key, F.explode("scenes").alias("t")).select(
+        "scene_bridge": rows("scenes").select(
             key, F.col("t")["main"].alias("Main_Scene"), F.col("t")["sub"].alias("Sub_Scene")
         ),
         "friction_bridge": scored("frictions", "Friction"),
         "motivation_bridge": scored("motivations", "Motivation"),
-        "time_bridge": done.select(key, F.explode("times").alias("Time_of_Day")),
-        "location_bridge": done.select(key, F.explode("locations").alias("Location")),
+        "time_bridge": rows("times").select(key, F.col("t").alias("Time_of_Day")),
+        "location_bridge": rows("locations").select(key, F.col("t").alias("Location")),
     }
 
 

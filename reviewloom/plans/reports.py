@@ -51,7 +51,9 @@ def keyword_frequency(bags: DataFrame, key: str, words: str, limit: int = KEYWOR
     Repeats within a review are merged by (word, review) before words meet, so a word that is in a third
     of all reviews is counted by many tasks.
     """
-    per_review = bags.select(key, F.explode(words).alias("word")).groupBy("word", key).agg(F.count(F.lit(1)).alias("n"))
+    # an outer explode keeps the word expression from being copied into a filter in front of it
+    exploded = bags.select(key, F.explode_outer(words).alias("word")).where(F.col("word").isNotNull())
+    per_review = exploded.groupBy("word", key).agg(F.count(F.lit(1)).alias("n"))
     counts = per_review.groupBy("word").agg(F.count(F.lit(1)).alias("reviews"), F.sum("n").alias("terms"))
     return top_groups(counts, "reviews", limit, "word")
 

@@ -73,3 +73,13 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint behind a row count; a larger frame is returned unhinted for a shuffled join."""
     return F.broadcast(df) if has_at_most(df, rows) else df
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan that has fewer splits than there are cores, hashed over the cores by ``key``.
+
+    Meant in front of work that costs far more than moving the row, such as pattern matching. A scan of
+    many files is returned as it is, so large inputs are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
