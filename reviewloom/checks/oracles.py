@@ -397,6 +397,9 @@ def build() -> dict[str, str]:
         FROM pb ORDER BY monthly_revenue DESC, brand LIMIT 15""",
         "listing", extra=priced,
     )
+    o["top15_brand_listings"] = sql(
+        "SELECT asin, brand, price_band FROM listing WHERE brand IN (SELECT brand FROM brands ORDER BY monthly_revenue DESC, brand LIMIT 15)", "brands"
+    )
     o["top_brand_flags"] = sql(
         f"SELECT brand, CAST({TOP_UNITS} AS INT) AS is_top_brand_units, CAST({TOP_REVENUE} AS INT) AS is_top_brand_revenue, rr AS revenue_rank FROM ranked",
         "brands", extra=RUNNING,

@@ -263,6 +263,15 @@ def pareto_combo(spark, folder):
     return rounded(top_groups(brands, "monthly_revenue", 15, "brand"))
 
 
+@query
+def top15_brand_listings(spark, folder):
+    """All listings of the 15 brands with the greatest revenue."""
+    listed = market(spark, folder)
+    brands = two_level(listed.rows(), ["brand"]).select("brand", "monthly_revenue")
+    top = top_groups(brands, "monthly_revenue", 15, "brand")
+    return keys.restrict(listed.rows(), top, "brand").select("asin", "brand", "price_band")
+
+
 @query
 def top_brand_flags(spark, folder):
     names = ["is_top_brand_units", "is_top_brand_revenue", "revenue_rank"]

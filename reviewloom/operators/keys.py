@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A key with more rows than this part of the table is handled on its own.
+HOT_SHARE = 1 / 200
+
 
 def any_value(rows: DataFrame, key: str, columns: dict[str, str], order: str) -> DataFrame:
     """One row per key; each output column takes its first non-null value in (order, value) order.
@@ -41,13 +44,37 @@ def replace_by_key(target: DataFrame, rows: DataFrame, keys: DataFrame, key: str
 
 
 def restrict(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Keep the rows whose key is in the id set."""
-    return rows.join(ids.select(key), key, "left_semi")
+    """Keep the rows whose key is in the id set.
+
+    Ids are made distinct first: that merges copies of a frequent id before the shuffle, and the join
+    then uses the same partitioning.
+    """
+    return rows.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def intersect_ids(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Set intersection of two id columns."""
-    return left.select(key).distinct().join(right.select(key), key, "left_semi")
+    return restrict(left.select(key).distinct(), right, key)
+
+
+def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold more than ``share`` of all rows; there can be no more than 1/share of them."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    return [r[0] for r in counts.where(F.col("n") > total * share).select(key).collect()]
+
+
+def join_split(many: DataFrame, unique: DataFrame, key: str, hot: list) -> DataFrame:
+    """Inner join of a table with repeated keys to one that is (nearly) unique by key.
+
+    Rows of the given hot keys meet a broadcast of their few counterparts where they are, all other rows
+    are joined as usual. The tests on literal keys reach the scans of both sides.
+    """
+    if not hot:
+        return many.join(unique, key)
+    is_hot = F.col(key).isin(hot)
+    rest = many.where(~is_hot).join(unique.where(~is_hot), key)
+    return rest.unionByName(many.where(is_hot).join(F.broadcast(unique.where(is_hot)), key))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.dates import month_start
+from reviewloom.operators.keys import hot_keys, join_split, restrict
+from reviewloom.session import BROADCAST_ROWS, has_at_most
 
 LABELLED = ("scene", "friction", "motivation")
 SINGLE = ("time", "location")
@@ -45,6 +47,7 @@ class ReviewModel:
     location: DataFrame
     product_review: DataFrame | None = None
     product: DataFrame | None = None
+    _hot: dict[str, list] = field(default_factory=dict, repr=False, compare=False)
 
     def bridge(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -57,12 +60,9 @@ class ReviewModel:
             out = replace(out, reviews=out.reviews.where(reviews))
         if products is not None:
             chosen = out.product.where(products)
-            links = out.product_review.join(chosen.select("asin"), "asin", "left_semi")
+            links = restrict(out.product_review, chosen, "asin")
             out = replace(
-                out,
-                product=chosen,
-                product_review=links,
-                reviews=out.reviews.join(links.select("review_id"), "review_id", "left_semi"),
+                out, product=chosen, product_review=links, reviews=restrict(out.reviews, links, "review_id"), _hot={}
             )
         return replace(out, **{name: out.bridge(name).where(cond) for name, cond in bridges.items()})
 
@@ -76,10 +76,23 @@ class ReviewModel:
         whole_key = {"label"} if bridge in SINGLE else {"main", "sub"}
         return rows if whole_key <= set(source.values()) else rows.distinct()
 
+    def hot(self, key: str) -> list:
+        """Products or reviews with a large part of all links, looked up once per model."""
+        if key not in self._hot:
+            self._hot[key] = hot_keys(self.product_review, key)
+        return self._hot[key]
+
     def products(self, columns: list[str]) -> DataFrame:
         """Distinct (review_id, product columns); reviews and products are many to many."""
+        if columns == ["asin"]:
+            known = restrict(self.product_review, self.product, "asin")
+            return known.select("review_id", "asin").distinct()
         wanted = self.product.select("asin", *[c for c in columns if c != "asin"])
-        return self.product_review.join(wanted, "asin").select("review_id", *columns).distinct()
+        if has_at_most(wanted, BROADCAST_ROWS):
+            linked = self.product_review.join(F.broadcast(wanted), "asin")
+        else:
+            linked = join_split(self.product_review, wanted, "asin", self.hot("asin"))
+        return linked.select("review_id", *columns).distinct()
 
     def scoped(self, bridges: tuple[str, ...], by: list[str]) -> DataFrame:
         """One row per (group, review): reviews that every named bridge holds, under the grouping columns."""
@@ -94,8 +107,9 @@ class ReviewModel:
             if columns:
                 rows = rows.join(self.labels(name, columns), "review_id")
             else:
-                rows = rows.join(self.ids(name), "review_id", "left_semi")
+                rows = restrict(rows, self.ids(name), "review_id")
         columns = [c for c in by if OWNERS[c][0] == "product"]
         if columns:
-            rows = rows.join(self.products(columns), "review_id")
+            # a review id that many products share has many links but few rows here
+            rows = join_split(self.products(columns), rows, "review_id", self.hot("review_id"))
         return rows

@@ -36,7 +36,7 @@ def ingest(
 
     def load(batch: DataFrame, _: int) -> None:
         # a batch that is run again after a failure adds only the files that are not in the table yet
-        loaded = warehouse.table("review_raw").select("Source_File")
+        loaded = warehouse.table("review_raw").select("Source_File").distinct()
         fresh = batch.where(F.col("URL").isNotNull()).join(loaded, "Source_File", "left_anti")
         warehouse.append("review_raw", to_review_raw(fresh))
         run_tagging(warehouse, tagger)
