@@ -1,0 +1,194 @@
+import json
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reviewloom.operators import encode
+from reviewloom.plans import dims, pipeline
+from reviewloom.schemas import BRIDGES, FEATURE_TABLES
+from reviewloom.streaming.ingest import ingest
+
+URL = "https://h/gp/customer-reviews/{}/ref=cm"
+TEXTS = {
+    "r1": "The mask gets too hot.",
+    "r2": "Poor quality plastic, used at home in the morning.",
+    "r3": "Relaxing at home.",
+    "r4": "Bought this for my back pain.",
+    "r5": None,
+}
+
+
+def raw(spark, extra=()):
+    data = [(f"A_{k}", k, "A", 3, v, 1) for k, v in TEXTS.items()] + list(extra)
+    return spark.createDataFrame(data, "Review_Key string, Review_ID string, ASIN string, Rating bigint, Clean_Text string, Helpful_Votes bigint").withColumn("Review_Date", F.lit("2024-01-01").cast("date"))
+
+
+def status(spark):
+    data = [("r1", "SUCCESS", "v1"), ("r2", "FAILED", "v1"), ("r3", "SUCCESS", "v0")]
+    return spark.createDataFrame(data, "Review_ID string, Processing_Status string, Model_Version string").select(
+        "Review_ID", "Model_Version", F.lit("2024-01-01").cast("timestamp").alias("Processed_Time"), "Processing_Status", F.lit(None).cast("string").alias("Error_Message")
+    )
+
+
+def content(house):
+    tables = {}
+    for name in FEATURE_TABLES:
+        df = house.table(name)
+        tables[name] = sorted(map(str, df.drop("Processed_Time").collect()))
+    return tables
+
+
+@pytest.fixture
+def house(spark, warehouse):
+    warehouse.overwrite("review_raw", raw(spark))
+    warehouse.overwrite("review_processing", status(spark), FEATURE_TABLES["review_processing"])
+    old = spark.createDataFrame([("r1", "Old", "old"), ("r3", "Old", "old")], "Review_ID string, Main_Scene string, Sub_Scene string")
+    warehouse.append("scene_bridge", old)
+    return warehouse
+
+
+def test_unprocessed(spark):
+    todo = pipeline.unprocessed(raw(spark, [("B_r4", "r4", "B", 1, "other text", 1)]), status(spark), "v1").orderBy("Review_ID").collect()
+    assert [r["Review_ID"] for r in todo] == ["r2", "r3", "r4"]
+    assert todo[2]["Clean_Text"] == TEXTS["r4"]
+
+
+def test_run_updates_only_what_it_processed(spark, house):
+    summary = pipeline.run_tagging(house, pipeline.Tagger("v1")).first()
+    assert (summary["reviews"], summary["success"], summary["failed"]) == (3, 3, 0)
+    state = {r["Review_ID"]: (r["Model_Version"], r["Processing_Status"]) for r in house.table("review_processing").collect()}
+    assert state == {k: ("v1", "SUCCESS") for k in ("r1", "r2", "r3", "r4")}
+    scenes = sorted((r["Review_ID"], r["Sub_Scene"]) for r in house.table("scene_bridge").collect())
+    # r1 was finished before, so its old row stays; r3 lost its old row
+    assert scenes == [("r1", "old"), ("r3", "emotional_relaxing"), ("r4", "back_recovery")]
+    assert [r["Review_ID"] for r in house.table("friction_bridge").collect()] == ["r2"]
+    done = {r["Review_ID"] for r in house.table("review_processing").where("Processing_Status = 'SUCCESS'").collect()}
+    for name in BRIDGES:
+        assert {r["Review_ID"] for r in house.table(name).collect()} <= done
+
+
+def test_second_run_changes_nothing(spark, house):
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    before = content(house)
+    assert pipeline.run_tagging(house, pipeline.Tagger("v1")) is None
+    assert content(house) == before
+    pipeline.run_tagging(house, pipeline.Tagger("v2"))
+    after = content(house)
+    assert after["review_processing"] != before["review_processing"]
+    assert after["motivation_bridge"] == before["motivation_bridge"]
+    assert house.table("review_processing").count() == 4
+
+
+def test_failed_reviews_are_tried_again(spark, house):
+    vectors = spark.createDataFrame([("r2", [1.0]), ("r4", [1.0, 0.0])], "Review_ID string, embedding array<float>")
+    labels = {"scene": [("yoga", [1.0, 0.0]), ("nap", [0.0, 1.0])]}
+    summary = pipeline.run_tagging(house, pipeline.Tagger("v1", centroids=labels, vectors=vectors)).first()
+    assert (summary["success"], summary["failed"]) == (2, 1)
+    failed = house.table("review_processing").where("Processing_Status = 'FAILED'").collect()
+    assert [(r["Review_ID"], bool(r["Error_Message"])) for r in failed] == [("r2", True)]
+    assert house.table("review_features").where("Review_ID = 'r2'").first()["Keywords"] == ""
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    assert house.table("review_processing").where("Processing_Status = 'FAILED'").count() == 0
+
+
+def test_partitions_do_not_matter(spark, warehouse):
+    """One id with a third of all rows; one partition or many give the same tables."""
+    many = [(f"{a}_", "", f"{a}", 3, f"relaxing {a:03d}", a) for a in range(100)]
+    results = []
+    for parts in (1, 8):
+        warehouse.create_feature_tables()
+        warehouse.overwrite("review_raw", raw(spark, many).repartition(parts))
+        pipeline.run_tagging(warehouse, pipeline.Tagger("v1"))
+        results.append(content(warehouse))
+    assert results[0] == results[1]
+    assert sum("Review_ID=''" in r for r in results[0]["review_processing"]) == 1
+
+
+def test_large_backlog_path(spark, house, monkeypatch):
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    broadcasted = content(house)
+    house.create_feature_tables()
+    house.overwrite("review_processing", status(spark), FEATURE_TABLES["review_processing"])
+    monkeypatch.setattr(pipeline, "BROADCAST_ROWS", 0)
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    shuffled = content(house)
+    del broadcasted["scene_bridge"], shuffled["scene_bridge"]
+    assert shuffled == broadcasted
+
+
+def test_dimensions(spark, house):
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    house.overwrite("review_raw", raw(spark, [("B_r1", "r1", "B", 5, "x", 9), ("A_r1", "r1", "A", 3, TEXTS["r1"], 1)]))
+    pipeline.rebuild_dimensions(house)
+    review = {r["Review_ID"]: r for r in house.table("dim_review").collect()}
+    assert len(review) == 5 and review["r1"]["Rating"] == 3 and review["r1"]["Helpful"] == 1
+    assert review["r5"]["Clean_Text"] is None and review["r5"]["Keywords"] is None and review["r2"]["Keywords"]
+    assert house.table("dim_asinreview").count() == 6
+
+
+def test_product_dimension(spark):
+    listing = spark.createDataFrame([("a", "z", 2.0, "g"), ("a", "b", 9.0, "a"), ("b", "b", 1.0, "a"), (None, "n", 1.0, "a")], "asin string, brand string, price double, price_band string")
+    models = spark.createDataFrame([("a", "M1"), ("a", "M2")], "asin string, model string")
+    links = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "asin string")
+    got = sorted(tuple(r) for r in dims.dim_product(listing, models, links).collect())
+    assert got == [("a", "b", 9.0, "a", "M1"), ("a", "b", 9.0, "a", "M2")]
+
+
+def test_etl_overwrites_or_appends(spark, warehouse, folder):
+    Path(folder, "B1-x.csv").write_text(f"Title,Content,URL,Rating\nt,c,{URL.format('R1')},5\n")
+    pipeline.run_etl(spark, warehouse, folder)
+    pipeline.run_etl(spark, warehouse, folder)
+    assert warehouse.table("review_raw").count() == 1
+    pipeline.run_etl(spark, warehouse, folder, append=True)
+    assert warehouse.table("review_raw").count() == 2
+    empty = Path(folder, "empty")
+    empty.mkdir()
+    pipeline.run_etl(spark, warehouse, str(empty))
+    assert warehouse.table("review_raw").count() == 2
+
+
+def test_stream_picks_up_new_files_once(spark, warehouse, folder):
+    def land(name, rid, text):
+        Path(folder, "in").mkdir(exist_ok=True)
+        Path(folder, "in", name).write_text(json.dumps({"Title": "t", "Content": text, "URL": URL.format(rid), "Rating": 3}) + "\n")
+
+    def run():
+        ingest(spark, warehouse, f"{folder}/in", f"{folder}/state", pipeline.Tagger("v1")).awaitTermination()
+        return sorted((r["Review_ID"], r["Sub_Scene"]) for r in warehouse.table("scene_bridge").collect())
+
+    land("A-1.json", "R1", "relaxing")
+    assert run() == [("R1", "emotional_relaxing")]
+    land("A-2.json", "R2", "cozy")
+    land("B-1.json", "R1", "relaxing")
+    assert run() == [("R1", "emotional_relaxing"), ("R2", "emotional_cozy")]
+    assert run() == [("R1", "emotional_relaxing"), ("R2", "emotional_cozy")]
+    assert warehouse.table("review_raw").count() == 3
+    # the same files under a lost stream state are not added again
+    ingest(spark, warehouse, f"{folder}/in", f"{folder}/state2", pipeline.Tagger("v1")).awaitTermination()
+    assert warehouse.table("review_raw").count() == 3
+
+
+def test_hashed_vectors_need_no_model(spark):
+    df = spark.createDataFrame([("a", "blue mask"), ("b", "mask, blue!"), ("c", "")], "k string, t string")
+    got = {r["k"]: r["embedding"] for r in encode.hashed_vectors(df, "k", "t").collect()}
+    assert len(got["a"]) == 384 and got["a"] == got["b"] and sum(got["a"]) == 2 and sum(got["c"]) == 0
+
+
+def test_encoder_failures_stay_with_their_text(spark):
+    def encoder(texts):
+        if any("bad" in t for t in texts):
+            raise ValueError("unreadable")
+        return np.array([[len(t), 1.0] for t in texts])
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["abc", "bad", "  ", None])], "k bigint, t string").coalesce(1)
+    got = {r["k"]: (r["embedding"], r["error"]) for r in encode.encoded_vectors(df, "k", "t", encoder, batch=3).collect()}
+    assert got == {0: ([3.0, 1.0], None), 1: (None, "unreadable"), 2: ([1.0, 1.0], None), 3: ([1.0, 1.0], None)}
+
+
+def test_seed_phrases_to_centroids(spark):
+    seeds = spark.createDataFrame([("scene", "nap", 0, "short nap"), ("scene", "nap", 0, "nap"), ("scene", "yoga", 1, "yoga")], "family string, sub string, ord int, phrase string")
+    got = encode.seed_centroids(seeds, lambda df: encode.hashed_vectors(df, "seed", "phrase", 16)).orderBy("ord").collect()
+    assert [r["sub"] for r in got] == ["nap", "yoga"]
+    assert sum(got[0]["vec"]) == 1.5 and max(got[0]["vec"]) == 1.0
