@@ -139,17 +139,56 @@ def evaluate(model: ReviewModel, names: list[str], by: list[str] | tuple[str, ..
     return out.select(*by, *[_value(n, column).alias(n) for n in names])
 
 
+def _at_levels(model: ReviewModel, bridges: tuple[str, ...], members: list[str], levels: list[list[str]]) -> DataFrame:
+    """(level, columns, members) of all levels from one pass over the reviews and bridges.
+
+    Reviews are joined once under the finest grouping. Every row is then offered to each level with the
+    columns that the level does not group by left empty, and repeats of (level, group, review) are dropped.
+    """
+    scope = list(dict.fromkeys(c for level in levels for c in level))
+    linked = [any(OWNERS[c][0] == "product" for c in level) for level in levels]
+    rows = model.scoped(bridges, scope, unlinked=any(linked) and not all(linked))
+    types = {f.name: f.dataType for f in rows.schema}
+    copies = []
+    for i, level in enumerate(levels):
+        cells = [(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in scope]
+        copy = F.struct(F.lit(i).alias("level"), *cells)
+        copies.append(F.when(F.col("_linked"), copy) if linked[i] and "_linked" in types else copy)
+    kept = [c for c in ("rating", "helpful") if c in types]
+    offered = rows.select("review_id", *kept, F.explode(F.array(*copies)).alias("_g")).where(F.col("_g").isNotNull())
+    once = offered.select("review_id", *kept, "_g.*").distinct()
+    return once.groupBy("level", *scope).agg(*[PARTS[MEASURES[m].part]().alias(m) for m in members])
+
+
 def evaluate_levels(model: ReviewModel, names: list[str], levels: list[list[str]]) -> DataFrame:
-    """Measures with subtotals: each level is computed from the reviews, never from finer rows.
+    """Measures with subtotals: each level counts reviews of its own, it does not add up finer rows.
 
     ``level`` is the position in ``levels``; columns a level does not group by are NULL.
     """
-    columns = [c for c in dict.fromkeys(c for level in levels for c in level)]
-    out = None
-    for i, level in enumerate(levels):
-        part = evaluate(model, names, level).withColumn("level", F.lit(i))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out.select("level", *columns, *names)
+    columns = list(dict.fromkeys(c for level in levels for c in level))
+    plans: dict[tuple[str, ...], list[str]] = {}
+    for name in _bases(list(names)):
+        plans.setdefault(MEASURES[name].bridges, []).append(name)
+
+    full, wide = [], []
+    for bridges, members in plans.items():
+        scoped = [[c for c in level if _responds(c, bridges)] for level in levels]
+        scope = [c for c in columns if _responds(c, bridges)]
+        (full if len(scope) == len(columns) else wide).append((_at_levels(model, bridges, members, scoped), scope, members))
+    if not full:
+        raise ValueError(f"no measure of {names} responds to all of {columns}")
+    out = full[0][0]
+    if len(full) > 1:
+        for other, _, _ in full[1:]:
+            out = out.unionByName(other, allowMissingColumns=True)
+        out = out.groupBy("level", *columns).agg(*[F.max(m).alias(m) for _, _, members in full for m in members])
+    for result, scope, _ in wide:
+        keys = {c: f"_{c}" for c in ("level", *scope)}
+        same = F.col("level") == F.col("_level")
+        for column in scope:
+            same = same & F.col(column).eqNullSafe(F.col(keys[column]))
+        out = out.join(result.withColumnsRenamed(keys), same, "left").drop(*keys.values())
+    return out.select("level", *columns, *[_value(n).alias(n) for n in names])
 
 
 def totals(reviews: DataFrame) -> DataFrame:

@@ -69,12 +69,19 @@ class ReviewModel:
     def ids(self, bridge: str) -> DataFrame:
         return self.bridge(bridge).select("review_id")
 
-    def labels(self, bridge: str, columns: list[str]) -> DataFrame:
-        """Distinct (review_id, level columns) of a bridge: a review counts once per group at any level."""
+    def labels(self, bridge: str, columns: list[str]) -> tuple[DataFrame, str | None]:
+        """The labels of each review at some level, so that a review counts once per group at any level.
+
+        Whole labels are the rows of the bridge as they stand. At a coarser level each review gets one
+        row with the set of its labels, in the second result's column: one shuffle by review both merges
+        repeats and serves the join that follows. A set has at most as many members as there are labels.
+        """
         source = {c: OWNERS[c][1] for c in columns}
-        rows = self.bridge(bridge).select("review_id", *[F.col(s).alias(c) for c, s in source.items()])
-        whole_key = {"label"} if bridge in SINGLE else {"main", "sub"}
-        return rows if whole_key <= set(source.values()) else rows.distinct()
+        rows = self.bridge(bridge)
+        if ({"label"} if bridge in SINGLE else {"main", "sub"}) <= set(source.values()):
+            return rows.select("review_id", *[F.col(s).alias(c) for c, s in source.items()]), None
+        group = F.struct(*[F.col(s).alias(c) for c, s in source.items()])
+        return rows.groupBy("review_id").agg(F.collect_set(group).alias(f"_{bridge}")), f"_{bridge}"
 
     def hot(self, key: str) -> list:
         """Products or reviews with a large part of all links, looked up once per model."""
@@ -94,22 +101,44 @@ class ReviewModel:
             linked = join_split(self.product_review, wanted, "asin", self.hot("asin"))
         return linked.select("review_id", *columns).distinct()
 
-    def scoped(self, bridges: tuple[str, ...], by: list[str]) -> DataFrame:
-        """One row per (group, review): reviews that every named bridge holds, under the grouping columns."""
+    def scoped(self, bridges: tuple[str, ...], by: list[str], unlinked: bool = False) -> DataFrame:
+        """One row per (group, review): reviews that every named bridge holds, under the grouping columns.
+
+        With ``unlinked``, reviews without a product stay, with NULL product columns and ``_linked`` false.
+        """
         rows = self.reviews.withColumn("month", month_start(F.col("review_date")))
         if "keyword" in by:
             words = F.explode(F.array_distinct(F.split("keywords", ";"))).alias("keyword")
             rows = rows.where(F.col("keywords") != "").select("*", words)
         kept = [c for c in ("rating", "helpful") if c in rows.columns]
-        rows = rows.select("review_id", *kept, *[c for c in by if OWNERS[c][0] in ("reviews", "keyword")])
+        kept += [c for c in by if OWNERS[c][0] in ("reviews", "keyword")]
+        rows = rows.select("review_id", *kept)
+        sets = []
         for name in bridges:
             columns = [c for c in by if OWNERS[c][0] == name]
-            if columns:
-                rows = rows.join(self.labels(name, columns), "review_id")
-            else:
+            if not columns:
                 rows = restrict(rows, self.ids(name), "review_id")
+                continue
+            labels, label_set = self.labels(name, columns)
+            rows = rows.join(labels, "review_id")
+            if label_set:
+                sets.append(label_set)
+            else:
+                kept += columns
+        for label_set in sets:
+            others = sets[sets.index(label_set) + 1 :]
+            members = [f.name for f in rows.schema[label_set].dataType.elementType]
+            rows = rows.select("review_id", *kept, *others, F.inline(label_set))
+            kept += members
         columns = [c for c in by if OWNERS[c][0] == "product"]
-        if columns:
-            # a review id that many products share has many links but few rows here
-            rows = join_split(self.products(columns), rows, "review_id", self.hot("review_id"))
-        return rows
+        if not columns:
+            return rows
+        links = self.products(columns)
+        # a review id that many products share has many links but few rows here
+        joined = join_split(links, rows, "review_id", self.hot("review_id"))
+        if not unlinked:
+            return joined
+        lone = rows.join(links.select("review_id").distinct(), "review_id", "left_anti")
+        return joined.withColumn("_linked", F.lit(True)).unionByName(
+            lone.withColumn("_linked", F.lit(False)), allowMissingColumns=True
+        )
