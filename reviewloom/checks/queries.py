@@ -55,7 +55,7 @@ def friction_rate_monthly(spark, folder):
 
 @query
 def friction_rate_monthly_by_model(spark, folder):
-    return rounded(monthly_friction(s.model(spark, folder), ("model",)))
+    return rounded(monthly_friction(s.linked_model(spark, folder), ("model",)))
 
 
 SCENE_MEASURES = [
@@ -143,13 +143,13 @@ def location_friction_share(spark, folder):
 @query
 def brand_reviews_m2m(spark, folder):
     names = ["all_reviews", "all_rating", "all_votes", "friction_reviews", "friction_coverage_pct", "mrating"]
-    return rounded(evaluate_levels(s.model(spark, folder), names, [["brand"], []]))
+    return rounded(evaluate_levels(s.linked_model(spark, folder), names, [["brand"], []]))
 
 
 @query
 def product_tree(spark, folder):
     levels = [[], ["friction_main"], ["friction_main", "friction_sub"], ["friction_main", "friction_sub", "brand"]]
-    return evaluate_levels(s.model(spark, folder), ["friction_reviews", "friction_votes"], levels)
+    return evaluate_levels(s.linked_model(spark, folder), ["friction_reviews", "friction_votes"], levels)
 
 
 @query
@@ -159,7 +159,7 @@ def product_slicer(spark, folder):
         F.struct("brand", "model").isin(F.struct(F.lit("Brand#1"), F.lit("ECONOMY")), F.struct(F.lit("Brand#2"), F.lit("PROMO")))
         & F.col("price").between(50, 300)
     )
-    model = s.model(spark, folder).filtered(
+    model = s.linked_model(spark, folder).filtered(
         reviews=F.col("review_date").between("1996-01-01", "1999-12-31"), products=chosen
     )
     return rounded(evaluate(model, ["all_reviews", "friction_reviews", "friction_rate_pct"], ["brand"]))

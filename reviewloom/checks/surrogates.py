@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewloom.functions.scalars import price_band
 from reviewloom.plans.model import ReviewModel
-from reviewloom.session import spread
+from reviewloom.session import materialise, spread
 
 
 _schemas: dict[str, StructType] = {}
@@ -141,6 +143,11 @@ def product(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def linked_model(spark: SparkSession, folder: str) -> ReviewModel:
+    """The model for queries by product: their several passes read a stored link table."""
+    return replace(model(spark, folder), product_review=materialise(product_review(spark, folder), "links"))
+
+
 def model(spark: SparkSession, folder: str) -> ReviewModel:
     return ReviewModel(
         reviews=reviews(spark, folder),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,14 +90,15 @@ def run_tagging(warehouse: Warehouse, tagger: Tagger) -> DataFrame | None:
     tagged = materialise(
         tagging.tag_reviews(batch, tagger.rules, tagger.centroids, vector=vector, forms=tagger.forms), "tagged"
     )
-    for name, rows in tagging.bridges(tagged).items():
-        warehouse.overwrite(name, replace_by_key(warehouse.table(name), rows, todo, "Review_ID"), FEATURE_TABLES[name])
+    tables = {
+        name: replace_by_key(warehouse.table(name), rows, todo, "Review_ID")
+        for name, rows in tagging.bridges(tagged).items()
+    }
     features = tagged.select("Review_ID", F.col("keywords").alias("Keywords"))
-    warehouse.overwrite(
-        "review_features",
-        upsert(warehouse.table("review_features"), features, "Review_ID"),
-        FEATURE_TABLES["review_features"],
-    )
+    tables["review_features"] = upsert(warehouse.table("review_features"), features, "Review_ID")
+    # the tables do not depend on each other, so their writes share the cluster
+    with ThreadPoolExecutor(len(tables)) as writers:
+        list(writers.map(lambda name: warehouse.overwrite(name, tables[name], FEATURE_TABLES[name]), tables))
     warehouse.overwrite(
         "review_processing", upsert(status, status_rows(tagged, tagger.version), "Review_ID"), FEATURE_TABLES["review_processing"]
     )

@@ -31,15 +31,18 @@ class Warehouse:
         tables = self.spark.catalog.listTables(self.database, f"{prefix}*")
         return sorted(int(t.name[len(prefix) :]) for t in tables if t.name.startswith(prefix))
 
-    def overwrite(self, name: str, rows: DataFrame, ddl: str | None = None) -> None:
-        """Replace the table by ``rows``, which may read the table itself. One older version is kept."""
+    def overwrite(self, name: str, rows: DataFrame | None, ddl: str | None = None) -> None:
+        """Replace the table by ``rows``, which may read the table itself. One older version is kept.
+
+        With ``ddl`` the table has the declared types; ``rows`` of None leaves it empty.
+        """
         old = self._versions(name)
         version = (old[-1] if old else 0) + 1
         full = f"{self.database}.{name}__v{version}"
         if ddl:
             self.spark.sql(f"CREATE TABLE {full} ({ddl}) USING parquet")
-            columns = self.spark.table(full).columns
-            rows.select(*columns).write.insertInto(full)
+            if rows is not None:
+                rows.select(*self.spark.table(full).columns).write.insertInto(full)
         else:
             rows.write.format("parquet").saveAsTable(full)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {full}")
@@ -52,7 +55,7 @@ class Warehouse:
         rows.select(*self.spark.table(newest).columns).write.insertInto(newest)
 
     def create_empty(self, name: str, ddl: str) -> None:
-        self.overwrite(name, self.spark.createDataFrame([], ddl), ddl)
+        self.overwrite(name, None, ddl)
 
     def create_feature_tables(self) -> None:
         """Create or replace the seven empty feature tables."""
