@@ -139,25 +139,45 @@ def evaluate(model: ReviewModel, names: list[str], by: list[str] | tuple[str, ..
     return out.select(*by, *[_value(n, column).alias(n) for n in names])
 
 
-def _at_levels(model: ReviewModel, bridges: tuple[str, ...], members: list[str], levels: list[list[str]]) -> DataFrame:
-    """(level, columns, members) of all levels from one pass over the reviews and bridges.
+def _at_levels(
+    model: ReviewModel, bridges: tuple[str, ...], members: list[str], levels: dict[int, list[str]], scope: list[str]
+) -> DataFrame:
+    """(level, columns, members) of several levels from one pass over the reviews and bridges.
 
     Reviews are joined once under the finest grouping. Every row is then offered to each level with the
     columns that the level does not group by left empty, and repeats of (level, group, review) are dropped.
     """
-    scope = list(dict.fromkeys(c for level in levels for c in level))
-    linked = [any(OWNERS[c][0] == "product" for c in level) for level in levels]
-    rows = model.scoped(bridges, scope, unlinked=any(linked) and not all(linked))
+    used = [c for c in scope if any(c in level for level in levels.values())]
+    rows = model.scoped(bridges, used)
+    parts = [PARTS[MEASURES[m].part]().alias(m) for m in members]
+    if len(levels) == 1:
+        ((number, _),) = levels.items()
+        return rows.groupBy(F.lit(number).alias("level"), *used).agg(*parts)
     types = {f.name: f.dataType for f in rows.schema}
-    copies = []
-    for i, level in enumerate(levels):
-        cells = [(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in scope]
-        copy = F.struct(F.lit(i).alias("level"), *cells)
-        copies.append(F.when(F.col("_linked"), copy) if linked[i] and "_linked" in types else copy)
+    copies = [
+        F.struct(
+            F.lit(number).alias("level"),
+            *[(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(c) for c in used],
+        )
+        for number, level in levels.items()
+    ]
     kept = [c for c in ("rating", "helpful") if c in types]
-    offered = rows.select("review_id", *kept, F.explode(F.array(*copies)).alias("_g")).where(F.col("_g").isNotNull())
-    once = offered.select("review_id", *kept, "_g.*").distinct()
-    return once.groupBy("level", *scope).agg(*[PARTS[MEASURES[m].part]().alias(m) for m in members])
+    once = rows.select("review_id", *kept, F.inline(F.array(*copies))).distinct()
+    return once.groupBy("level", *used).agg(*parts)
+
+
+def _levels_of(model: ReviewModel, bridges: tuple[str, ...], members: list[str], levels: list[list[str]], scope: list[str]) -> DataFrame:
+    """All levels, in one pass for those with product columns and one for those without: a review counts
+    without a product, and a product level has far more rows."""
+    passes: dict[bool, dict[int, list[str]]] = {}
+    for number, level in enumerate(levels):
+        by_product = any(OWNERS[c][0] == "product" for c in level)
+        passes.setdefault(by_product, {})[number] = [c for c in level if c in scope]
+    parts = [_at_levels(model, bridges, members, group, scope) for group in passes.values()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.select("level", *scope, *members)
 
 
 def evaluate_levels(model: ReviewModel, names: list[str], levels: list[list[str]]) -> DataFrame:
@@ -172,9 +192,9 @@ def evaluate_levels(model: ReviewModel, names: list[str], levels: list[list[str]
 
     full, wide = [], []
     for bridges, members in plans.items():
-        scoped = [[c for c in level if _responds(c, bridges)] for level in levels]
         scope = [c for c in columns if _responds(c, bridges)]
-        (full if len(scope) == len(columns) else wide).append((_at_levels(model, bridges, members, scoped), scope, members))
+        result = _levels_of(model, bridges, members, levels, scope)
+        (full if len(scope) == len(columns) else wide).append((result, scope, members))
     if not full:
         raise ValueError(f"no measure of {names} responds to all of {columns}")
     out = full[0][0]

@@ -101,11 +101,8 @@ class ReviewModel:
             linked = join_split(self.product_review, wanted, "asin", self.hot("asin"))
         return linked.select("review_id", *columns).distinct()
 
-    def scoped(self, bridges: tuple[str, ...], by: list[str], unlinked: bool = False) -> DataFrame:
-        """One row per (group, review): reviews that every named bridge holds, under the grouping columns.
-
-        With ``unlinked``, reviews without a product stay, with NULL product columns and ``_linked`` false.
-        """
+    def scoped(self, bridges: tuple[str, ...], by: list[str]) -> DataFrame:
+        """One row per (group, review): reviews that every named bridge holds, under the grouping columns."""
         rows = self.reviews.withColumn("month", month_start(F.col("review_date")))
         if "keyword" in by:
             words = F.explode(F.array_distinct(F.split("keywords", ";"))).alias("keyword")
@@ -133,12 +130,5 @@ class ReviewModel:
         columns = [c for c in by if OWNERS[c][0] == "product"]
         if not columns:
             return rows
-        links = self.products(columns)
         # a review id that many products share has many links but few rows here
-        joined = join_split(links, rows, "review_id", self.hot("review_id"))
-        if not unlinked:
-            return joined
-        lone = rows.join(links.select("review_id").distinct(), "review_id", "left_anti")
-        return joined.withColumn("_linked", F.lit(True)).unionByName(
-            lone.withColumn("_linked", F.lit(False)), allowMissingColumns=True
-        )
+        return join_split(self.products(columns), rows, "review_id", self.hot("review_id"))
