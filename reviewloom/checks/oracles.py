@@ -221,6 +221,7 @@ def market_level(level: int, columns: list[str]) -> str:
     by = f"GROUP BY {', '.join(columns)}" if columns else ""
     same = " AND ".join(f"l.{c} = t.{c}" for c in columns) or "true"
     nulls = "".join(f"CAST(NULL AS {kind}) AS {c}, " for c, kind in (("brand", "VARCHAR"), ("asin", "BIGINT")) if c not in columns)
+    rank = {2: "rank() OVER (PARTITION BY asin ORDER BY sum(r) DESC)", 1: "rank() OVER (ORDER BY sum(r) DESC)", 0: "CAST(NULL AS BIGINT)"}[len(columns)]
     # the inner brand is renamed so that it does not clash with a grouping brand
     inner = f"""SELECT {group}brand AS b, parent_asin, max(monthly_units) AS u, max(monthly_revenue) AS r, max(rating_count) AS c,
     min(listing_date) AS d, sum(price) AS ps, count(price) AS pn FROM listing GROUP BY ALL"""
@@ -229,12 +230,13 @@ def market_level(level: int, columns: list[str]) -> str:
   {share('sum(r)', '(SELECT sum(r) FROM parents)')} AS brand_market_share,
   (SELECT round(median(l.rating), 6) FROM listing l WHERE {same}) AS median_listing_rating,
   CAST(sum(c) AS BIGINT) AS rating_count,
-  DATE '1970-01-01' + CAST(floor(median(date_diff('day', DATE '1970-01-01', d)) FILTER (d > DATE '2000-01-01')) AS INT) AS median_listing_date
-  FROM ({inner}) t {by}"""
+  DATE '1970-01-01' + CAST(floor(median(date_diff('day', DATE '1970-01-01', d)) FILTER (d > DATE '2000-01-01')) AS INT) AS median_listing_date,
+  {rank} AS revenue_rank FROM ({inner}) t {by}"""
 
 
 def matrix(*levels: list[str]) -> str:
-    names = "level, brand, asin, monthly_units, monthly_revenue, avg_price, median_price, brand_market_share, median_listing_rating, rating_count, median_listing_date"
+    names = """level, brand, asin, monthly_units, monthly_revenue, avg_price, median_price, brand_market_share, median_listing_rating,
+    rating_count, median_listing_date, revenue_rank"""
     return " UNION ALL ".join(f"SELECT {names} FROM ({market_level(i, c)})" for i, c in enumerate(levels))
 
 
@@ -411,10 +413,11 @@ def build() -> dict[str, str]:
         "brands", extra=RUNNING,
     )
     o["top3_parts"] = sql(
-        """SELECT parts, CAST(sum(r) AS BIGINT) AS monthly_revenue, rank() OVER (ORDER BY sum(r) DESC) AS revenue_rank,
-        rank() OVER (ORDER BY sum(r) DESC) <= 3 AS is_top3_in_scope FROM (
-        SELECT parts, brand, parent_asin, max(monthly_revenue) AS r FROM listing GROUP BY ALL) GROUP BY parts""",
-        "listing",
+        """SELECT parts, NULL AS brand, CAST(sum(r) AS BIGINT) AS monthly_revenue, rank() OVER (ORDER BY sum(r) DESC) AS revenue_rank,
+        rank() OVER (ORDER BY sum(r) DESC) <= 3 AS is_top3_in_scope FROM pp GROUP BY parts
+        UNION ALL SELECT parts, brand, CAST(sum(r) AS BIGINT), rank() OVER (PARTITION BY parts ORDER BY sum(r) DESC),
+        rank() OVER (PARTITION BY parts ORDER BY sum(r) DESC) <= 3 FROM pp GROUP BY parts, brand""",
+        "listing", extra="pp AS (SELECT parts, brand, parent_asin, max(monthly_revenue) AS r FROM listing GROUP BY ALL)",
     )
     o["price_band_profile"] = sql(
         f"""SELECT price_band, count(DISTINCT brand) AS brand_count, {share('sum(u)', '(SELECT sum(u) FROM parents)')} AS band_unit_share,

@@ -285,7 +285,7 @@ def top_brand_share(spark, folder):
 
 @query
 def top3_parts(spark, folder):
-    return top3_in_scope(market(spark, folder), "parts")
+    return top3_in_scope(market(spark, folder), "parts", "brand")
 
 
 @query
@@ -341,6 +341,7 @@ MATRIX_MEASURES = [
     "median_listing_rating",
     "rating_count",
     "median_listing_date",
+    "revenue_rank",
 ]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.scalars import blank_if_zero, distinct_with_blank, ratio
@@ -158,11 +158,25 @@ def top_brand_totals(brands: DataFrame) -> DataFrame:
     )
 
 
-def top3_in_scope(market: Market, column: str) -> DataFrame:
-    """Members of the scope column (brand or parts) with revenue rank and whether it is 3 or better."""
+def rank_within(totals: DataFrame, outer: list[str], rank: str) -> DataFrame:
+    """Revenue rank of brands (or parts) inside each group of the outer columns; a group holds finished
+    totals, one row per member."""
+    place = Window.partitionBy(*outer).orderBy(F.coalesce("monthly_revenue", F.lit(0)).desc())
+    return totals.withColumn(rank, F.rank().over(place).cast("bigint"))
+
+
+def top3_in_scope(market: Market, column: str, inner: str | None = None) -> DataFrame:
+    """Revenue rank of the members in scope and whether it is 3 or better.
+
+    One row per member of ``column``; with ``inner`` also one per pair, ranked inside its outer member.
+    """
     totals = two_level(market.rows(), [column]).select(column, "monthly_revenue")
-    ranked = with_ranks(totals, "monthly_revenue")
-    return ranked.select(column, "monthly_revenue", F.col("rank").alias("revenue_rank"), (F.col("rank") <= 3).alias("is_top3_in_scope"))
+    ranked = with_ranks(totals, "monthly_revenue", "revenue_rank").drop("dense_rank")
+    if inner:
+        pairs = two_level(market.rows(), [column, inner]).select(column, inner, "monthly_revenue")
+        ranked = ranked.unionByName(rank_within(pairs, [column], "revenue_rank"), allowMissingColumns=True)
+        ranked = ranked.select(column, inner, "monthly_revenue", "revenue_rank")
+    return ranked.withColumn("is_top3_in_scope", F.col("revenue_rank") <= 3)
 
 
 def evaluate_market(market: Market, names: list[str], by: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -188,9 +202,15 @@ def evaluate_market(market: Market, names: list[str], by: list[str] | tuple[str,
     for name, (top, bottom) in RATIOS.items():
         if name in names:
             out = out.withColumn(name, ratio(F.col(top), F.col(bottom)))
-    if set(names) & set(BRAND_MEASURES):
+    if "revenue_rank" in names and by != ["brand"]:
+        # a rank needs one brand in scope: inside the other columns, or blank where there is no brand
+        if "brand" in by:
+            out = rank_within(out, [c for c in by if c != "brand"], "revenue_rank")
+        else:
+            out = out.withColumn("revenue_rank", F.lit(None).cast("bigint"))
+    elif set(names) & set(BRAND_MEASURES):
         if by != ["brand"]:
-            raise ValueError("brand ranks and running totals are defined per brand")
+            raise ValueError("top flags and running totals are defined per brand")
         extra = brand_table(market).select("brand", *[n for n in names if n in BRAND_MEASURES])
         out = _attach(out, extra, by)
     if set(names) & set(TOP_BRAND_TOTALS):

@@ -115,12 +115,13 @@ REPORTS: list[Report] = [
             "median_listing_rating",
             "rating_count",
             "median_listing_date",
+            "revenue_rank",
         ),
         ("brand", "asin"),
         "levels",
         "monthly_revenue",
     ),
-    Report("market", "brand_rank", ("revenue_rank", "is_top10_brand"), ("brand",)),
+    Report("market", "brand_header", ("revenue_rank", "is_top10_brand"), ("brand",)),
     Report("market", "pattern_units_pie", ("avg_price", "monthly_units"), ("pattern",), "group", "monthly_units"),
     Report("market", "pareto", ("monthly_revenue", "pareto_share"), ("brand",), "group", "monthly_revenue", 15),
     Report("market", "brand_parts_donut", ("monthly_revenue",), ("brand", "parts"), "group", "monthly_revenue"),
@@ -128,7 +129,7 @@ REPORTS: list[Report] = [
     Report("market", "price_bands", ("brand_count", "band_unit_share", "band_revenue_share"), ("price_band",)),
     Report("market", "band_rating_scatter", ("monthly_revenue", "median_listing_rating"), ("price_band",)),
     Report("market", "brand_price_scatter", ("monthly_revenue", "avg_price", "monthly_units"), ("brand",)),
-    Report("market", "parts_top3", ("is_top3_in_scope",), ("parts",), "top3"),
+    Report("market", "parts_brand_top3", ("is_top3_in_scope",), ("parts", "brand"), "top3"),
     # brand details page
     Report("brands", "parts_donut", ("monthly_revenue",), ("parts",), "group", "monthly_revenue"),
     # overview page
@@ -204,7 +205,7 @@ def run_report(report: Report, model: ReviewModel | None = None, market: Market
     if report.shape == "ranked":
         return rank_per_month(model, names[0], by[1])
     if report.shape == "top3":
-        return top3_in_scope(market, by[0])
+        return top3_in_scope(market, *by)
     if report.shape in ("levels", "tree"):
         levels = _prefixes(report.by)
         out = market_levels(market, names, levels) if on_market else evaluate_levels(model, names, levels)
