@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.operators import tagging
-from reviewloom.operators.keys import any_value, replace_by_key, upsert
+from reviewloom.operators.keys import any_value, replace_by_key, restrict
 from reviewloom.operators.taxonomy import Rule
 from reviewloom.plans.dims import dim_asinreview, dim_review
 from reviewloom.schemas import BRIDGES, FEATURE_TABLES, REVIEW_RAW
@@ -90,21 +90,28 @@ def run_tagging(warehouse: Warehouse, tagger: Tagger) -> DataFrame | None:
     tagged = materialise(
         tagging.tag_reviews(batch, tagger.rules, tagger.centroids, vector=vector, forms=tagger.forms), "tagged"
     )
-    tables = {
-        name: replace_by_key(warehouse.table(name), rows, todo, "Review_ID")
-        for name, rows in tagging.bridges(tagged).items()
-    }
-    features = tagged.select("Review_ID", F.col("keywords").alias("Keywords"))
-    tables["review_features"] = upsert(warehouse.table("review_features"), features, "Review_ID")
+    tables = dict(tagging.bridges(tagged))
+    tables["review_features"] = tagged.select("Review_ID", F.col("keywords").alias("Keywords"))
     # the tables do not depend on each other, so their writes share the cluster
     with ThreadPoolExecutor(len(tables)) as writers:
-        list(writers.map(lambda name: warehouse.overwrite(name, tables[name], FEATURE_TABLES[name]), tables))
-    warehouse.overwrite(
-        "review_processing", upsert(status, status_rows(tagged, tagger.version), "Review_ID"), FEATURE_TABLES["review_processing"]
-    )
+        list(writers.map(lambda name: replace_rows(warehouse, name, tables[name], todo), tables))
+    replace_rows(warehouse, "review_processing", status_rows(tagged, tagger.version), todo)
     return tagging.run_summary(tagged)
 
 
+def replace_rows(warehouse: Warehouse, name: str, rows: DataFrame, processed: DataFrame) -> None:
+    """Give the processed reviews their new rows in a feature table.
+
+    New reviews have no old rows, so theirs are added without touching the table; that is found by
+    looking at the ids alone. Only when old rows exist is the table rewritten without them.
+    """
+    target = warehouse.table(name)
+    if restrict(target.select("Review_ID"), processed, "Review_ID").isEmpty():
+        warehouse.append(name, rows)
+    else:
+        warehouse.overwrite(name, replace_by_key(target, rows, processed, "Review_ID"), FEATURE_TABLES[name])
+
+
 def status_rows(tagged: DataFrame, version: str) -> DataFrame:
     return tagged.select(
         "Review_ID",
@@ -127,6 +134,7 @@ __all__ = [
     "Tagger",
     "finished",
     "rebuild_dimensions",
+    "replace_rows",
     "run_etl",
     "run_tagging",
     "status_rows",

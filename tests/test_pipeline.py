@@ -81,6 +81,16 @@ def test_second_run_changes_nothing(spark, house):
     assert house.table("review_processing").count() == 4
 
 
+def test_new_reviews_are_added_without_a_rewrite(spark, house):
+    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    before = {name: house._versions(name)[-1] for name in FEATURE_TABLES}
+    house.overwrite("review_raw", raw(spark, [("A_r9", "r9", "A", 2, "Relaxing but flimsy.", 0)]))
+    assert pipeline.run_tagging(house, pipeline.Tagger("v1")).first()["reviews"] == 1
+    assert {name: house._versions(name)[-1] for name in FEATURE_TABLES} == before
+    assert house.table("friction_bridge").where("Review_ID = 'r9'").first()["Friction_Sub"] == "Build_Quality"
+    assert house.table("review_processing").count() == 5 and house.table("review_features").count() == 4
+
+
 def test_failed_reviews_are_tried_again(spark, house):
     vectors = spark.createDataFrame([("r2", [1.0]), ("r4", [1.0, 0.0])], "Review_ID string, embedding array<float>")
     labels = {"scene": [("yoga", [1.0, 0.0]), ("nap", [0.0, 1.0])]}
