@@ -13,7 +13,7 @@ from reviewloom.checks import surrogates as s
 from reviewloom.functions import dates, keywords, scalars, text
 from reviewloom.operators import keys, tagging, vectors
 from reviewloom.operators.lookup import PARTS_ORDER, PATTERN_ORDER, first_match, load_lookup
-from reviewloom.plans import dims, pipeline, reports
+from reviewloom.plans import dims, jobs, reports
 from reviewloom.plans.market import (
     Market,
     brand_table,
@@ -599,11 +599,11 @@ def rules_then_centroids(spark, folder):
 
 @query
 def unprocessed_anti(spark, folder):
-    return pipeline.unprocessed(s.raw_documents(spark, folder), s.status(spark, folder), "v1")
+    return jobs.unprocessed(s.raw_documents(spark, folder), s.status(spark, folder), "v1")
 
 
 def delta(spark: SparkSession, folder: str) -> DataFrame:
-    todo = pipeline.unprocessed(s.raw_documents(spark, folder), s.status(spark, folder), "v1")
+    todo = jobs.unprocessed(s.raw_documents(spark, folder), s.status(spark, folder), "v1")
     done = F.when(F.length("Clean_Text") > 300, F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
     return todo.select("Review_ID", F.lit("v1").alias("Model_Version"), done.alias("Processing_Status"))
 
@@ -743,7 +743,7 @@ def new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, name, scratch_path(spark, name))
 
 
-def raw_for_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+def raw_with_text_ids(spark: SparkSession, folder: str) -> DataFrame:
     raw = s.raw_documents(spark, folder)
     return raw.withColumn("Review_ID", F.col("Review_ID").cast("string"))
 
@@ -753,10 +753,10 @@ def tag_status(spark, folder):
     """Two tagging runs over the documents: rules alone, then a second version. Status and tag rows."""
     house = new_warehouse(spark)
     house.create_feature_tables()
-    house.overwrite("review_raw", raw_for_pipeline(spark, folder))
-    pipeline.run_tagging(house, pipeline.Tagger("v1", small.RULES))
-    pipeline.run_tagging(house, pipeline.Tagger("v2", small.RULES))
-    pipeline.run_tagging(house, pipeline.Tagger("v2", small.RULES))
+    house.overwrite("review_raw", raw_with_text_ids(spark, folder))
+    jobs.run_tagging(house, jobs.Tagger("v1", small.RULES))
+    jobs.run_tagging(house, jobs.Tagger("v2", small.RULES))
+    jobs.run_tagging(house, jobs.Tagger("v2", small.RULES))
     tags = house.table("scene_bridge").groupBy("Review_ID").agg(F.count(F.lit(1)).alias("scenes"))
     state = house.table("review_processing").select("Review_ID", "Model_Version", "Processing_Status")
     return state.join(tags, "Review_ID", "left").withColumn("scenes", F.coalesce("scenes", F.lit(0).cast("bigint")))
@@ -771,6 +771,6 @@ def stream_ingest_tag(spark, folder):
     write_landing(spark, folder, f"{path}/in")
     house = new_warehouse(spark)
     house.create_feature_tables()
-    stream = ingest(spark, house, f"{path}/in/*", f"{path}/state", pipeline.Tagger("v1", small.RULES))
+    stream = ingest(spark, house, f"{path}/in/*", f"{path}/state", jobs.Tagger("v1", small.RULES))
     stream.awaitTermination()
     return house.table("review_processing").select("Review_ID", "Model_Version", "Processing_Status")

@@ -7,6 +7,8 @@ on its own, and the ranges are tied together by a summary of one row per range.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,12 +134,14 @@ def exact_median(
     groups = running.groupBy(*[F.col(k).alias(f"r{k}") for k in keys]).agg(
         F.min(F.col("_cum") - F.col("_n")).alias("_start"), F.sum("_n").alias("_rows")
     )
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"r{k}"))
+    if keys:
+        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in keys])
+        placed = running.join(groups, match)
+    else:
+        placed = running.withColumns({c: groups.select(c).scalar() for c in ("_start", "_rows")})
     lower = F.col("_start") + F.floor((F.col("_rows") + 1) / 2)
     upper = F.col("_start") + F.floor((F.col("_rows") + 2) / 2)
     first = F.col("_cum") - F.col("_n")
-    middle = running.join(groups, match).where((first < upper) & (F.col("_cum") >= lower))
+    middle = placed.where((first < upper) & (F.col("_cum") >= lower))
     mean_of_two = (F.min("_v") + F.max("_v")) / 2
     return middle.groupBy(*keys).agg(mean_of_two.alias(out)).select(*named, out)

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import csv
 import io
-import json
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.session import materialise
+
 EXTENSIONS = {"csv": "*.csv", "json": "*.json", "parquet": "*.parquet"}
 
 
 def file_columns(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """(path, columns): column names of every file, read from the head of each file inside tasks.
+    """(path, columns): column names of every CSV or parquet file, read from its head inside tasks.
 
     The extension test is case-sensitive. No file content beyond the head is read.
     """
@@ -46,8 +48,6 @@ def _head(path: str, kind: str) -> list[str]:
         while b"\n" not in line and (block := stream.read(65536)):
             line += block
     text = line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-    if kind == "json":
-        return list(json.loads(text)) if text else []
     return next(csv.reader(io.StringIO(text)), [])
 
 
@@ -56,37 +56,50 @@ def read_by_header(
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of all files that have the required columns, and a table of the files that do not.
 
-    Files are read in groups of equal header, so a column is found by name whatever its place. All
-    wanted columns come back as text, NULL where a file lacks them, plus ``Source_File``. The first
-    result is None where no file qualifies.
+    A column is found by name whatever its place. All wanted columns come back as text, NULL where a file
+    lacks them, plus ``Source_File``. The first result is None where no file qualifies.
     """
+    if kind == "json":
+        return _read_json(spark, folder, wanted, required)
     heads = file_columns(spark, folder, kind)
     missing = F.array_except(F.array(*[F.lit(c) for c in required]).cast("array<string>"), F.col("columns"))
-    checked = heads.withColumn("missing", missing)
+    # stored: one row per file, read for the rejects and again for the layouts
+    checked = materialise(heads.withColumn("missing", missing), "files")
     rejects = checked.where(F.size("missing") > 0).select(F.col("path").alias("Source_File"), "missing")
-    # the driver gets file names only, as it does for any scan
-    layouts = checked.where(F.size("missing") == 0).groupBy("columns").agg(F.collect_list("path").alias("paths"))
+    # files of equal header are read together; the driver gets file names only, as it does for any scan
+    readable = checked.where((F.size("missing") == 0) & (F.size("columns") > 0))
     frames = []
-    for layout in layouts.collect():
+    for layout in readable.groupBy("columns").agg(F.collect_list("path").alias("paths")).collect():
         frame = _read(spark, kind, layout["columns"], layout["paths"], multiline)
         have = set(layout["columns"])
         cells = [
             (F.col(f"`{c}`").cast("string") if c in have else F.lit(None).cast("string")).alias(c) for c in wanted
         ]
         frames.append(frame.select(*cells, F.col("_metadata.file_path").alias("Source_File")))
-    if not frames:
-        return None, rejects
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame)
-    return rows, rejects
+    return (reduce(DataFrame.unionByName, frames) if frames else None), rejects
 
 
 def _read(spark: SparkSession, kind: str, columns: list[str], paths: list[str], multiline: bool) -> DataFrame:
     if kind == "parquet":
         return spark.read.parquet(*paths)
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    reader = spark.read.schema(schema).option("multiLine", str(multiline).lower())
-    if kind == "json":
-        return reader.json(paths)
-    return reader.option("header", "true").option("escape", '"').csv(paths)
+    reader = spark.read.schema(schema).option("header", "true").option("escape", '"')
+    return reader.option("multiLine", str(multiline).lower()).csv(paths)
+
+
+def _read_json(
+    spark: SparkSession, folder: str, wanted: Sequence[str], required: Sequence[str]
+) -> tuple[DataFrame | None, DataFrame]:
+    """JSON lines name their columns record by record, so a column is missing where no record has it."""
+    schema = ", ".join(f"`{c}` STRING" for c in wanted)
+    source = spark.read.schema(schema).option("pathGlobFilter", EXTENSIONS["json"]).option("recursiveFileLookup", "true")
+    rows = source.json(folder).select(*[F.col(f"`{c}`") for c in wanted], F.col("_metadata.file_path").alias("Source_File"))
+    seen = rows.groupBy("Source_File").agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in required])
+    lacking = F.array(*[F.when(~F.col(f"`{c}`"), F.lit(c)) for c in required]).cast("array<string>")
+    # stored: one row per file, so the records are looked through once
+    files = materialise(seen.select("Source_File", F.array_compact(lacking).alias("missing")), "files")
+    rejects = files.where(F.size("missing") > 0)
+    if files.where(F.size("missing") == 0).isEmpty():
+        return None, rejects
+    # few files are rejected, so their names meet the rows where those are
+    return rows.join(rejects.select("Source_File"), "Source_File", "left_anti").select(rows.columns), rejects

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reviewloom.plans.pipeline import Tagger, run_tagging
+from reviewloom.plans.jobs import Tagger, run_tagging
 from reviewloom.schemas import LANDING_OPTIONAL, LANDING_REQUIRED, REVIEW_RAW
 from reviewloom.sources.landing import to_review_raw
 from reviewloom.sources.warehouse import Warehouse

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.operators import encode
-from reviewloom.plans import dims, pipeline
+from reviewloom.plans import dims, jobs
 from reviewloom.schemas import BRIDGES, FEATURE_TABLES
 from reviewloom.streaming.ingest import ingest
 
@@ -50,13 +50,13 @@ def house(spark, warehouse):
 
 
 def test_unprocessed(spark):
-    todo = pipeline.unprocessed(raw(spark, [("B_r4", "r4", "B", 1, "other text", 1)]), status(spark), "v1").orderBy("Review_ID").collect()
+    todo = jobs.unprocessed(raw(spark, [("B_r4", "r4", "B", 1, "other text", 1)]), status(spark), "v1").orderBy("Review_ID").collect()
     assert [r["Review_ID"] for r in todo] == ["r2", "r3", "r4"]
     assert todo[2]["Clean_Text"] == TEXTS["r4"]
 
 
 def test_run_updates_only_what_it_processed(spark, house):
-    summary = pipeline.run_tagging(house, pipeline.Tagger("v1")).first()
+    summary = jobs.run_tagging(house, jobs.Tagger("v1")).first()
     assert (summary["reviews"], summary["success"], summary["failed"]) == (3, 3, 0)
     state = {r["Review_ID"]: (r["Model_Version"], r["Processing_Status"]) for r in house.table("review_processing").collect()}
     assert state == {k: ("v1", "SUCCESS") for k in ("r1", "r2", "r3", "r4")}
@@ -70,11 +70,11 @@ def test_run_updates_only_what_it_processed(spark, house):
 
 
 def test_second_run_changes_nothing(spark, house):
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     before = content(house)
-    assert pipeline.run_tagging(house, pipeline.Tagger("v1")) is None
+    assert jobs.run_tagging(house, jobs.Tagger("v1")) is None
     assert content(house) == before
-    pipeline.run_tagging(house, pipeline.Tagger("v2"))
+    jobs.run_tagging(house, jobs.Tagger("v2"))
     after = content(house)
     assert after["review_processing"] != before["review_processing"]
     assert after["motivation_bridge"] == before["motivation_bridge"]
@@ -82,10 +82,10 @@ def test_second_run_changes_nothing(spark, house):
 
 
 def test_new_reviews_are_added_without_a_rewrite(spark, house):
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     before = {name: house._versions(name)[-1] for name in FEATURE_TABLES}
     house.overwrite("review_raw", raw(spark, [("A_r9", "r9", "A", 2, "Relaxing but flimsy.", 0)]))
-    assert pipeline.run_tagging(house, pipeline.Tagger("v1")).first()["reviews"] == 1
+    assert jobs.run_tagging(house, jobs.Tagger("v1")).first()["reviews"] == 1
     assert {name: house._versions(name)[-1] for name in FEATURE_TABLES} == before
     assert house.table("friction_bridge").where("Review_ID = 'r9'").first()["Friction_Sub"] == "Build_Quality"
     assert house.table("review_processing").count() == 5 and house.table("review_features").count() == 4
@@ -94,12 +94,12 @@ def test_new_reviews_are_added_without_a_rewrite(spark, house):
 def test_failed_reviews_are_tried_again(spark, house):
     vectors = spark.createDataFrame([("r2", [1.0]), ("r4", [1.0, 0.0])], "Review_ID string, embedding array<float>")
     labels = {"scene": [("yoga", [1.0, 0.0]), ("nap", [0.0, 1.0])]}
-    summary = pipeline.run_tagging(house, pipeline.Tagger("v1", centroids=labels, vectors=vectors)).first()
+    summary = jobs.run_tagging(house, jobs.Tagger("v1", centroids=labels, vectors=vectors)).first()
     assert (summary["success"], summary["failed"]) == (2, 1)
     failed = house.table("review_processing").where("Processing_Status = 'FAILED'").collect()
     assert [(r["Review_ID"], bool(r["Error_Message"])) for r in failed] == [("r2", True)]
     assert house.table("review_features").where("Review_ID = 'r2'").first()["Keywords"] == ""
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     assert house.table("review_processing").where("Processing_Status = 'FAILED'").count() == 0
 
 
@@ -110,28 +110,28 @@ def test_partitions_do_not_matter(spark, warehouse):
     for parts in (1, 8):
         warehouse.create_feature_tables()
         warehouse.overwrite("review_raw", raw(spark, many).repartition(parts))
-        pipeline.run_tagging(warehouse, pipeline.Tagger("v1"))
+        jobs.run_tagging(warehouse, jobs.Tagger("v1"))
         results.append(content(warehouse))
     assert results[0] == results[1]
     assert sum("Review_ID=''" in r for r in results[0]["review_processing"]) == 1
 
 
 def test_large_backlog_path(spark, house, monkeypatch):
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     broadcasted = content(house)
     house.create_feature_tables()
     house.overwrite("review_processing", status(spark), FEATURE_TABLES["review_processing"])
-    monkeypatch.setattr(pipeline, "BROADCAST_ROWS", 0)
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    monkeypatch.setattr(jobs, "BROADCAST_ROWS", 0)
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     shuffled = content(house)
     del broadcasted["scene_bridge"], shuffled["scene_bridge"]
     assert shuffled == broadcasted
 
 
 def test_dimensions(spark, house):
-    pipeline.run_tagging(house, pipeline.Tagger("v1"))
+    jobs.run_tagging(house, jobs.Tagger("v1"))
     house.overwrite("review_raw", raw(spark, [("B_r1", "r1", "B", 5, "x", 9), ("A_r1", "r1", "A", 3, TEXTS["r1"], 1)]))
-    pipeline.rebuild_dimensions(house)
+    jobs.rebuild_dimensions(house)
     review = {r["Review_ID"]: r for r in house.table("dim_review").collect()}
     assert len(review) == 5 and review["r1"]["Rating"] == 3 and review["r1"]["Helpful"] == 1
     assert review["r5"]["Clean_Text"] is None and review["r5"]["Keywords"] is None and review["r2"]["Keywords"]
@@ -148,14 +148,14 @@ def test_product_dimension(spark):
 
 def test_etl_overwrites_or_appends(spark, warehouse, folder):
     Path(folder, "B1-x.csv").write_text(f"Title,Content,URL,Rating\nt,c,{URL.format('R1')},5\n")
-    pipeline.run_etl(spark, warehouse, folder)
-    pipeline.run_etl(spark, warehouse, folder)
+    jobs.run_etl(spark, warehouse, folder)
+    jobs.run_etl(spark, warehouse, folder)
     assert warehouse.table("review_raw").count() == 1
-    pipeline.run_etl(spark, warehouse, folder, append=True)
+    jobs.run_etl(spark, warehouse, folder, append=True)
     assert warehouse.table("review_raw").count() == 2
     empty = Path(folder, "empty")
     empty.mkdir()
-    pipeline.run_etl(spark, warehouse, str(empty))
+    jobs.run_etl(spark, warehouse, str(empty))
     assert warehouse.table("review_raw").count() == 2
 
 
@@ -165,7 +165,7 @@ def test_stream_picks_up_new_files_once(spark, warehouse, folder):
         Path(folder, "in", name).write_text(json.dumps({"Title": "t", "Content": text, "URL": URL.format(rid), "Rating": 3}) + "\n")
 
     def run():
-        ingest(spark, warehouse, f"{folder}/in", f"{folder}/state", pipeline.Tagger("v1")).awaitTermination()
+        ingest(spark, warehouse, f"{folder}/in", f"{folder}/state", jobs.Tagger("v1")).awaitTermination()
         return sorted((r["Review_ID"], r["Sub_Scene"]) for r in warehouse.table("scene_bridge").collect())
 
     land("A-1.json", "R1", "relaxing")
@@ -176,7 +176,7 @@ def test_stream_picks_up_new_files_once(spark, warehouse, folder):
     assert run() == [("R1", "emotional_relaxing"), ("R2", "emotional_cozy")]
     assert warehouse.table("review_raw").count() == 3
     # the same files under a lost stream state are not added again
-    ingest(spark, warehouse, f"{folder}/in", f"{folder}/state2", pipeline.Tagger("v1")).awaitTermination()
+    ingest(spark, warehouse, f"{folder}/in", f"{folder}/state2", jobs.Tagger("v1")).awaitTermination()
     assert warehouse.table("review_raw").count() == 3
 
 

@@ -3,6 +3,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from reviewloom.operators.keys import load_profile
 from reviewloom.operators.lookup import PATTERN_ORDER, load_lookup
 from reviewloom.schemas import LISTING_COLUMNS, REVIEW_RAW
 from reviewloom.sources.files import read_by_header
@@ -62,6 +63,25 @@ def test_empty_folder_is_no_error(spark, folder):
     assert rows is None and rejects.count() == 0
 
 
+def test_json_columns_are_found_in_any_record(spark, folder):
+    """Records without a value leave the key out, also the first record of a file."""
+    first = {"Title": "t", "URL": URL.format("R1"), "Rating": 5}
+    write(folder, "A1-x.json", json.dumps(first), json.dumps({**first, "Content": "c", "Date": "2024-03-01"}))
+    write(folder, "A2-x.json", json.dumps({"Title": "t", "Rating": 1}))
+    rows, rejects = read_landing(spark, folder, "json")
+    got = sorted((r["Clean_Text"], str(r["Review_Date"])) for r in to_review_raw(rows).collect())
+    assert got == [("t", "None"), ("t c", "2024-03-01")]
+    assert [r["missing"] for r in rejects.collect()] == [["Content", "URL"]]
+    empty = Path(folder, "none")
+    empty.mkdir()
+    assert read_landing(spark, str(empty), "json")[0] is None
+
+
+def test_load_profile(spark):
+    profile, sample = load_profile(spark.range(10))
+    assert [tuple(r) for r in profile.collect()] == [("id", "bigint", 10, 0)] and sample.count() == 3
+
+
 def test_rows_by_header(spark, folder):
     write(folder, "a.csv", "x,y", "1,2")
     write(folder, "b.csv", "y,z", "3,4")
