@@ -12,7 +12,7 @@ from reviewloom.operators import tagging
 from reviewloom.operators.keys import any_value, replace_by_key, restrict
 from reviewloom.operators.taxonomy import Rule
 from reviewloom.plans.dims import dim_asinreview, dim_review
-from reviewloom.schemas import BRIDGES, FEATURE_TABLES, REVIEW_RAW
+from reviewloom.schemas import FEATURE_TABLES, REVIEW_RAW
 from reviewloom.session import BROADCAST_ROWS, has_at_most, materialise
 from reviewloom.sources.landing import read_landing, to_review_raw
 from reviewloom.sources.warehouse import Warehouse
@@ -126,17 +126,3 @@ def rebuild_dimensions(warehouse: Warehouse) -> None:
     raw = warehouse.table("review_raw")
     warehouse.overwrite("dim_review", dim_review(raw, warehouse.table("review_features")))
     warehouse.overwrite("dim_asinreview", dim_asinreview(raw))
-
-
-__all__ = [
-    "BRIDGES",
-    "MODEL_VERSION",
-    "Tagger",
-    "finished",
-    "rebuild_dimensions",
-    "replace_rows",
-    "run_etl",
-    "run_tagging",
-    "status_rows",
-    "unprocessed",
-]

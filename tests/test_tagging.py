@@ -112,10 +112,6 @@ def test_rules_from_a_table(spark):
     assert all(r.hints == () for r in plain)
 
 
-def unit(cos):
-    return [cos, (1 - cos * cos) ** 0.5]
-
-
 # Two labels on orthogonal axes of their own: a vector (a, b, rest) scores a on the first and b on the second.
 AXES = [("Adverse_Reaction", [1.0, 0.0, 0.0]), ("Battery_Life", [0.0, 1.0, 0.0])]
 
