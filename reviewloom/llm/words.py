@@ -76,6 +76,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None
     return mix((total[ends] - total[starts]) * down[starts]), at
 
 
+def prefix_hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lengths: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each length, the hash of that many first bytes of every word (the whole word, if shorter)."""
+    starts, ends, at = word_spans(data, offsets, inside)
+    up, down = power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    return [mix((total[np.minimum(starts + n, ends)] - total[starts]) * down[starts]) for n in lengths], at
+
+
 def shingle_hashes(words: np.ndarray, at: np.ndarray, size: int = WORDS_IN_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of ``size`` words, and where each text's shingles begin.
 
