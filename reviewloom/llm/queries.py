@@ -6,8 +6,9 @@ import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewloom.llm import bagminhash, lm, packing, quality_fm, sketch, toxicity
+from reviewloom.llm import bagminhash, lm, mixing, packing, quality_fm, repeats, sketch, toxicity
 from reviewloom.llm.common import read
 
 
@@ -24,6 +25,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(read(spark, sf_dir, "documents"))
 
@@ -32,6 +37,21 @@ def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+# Shares of the mix by domain; clean documents keep their own tokens and set its size.
+DOMAIN_TARGETS = {"clean": 0.97, "low": 0.01, "toxic": 0.02}
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    domain = F.when(F.col("toxic") > 0, "toxic").when(F.col("quality") <= 0, "low").when(F.col("quality") > 0, "clean")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = labelled_domains(read(spark, sf_dir, "labels"))
+    return mixing.mixing_rates(read(spark, sf_dir, "documents"), labelled, DOMAIN_TARGETS, "clean")
+
+
 def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -41,5 +61,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bagminhash, op3_quality, op5_log_bilinear, op6_pattern_packing, op9_bottom_k, op10_toxicity)
+    f.__name__: f for f in (op1_bagminhash, op3_quality, op4_suffix_array, op5_log_bilinear, op6_pattern_packing, op7_soft_mixing, op9_bottom_k, op10_toxicity)
 }

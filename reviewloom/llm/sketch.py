@@ -117,8 +117,6 @@ def with_successor(docs: DataFrame, ranges: int) -> DataFrame:
     row is the next row of its run, and the texts are moved only once.
     """
     rows = narrowed(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # a null id stands after all others
-    order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(-(1 << 63) - 1).cast("decimal(20,0)"))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = rows.agg(F.percentile_approx("doc_id", F.array(*[F.lit(s) for s in shares]), F.lit(10 * ranges)).alias("q")).first().q if shares else []
     cuts = sorted({c for c in cuts or []}, reverse=True)
@@ -130,12 +128,12 @@ def with_successor(docs: DataFrame, ranges: int) -> DataFrame:
         run = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(run)
     placed = rows.withColumn("part", run.cast("int"))
     keys = narrowed(docs, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id")).withColumn("part", run.cast("int"))
-    # the first id of each run: at most ``ranges`` rows
-    heads = materialise(keys.groupBy("part").agg(F.max(order).alias("head")), "heads")
+    # the first id of each run, at most ``ranges`` rows; null ids stand last
+    heads = materialise(keys.groupBy("part").agg(F.max("doc_id").alias("head")), "heads")
     everything = heads.agg(F.array_sort(F.collect_list("part")).alias("parts")).first().parts
     before = {p: everything[i - 1] if i else everything[-1] for i, p in enumerate(everything)}
     to = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("part")) if before else F.lit(0)
-    first = placed.withColumn("head", order).join(F.broadcast(heads), ["part", "head"])
+    first = placed.join(F.broadcast(heads), "part").where(F.col("doc_id").eqNullSafe(F.col("head")))
     # of repeated ids the row with the smallest text leads, as it does in its own run
     first = first.groupBy("part", "doc_id").agg(F.min("text").alias("text"))
     borrowed = first.select(to.cast("int").alias("part"), "doc_id", "text", F.lit(1).alias("borrowed"))
