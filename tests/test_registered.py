@@ -2,10 +2,12 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from reviewloom.checks import oracles
+from reviewloom.checks.queries import REGISTERED as QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+
+ORACLES = oracles.build()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
