@@ -192,4 +192,6 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], ancho
     """
     _, membership, _, steps = _fitted(docs, labelled, targets, anchor, bound)
     rated = membership.added(docs).withColumn("_mix_copies", copies_of(F.col("doc_id"), rate_column(steps)))
-    return rated.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+    # the outer form: for the inner one the optimiser would filter on the copies first, and compute all of it twice
+    copied = rated.withColumn("_mix_copy", F.explode_outer(F.array_repeat(F.lit(1), F.col("_mix_copies"))))
+    return copied.where(F.col("_mix_copy").isNotNull()).select(*docs.columns)

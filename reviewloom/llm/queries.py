@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bagminhash, lm, mixing, packing, quality_fm, repeats, sketch, toxicity
+from reviewloom.llm import bagminhash, licences, lm, mixing, neighbours, packing, quality_fm, repeats, sketch, toxicity
 from reviewloom.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op1_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -52,6 +56,11 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(read(spark, sf_dir, "documents"), labelled, DOMAIN_TARGETS, "clean")
 
 
+def op8_licence_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(list(licences.TEMPLATES), "template string, text string")
+    return licences.found_licences(read(spark, sf_dir, "documents"), templates)
+
+
 def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -61,5 +70,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bagminhash, op3_quality, op4_suffix_array, op5_log_bilinear, op6_pattern_packing, op7_soft_mixing, op9_bottom_k, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_bagminhash,
+        op2_learned_partitions,
+        op3_quality,
+        op4_suffix_array,
+        op5_log_bilinear,
+        op6_pattern_packing,
+        op7_soft_mixing,
+        op8_licence_bands,
+        op9_bottom_k,
+        op10_toxicity,
+    )
 }
