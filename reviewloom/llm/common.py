@@ -27,12 +27,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def narrowed(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns of the input cannot clash with an operator's own.
 
-    Where the input has a name twice, the first of them counts.
+    Where the input has a name several times, also in other case, the exact and first one counts.
     """
-    if len(set(df.columns)) == len(df.columns):
+    low = [c.lower() for c in df.columns]
+    if len(set(low)) == len(low):
         return df.select(*columns)
-    renamed = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    return renamed.select(*[F.col(f"_c{df.columns.index(c)}").alias(c) for c in columns])
+    renamed = df.toDF(*[f"_c{i}" for i in range(len(low))])
+    place = {c: df.columns.index(c) if c in df.columns else low.index(c.lower()) for c in columns}
+    return renamed.select(*[F.col(f"_c{place[c]}").alias(c) for c in columns])
 
 
 def fold(key: str | Column, buckets: int) -> Column:

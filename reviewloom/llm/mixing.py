@@ -191,7 +191,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], ancho
     The rate is computed anew beside the text, so that texts are neither shuffled nor joined.
     """
     _, membership, _, steps = _fitted(docs, labelled, targets, anchor, bound)
-    rated = membership.added(docs).withColumn("_mix_copies", copies_of(F.col("doc_id"), rate_column(steps)))
+    whole = docs.select(F.struct("*").alias("_mix_row"), "doc_id", "text")
+    rated = membership.added(whole).withColumn("_mix_copies", copies_of(F.col("doc_id"), rate_column(steps)))
     # the outer form: for the inner one the optimiser would filter on the copies first, and compute all of it twice
     copied = rated.withColumn("_mix_copy", F.explode_outer(F.array_repeat(F.lit(1), F.col("_mix_copies"))))
-    return copied.where(F.col("_mix_copy").isNotNull()).select(*docs.columns)
+    return copied.where(F.col("_mix_copy").isNotNull()).select("_mix_row.*")

@@ -84,7 +84,8 @@ def containment(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
 def merge_groups(parts: DataFrame, key: str, sketch: str = "fingerprint", k: int = K) -> DataFrame:
     """(key, fingerprint) of all parts of each key. Values are made distinct first, so a hot key is met as
     a map-side combine over its k smallest values and never as a list of its parts."""
-    digits = F.transform(F.sequence(F.lit(0), F.length(sketch) / 8 - 1), lambda i: F.substring(F.col(sketch), (i * 8 + 1).cast("int"), F.lit(8)))
+    count = F.floor(F.length(sketch) / 8).cast("int")
+    digits = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(F.col(sketch), i * 8 - 7, F.lit(8)))
     listed = F.when(F.length(sketch) > 0, digits)
     per_part = parts.select(F.col(key), F.posexplode_outer(listed).alias("place", "value")).where(F.coalesce("place", F.lit(0)) < k)
     order = Window.partitionBy(key).orderBy("value")

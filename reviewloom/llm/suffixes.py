@@ -94,7 +94,7 @@ def induced(s: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
 
 def doubled(names: np.ndarray) -> np.ndarray:
     """Suffix order of a string of many names, by doubling the length that ranks look at."""
-    n, rank, reach = len(names), names.astype(np.int64), 1
+    n, rank, reach = len(names), np.unique(names, return_inverse=True)[1].astype(np.int64), 1
     while True:
         ahead = np.zeros(n, np.int64)
         ahead[:-reach] = rank[reach:] + 1
