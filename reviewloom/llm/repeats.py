@@ -33,9 +33,9 @@ from reviewloom.llm.words import mix, power_tables
 
 SPAN = 50
 GRAM = 20
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SHARD_ENTRIES = 2_000_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 LAST_ID = (1 << 63) - 1
 _PLACE_BITS = np.uint64(28)
 
@@ -176,31 +176,60 @@ def _segment_blobs(shards: int, homes: int):
                     flags[order[a:b]] = np.unpackbits(np.frombuffer(reply["flags"], np.uint8), count=b - a).astype(bool)
                 pick = np.flatnonzero(flags & lead[owner])
                 home = (hashes[pick] >> np.uint64(20)) % np.uint64(homes)
-                pick = pick[np.argsort(home, kind="stable")]
-                home = np.sort(home)
+                order = np.argsort(home, kind="stable")
+                pick, home = pick[order], home[order]
                 used, starts = np.unique(home, return_index=True)
-                cut = np.append(starts, len(pick))
-                lengths = last[pick] - first[pick] + SPAN
-                ends = np.cumsum(lengths)
-                take = np.repeat(first[pick] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-                flat = data[take]
-                bounds = np.concatenate([[0], ends])[cut]
-                pairs = list(zip(cut[:-1], cut[1:]))
+                # equal segments of a chunk travel once, with their smallest id; where they stood goes with them
+                begin, lengths, whose = first[pick], last[pick] - first[pick] + SPAN, ids[owner[pick]]
+                sample, kind = distinct_ranges(data, begin, lengths)
+                least = np.full(len(sample), LAST_ID, np.int64)
+                np.minimum.at(least, kind, whose)
+                rows = []
+                for a, b in zip(starts, np.append(starts[1:], len(pick))):
+                    # equal segments have one home, so the numbers of this home's contents are its own
+                    own, place = np.unique(kind[a:b], return_inverse=True)
+                    flat = data[_ranges_of(begin[sample[own]], lengths[sample[own]])]
+                    columns = (flat, lengths[sample[own]].astype(np.int32), least[own], place.astype(np.int32), begin[a:b], whose[a:b])
+                    rows.append([c.tobytes() for c in columns])
+                names = ["bytes", "lengths", "least", "kinds", "starts", "ids"]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used.astype(np.int64)),
                         pa.array([chunk.as_py()] * len(used), pa.int64()),
-                        pa.array([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-                        pa.array([lengths[a:b].astype(np.int32).tobytes() for a, b in pairs], pa.binary()),
-                        pa.array([first[pick[a:b]].astype(np.int64).tobytes() for a, b in pairs], pa.binary()),
-                        pa.array([ids[owner[pick[a:b]]].tobytes() for a, b in pairs], pa.binary()),
+                        *[pa.array([r[k] for r in rows], pa.binary()) for k in range(len(names))],
                     ],
-                    ["home", "chunk", "bytes", "lengths", "starts", "ids"],
+                    ["home", "chunk", *names],
                 )
 
     return work
 
 
+def _ranges_of(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all given ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begin - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def distinct_ranges(data: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One index for every distinct content among ranges of bytes, and the content's number for each range.
+
+    Contents are told apart by length and two 64-bit hashes.
+    """
+    up, down = power_tables(len(data) + 1)
+    end = begin + lengths
+    total = np.zeros(len(data) + 1, np.uint64)
+    keys = []
+    for twist in (1, 131):
+        np.cumsum(mix(data.astype(np.uint64) + np.uint64(twist)) * up[: len(data)], out=total[1:])
+        keys.append(mix((total[end] - total[begin]) * down[begin] + lengths.astype(np.uint64)))
+    order = np.lexsort((keys[1], keys[0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    return order[new], kind
+
+
 def smallest_owner(raw: np.ndarray, lengths: np.ndarray, ids: np.ndarray, span: int = SPAN) -> np.ndarray:
     """For every string of ``span`` bytes inside the segments, in order, the smallest id of a segment with it."""
     ends = np.cumsum(lengths)
@@ -229,57 +258,37 @@ def smallest_owner(raw: np.ndarray, lengths: np.ndarray, ids: np.ndarray, span:
 
 def _sorted_shard(group: pa.Table) -> pa.Table:
     """Ranges to remove in each chunk, from the suffix array over the shard's distinct segments."""
-    raw = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in group.column("bytes")])
-    lengths, starts, ids = (
-        np.concatenate([np.frombuffer(x.as_py(), kind) for x in group.column(name)]).astype(np.int64)
-        for name, kind in (("lengths", np.int32), ("starts", np.int64), ("ids", np.int64))
-    )
-    sizes = [len(x.as_py()) // 4 for x in group.column("lengths")]
-    chunk = np.repeat(np.array(group.column("chunk").to_pylist(), np.int64), sizes)
-    ends = np.cumsum(lengths)
-    begin = ends - lengths
-    # equal segments once, with the smallest id; equality by two hashes of the content
-    up, down = power_tables(len(raw) + 1)
-    keys = []
-    for twist in (1, 131):
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(mix(raw.astype(np.uint64) + np.uint64(twist)) * up[: len(raw)], out=total[1:])
-        keys.append(mix((total[ends] - total[begin]) * down[begin] + lengths.astype(np.uint64)))
-    order = np.lexsort((keys[1], keys[0]))
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
-    kind = np.empty(len(order), np.int64)
-    kind[order] = np.cumsum(new) - 1
-    sample = order[new]
-    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x.as_py(), kind) for x in group.column(name)])
+
+    raw, lengths, ids = joined("bytes", np.uint8), joined("lengths", np.int32).astype(np.int64), joined("least", np.int64)
+    begin = np.cumsum(lengths) - lengths
+    sample, kind = distinct_ranges(raw, begin, lengths)
+    least = np.full(len(sample), LAST_ID, np.int64)
+    np.minimum.at(least, kind, ids)
     size = lengths[sample]
-    stops = np.cumsum(size)
-    take = np.repeat(begin[sample] - (stops - size), size) + np.arange(stops[-1])
-    owners = smallest_owner(raw[take], size, least)
+    owners = smallest_owner(raw[_ranges_of(begin[sample], size)], size, least)
     strings = size - SPAN + 1
     first = np.cumsum(strings) - strings
-    # a string goes if its smallest id is below the id of the segment it stands in
-    count = strings[kind]
-    total = np.cumsum(count)
-    inside = np.arange(total[-1]) - np.repeat(total - count, count)
-    gone = owners[np.repeat(first[kind], count) + inside] < np.repeat(ids, count)
-    edge = np.zeros(len(gone) + 1, bool)
-    edge[np.append(total - count, total[-1])] = True
-    starts_run = gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]]))
-    ends_run = gone & (edge[1:] | ~np.concatenate([gone[1:], [False]]))
-    a, b = np.flatnonzero(starts_run), np.flatnonzero(ends_run)
-    which = np.searchsorted(total, a, side="right")
-    low, high = starts[which] + inside[a], starts[which] + inside[b] + SPAN
-    place = np.argsort(chunk[which], kind="stable")
-    used, cut = np.unique(chunk[which][place], return_index=True)
-    cut = np.append(cut, len(place))
-    return pa.table(
-        {
-            "chunk": pa.array(used, pa.int64()),
-            "low": pa.array([low[place[x:y]].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
-            "high": pa.array([high[place[x:y]].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
-        }
-    )
+    lows, highs, at = [], [], 0
+    for n, kinds, starts, whose in zip(*(group.column(c) for c in ("lengths", "kinds", "starts", "ids"))):
+        # a string goes if its smallest id is below the id of the document it stands in
+        own = kind[at + np.frombuffer(kinds.as_py(), np.int32)]
+        at += len(n.as_py()) // 4
+        starts, whose = np.frombuffer(starts.as_py(), np.int64), np.frombuffer(whose.as_py(), np.int64)
+        count = strings[own]
+        total = np.cumsum(count)
+        gone = owners[_ranges_of(first[own], count)] < np.repeat(whose, count)
+        edge = np.zeros(len(gone) + 1, bool)
+        edge[np.append(total - count, total[-1])] = True
+        a = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
+        b = np.flatnonzero(gone & (edge[1:] | ~np.concatenate([gone[1:], [False]])))
+        which = np.searchsorted(total, a, side="right")
+        shift = starts[which] - (total - count)[which]
+        lows.append((a + shift).tobytes())
+        highs.append((b + shift + SPAN).tobytes())
+    return pa.table({"chunk": group.column("chunk"), "low": pa.array(lows, pa.binary()), "high": pa.array(highs, pa.binary())})
 
 
 def _cleaned(keep_text: bool):
@@ -293,7 +302,7 @@ def _cleaned(keep_text: bool):
                     np.add.at(cover, np.frombuffer(reply["high"], np.int64), -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 for a, b, own, lead in zip(offsets[:-1], offsets[1:], ids, firsts):
-                    if own != lead and b - a >= SPAN:
+                    if (LAST_ID if own is None else own) != lead and b - a >= SPAN:
                         gone[a:b] = True
                 begins = gone & np.concatenate([[True], ~gone[:-1]]) if len(gone) else gone
                 begins[offsets[:-1][offsets[:-1] < len(gone)]] |= gone[offsets[:-1][offsets[:-1] < len(gone)]]
@@ -355,7 +364,8 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, beside: Column | N
     known = chunks.join(firsts, "chunk")
     asked = chunks.drop("beside").join(firsts, "chunk").join(replies, "chunk").select("chunk", "doc_ids", "firsts", "offsets", "bytes", "replies")
     blobs = asked.mapInArrow(
-        _segment_blobs(shards, homes), "home bigint, chunk bigint, bytes binary, lengths binary, starts binary, ids binary"
+        _segment_blobs(shards, homes),
+        "home bigint, chunk bigint, bytes binary, lengths binary, least binary, kinds binary, starts binary, ids binary",
     )
     ranges = blobs.groupBy("home").applyInArrow(_sorted_shard, "chunk bigint, low binary, high binary")
     ranges = materialise(ranges, "ranges").groupBy("chunk").agg(F.collect_list(F.struct("low", "high")).alias("replies"))
