@@ -108,3 +108,40 @@ def test_listing_export(spark, folder):
     assert one["price_band"].startswith("a.") and one["sub_rank"] is None and one["review_rate"] == 0.12 and str(one["listing_date"]) == "2023-01-05"
     assert rows["A3"]["price_band"] is None and rows["A3"]["is_infrared"] == "RLT" and rows["A3"]["title_bullets"] == "red light panel"
     assert rows["A4"]["parts"] == "肩颈部" and rows["A4"]["pattern"] == "neck" and rows["A4"]["is_infrared"] == "Infrared_Only"
+
+
+def test_names_with_blanks_brackets_and_other_scripts(spark, folder):
+    names = ["US(Red Light)-2024.csv", "US(肩颈)-2024.csv", "A+B 100%[x].csv", "plain-{1}.csv"]
+    for i, name in enumerate(names):
+        write(folder, name, "Title,Content,URL,Rating", f"t{i},c,{URL.format(f'R{i}')},{i}")
+    rows, rejects = read_landing(spark, folder)
+    got = {r["Title"]: r["Source_File"].rsplit("/", 1)[-1] for r in rows.collect()}
+    assert got == {f"t{i}": name for i, name in enumerate(names)} and rejects.count() == 0
+    listing = LISTING_COLUMNS[0][0]
+    write(f"{folder}/l", "US(肩 颈)-2024.csv", listing, "x")
+    assert [r["product"] for r in read_listing(spark, f"{folder}/l").collect()] == ["肩 颈"]
+
+
+def test_a_bad_file_is_a_reject_and_the_others_load(spark, folder):
+    write(folder, "c/good.csv", "Title,Content,URL,Rating", f"t,c,{URL.format('R1')},1")
+    write(folder, "c/twice.csv", "Title,Content,URL,Rating,title", f"t,c,{URL.format('R2')},1,u")
+    Path(f"{folder}/c/odd.csv").write_bytes(b"\xff\xfe\x00T\x00i\n\xc3\x28,1\n")
+    rows, rejects = read_landing(spark, f"{folder}/c")
+    assert [r["Title"] for r in rows.collect()] == ["t"]
+    reasons = {r["Source_File"].rsplit("/", 1)[-1]: r["reason"] for r in rejects.collect()}
+    assert reasons["odd.csv"] == "missing columns" and reasons["twice.csv"].startswith("repeated columns") and len(reasons) == 2
+
+    ddl = "Title string, Content string, URL string, Rating {}"
+    spark.createDataFrame([("a", "c", URL.format("R1"), 4)], ddl.format("bigint")).coalesce(1).write.parquet(f"{folder}/p/one")
+    spark.createDataFrame([("b", "c", URL.format("R2"), "5")], ddl.format("string")).coalesce(1).write.parquet(f"{folder}/p/two")
+    Path(f"{folder}/p/broken.parquet").write_bytes(b"not parquet at all")
+    rows, rejects = read_landing(spark, f"{folder}/p", "parquet")
+    assert sorted((r["Title"], r["Rating"]) for r in rows.collect()) == [("a", "4"), ("b", "5")]
+    assert [r["reason"].split(":")[0] for r in rejects.collect()] == ["unreadable"]
+
+
+def test_json_listing(spark, folder):
+    source, name, _ = LISTING_COLUMNS[0]
+    write(folder, "US(Neck)-1.json", json.dumps({source: "x"}))
+    got = read_listing(spark, folder, "json").collect()
+    assert [(r["product"], r[name]) for r in got] == [("Neck", "x")]
