@@ -52,9 +52,14 @@ def unprocessed(raw: DataFrame, status: DataFrame, version: str) -> DataFrame:
     return reviews.join(finished(status, version), "Review_ID", "left_anti")
 
 
-def run_etl(spark: SparkSession, warehouse: Warehouse, folder: str, kind: str = "csv", append: bool = False) -> DataFrame:
-    """Load the landing folder into ``review_raw``; returns the rejected files. No files, no change."""
-    rows, rejects = read_landing(spark, folder, kind)
+def run_etl(
+    spark: SparkSession, warehouse: Warehouse, folder: str, kind: str = "csv", append: bool = False, multiline: bool = True
+) -> DataFrame:
+    """Load the landing folder into ``review_raw``; returns the rejected files. No files, no change.
+
+    CSV texts may hold line breaks; ``multiline=False`` is for files known to have none, which can then be split.
+    """
+    rows, rejects = read_landing(spark, folder, kind, multiline)
     if rows is not None:
         raw = to_review_raw(rows)
         if append and warehouse.exists("review_raw"):

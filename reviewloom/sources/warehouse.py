@@ -31,12 +31,19 @@ class Warehouse:
         tables = self.spark.catalog.listTables(self.database, f"{prefix}*")
         return sorted(int(t.name[len(prefix) :]) for t in tables if t.name.startswith(prefix))
 
+    def _shown(self, name: str) -> int | None:
+        """The version behind the view. A write that failed may have left a higher one, which nobody reads."""
+        if not self.exists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.database}.{name}").where("col_name = 'View Text'").collect()
+        return int(rows[0].data_type.rsplit("__v", 1)[1])
+
     def overwrite(self, name: str, rows: DataFrame | None, ddl: str | None = None) -> None:
         """Replace the table by ``rows``, which may read the table itself. One older version is kept.
 
         With ``ddl`` the table has the declared types; ``rows`` of None leaves it empty.
         """
-        old = self._versions(name)
+        old, shown = self._versions(name), self._shown(name)
         version = (old[-1] if old else 0) + 1
         full = f"{self.database}.{name}__v{version}"
         if ddl:
@@ -46,13 +53,15 @@ class Warehouse:
         else:
             rows.write.format("parquet").saveAsTable(full)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {full}")
-        for stale in old[:-1]:
-            self.spark.sql(f"DROP TABLE {self.database}.{name}__v{stale}")
+        # what a failed write left behind goes as well
+        for stale in old:
+            if stale != shown:
+                self.spark.sql(f"DROP TABLE {self.database}.{name}__v{stale}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows in the column order of the table."""
-        newest = f"{self.database}.{name}__v{self._versions(name)[-1]}"
-        rows.select(*self.spark.table(newest).columns).write.insertInto(newest)
+        current = f"{self.database}.{name}__v{self._shown(name)}"
+        rows.select(*self.spark.table(current).columns).write.insertInto(current)
 
     def create_empty(self, name: str, ddl: str) -> None:
         self.overwrite(name, None, ddl)

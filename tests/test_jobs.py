@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewloom.operators import encode
 from reviewloom.plans import dims, jobs
 from reviewloom.schemas import BRIDGES, FEATURE_TABLES
-from reviewloom.streaming.ingest import ingest
+from reviewloom.streaming.ingest import ingest, rejected_files
 
 URL = "https://h/gp/customer-reviews/{}/ref=cm"
 TEXTS = {
@@ -202,3 +202,42 @@ def test_seed_phrases_to_centroids(spark):
     got = encode.seed_centroids(seeds, lambda df: encode.hashed_vectors(df, "seed", "phrase", 16)).orderBy("ord").collect()
     assert [r["sub"] for r in got] == ["nap", "yoga"]
     assert sum(got[0]["vec"]) == 1.5 and max(got[0]["vec"]) == 1.0
+
+
+def test_append_after_a_failed_overwrite(spark, warehouse):
+    ddl = "k bigint, v string"
+    warehouse.overwrite("things", spark.createDataFrame([(1, "a")], ddl), ddl)
+
+    class Broken(Exception):
+        pass
+
+    real = spark.sql
+
+    def failing(text, *args, **kwargs):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise Broken
+        return real(text, *args, **kwargs)
+
+    warehouse.spark = type("Session", (), {"sql": staticmethod(failing), "table": spark.table, "catalog": spark.catalog})
+    with pytest.raises(Broken):
+        warehouse.overwrite("things", spark.createDataFrame([(9, "z")], ddl), ddl)
+    warehouse.spark = spark
+    warehouse.append("things", spark.createDataFrame([(2, "b")], ddl))
+    assert sorted(tuple(r) for r in warehouse.table("things").collect()) == [(1, "a"), (2, "b")]
+    warehouse.overwrite("things", warehouse.table("things").where("k = 2"), ddl)
+    assert [tuple(r) for r in warehouse.table("things").collect()] == [(2, "b")]
+    assert len(warehouse._versions("things")) == 2
+
+
+def test_stream_and_batch_load_alike(spark, warehouse, folder):
+    landing = Path(folder, "in")
+    landing.mkdir()
+    full = {"Title": "t", "Content": "cozy", "URL": URL.format("R1"), "Rating": 3}
+    (landing / "A-1.json").write_text("".join(json.dumps(r) + "\n" for r in (full, {**full, "URL": None, "Title": "no link"})))
+    (landing / "B-1.json").write_text(json.dumps({"Content": "x", "URL": URL.format("R2")}) + "\n")
+    ingest(spark, warehouse, str(landing), f"{folder}/state", jobs.Tagger("v1")).awaitTermination()
+    streamed = sorted(map(str, warehouse.table("review_raw").drop("ETL_Time").collect()))
+    lacking = sorted((r["Source_File"], r["missing"]) for r in rejected_files(warehouse).collect())
+    rejects = jobs.run_etl(spark, warehouse, str(landing), "json")
+    assert streamed == sorted(map(str, warehouse.table("review_raw").drop("ETL_Time").collect())) and len(streamed) == 2
+    assert lacking == sorted((r["Source_File"], r["missing"]) for r in rejects.collect()) and len(lacking) == 1
