@@ -1,21 +1,23 @@
 """Ranks, running totals and exact medians over a whole table.
 
-Spark evaluates a window without PARTITION BY in one task. These operators do that only for frames whose
-row count is checked; a larger frame is range-partitioned on the ordering, each range is ranked or summed
-on its own, and the ranges are tied together by a summary of one row per range.
+Spark evaluates a window without PARTITION BY in one task. Here rows are range-partitioned on the ordering, each
+range is ranked or summed on its own, and the ranges are tied together by a summary of one row per range.
+There is one body for all sizes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewloom.session import has_at_most, materialise
+from reviewloom.session import broadcast_if_small, materialise
 
-# Rows that one task may order.
-SINGLE_TASK_ROWS = 200_000
+
+def _range_count(spark: SparkSession, ranges: int | None) -> int:
+    """As many ranges as the session has shuffle partitions, unless told."""
+    return ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _ranges(df: DataFrame, order: list, ranges: int) -> DataFrame:
@@ -24,27 +26,10 @@ def _ranges(df: DataFrame, order: list, ranges: int) -> DataFrame:
     return materialise(ranged, "ranges")
 
 
-def prepared(df: DataFrame, label: str, limit: int = SINGLE_TASK_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` written to the shared folder, and whether one task may order it."""
-    stored = materialise(df, label)
-    return stored, has_at_most(stored, limit)
-
-
-def with_ranks(
-    df: DataFrame, value: str, rank: str = "rank", dense: str = "dense_rank", single: bool | None = None, ranges: int = 200
-) -> DataFrame:
-    """Add rank (ties skip) and dense rank of ``value``, largest first. NULL ranks as zero.
-
-    ``single`` says whether one task may order the rows, as ``prepared`` found; None looks that up.
-    """
-    if single is None:
-        df, single = prepared(df, "rank")
+def with_ranks(df: DataFrame, value: str, rank: str = "rank", dense: str = "dense_rank", ranges: int | None = None) -> DataFrame:
+    """Add rank (ties skip) and dense rank of ``value``, largest first. NULL ranks as zero."""
+    ranges = _range_count(df.sparkSession, ranges)
     stored = df.withColumn("_v", F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)))
-    if single:
-        w = Window.orderBy(F.col("_v").desc())
-        ranked = stored.withColumns({rank: F.rank().over(w), dense: F.dense_rank().over(w)})
-        return ranked.withColumns({c: F.col(c).cast("bigint") for c in (rank, dense)}).drop("_v")
-
     tie_break = [F.col(c) for c in df.columns]
     parts = _ranges(stored, [F.col("_v").desc(), *tie_break], ranges)
     per_value = parts.groupBy("_range", "_v").agg(F.count(F.lit(1)).alias("n"))
@@ -89,54 +74,44 @@ def with_ranks(
     )
 
 
-def with_running_total(
-    df: DataFrame, order: list, value: str, out: str, single: bool | None = None, ranges: int = 200
-) -> DataFrame:
-    """Add the sum of ``value`` over all rows up to this one. ``order`` must be total."""
-    if single is None:
-        df, single = prepared(df, "running")
-    if single:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(w))
-    parts = _ranges(df, order, ranges)
+def with_running_total(df: DataFrame, order: list, value: str, out: str, ranges: int | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows up to this one, NULL while none has a value. ``order`` must be total."""
+    parts = _ranges(df, order, _range_count(df.sparkSession, ranges))
     totals = parts.groupBy("_range").agg(F.sum(value).alias("part"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = totals.select("_range", F.sum("part").over(before).alias("_offset"))
+    inside = F.sum(value).over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return (
-        parts.join(F.broadcast(offsets), "_range")
-        .withColumn(out, F.col("offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        parts.join(F.broadcast(offsets), "_range")  # one row per range
+        .withColumn("_inside", inside)
+        .withColumn(out, F.coalesce(F.col("_offset") + F.col("_inside"), "_inside", "_offset"))
         .select(*df.columns, out)
     )
 
 
-def exact_median(
-    df: DataFrame, by: list[str], value: str, out: str, limit: int = SINGLE_TASK_ROWS, ranges: int = 200
-) -> DataFrame:
+def exact_median(df: DataFrame, by: list[str], value: str, out: str, ranges: int | None = None) -> DataFrame:
     """Interpolated median per group, for values without a bounded domain (prices).
 
-    Rows are first counted per distinct value. Where every group has few distinct values the weighted
-    percentile is exact and cheap; otherwise positions come from a running total over (group, value).
+    Rows are first counted per distinct value; positions come from a running total over (group, value), so a
+    group with very many distinct values is spread over ranges like all others.
     """
     keys = [f"_g{i}" for i in range(len(by))]
-    counts, single = prepared(
+    counts = materialise(
         df.where(F.col(value).isNotNull())
         .groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n")),
         "median",
-        limit,
     )
     named = [F.col(k).alias(b) for b, k in zip(by, keys)]
-    if single:
-        return counts.groupBy(*keys).agg(F.percentile("_v", F.lit(0.5), F.col("_n")).alias(out)).select(*named, out)
     order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc()]
-    running = materialise(with_running_total(counts, order, "_n", "_cum", False, ranges), "median")
+    running = materialise(with_running_total(counts, order, "_n", "_cum", ranges), "median")
     groups = running.groupBy(*[F.col(k).alias(f"r{k}") for k in keys]).agg(
         F.min(F.col("_cum") - F.col("_n")).alias("_start"), F.sum("_n").alias("_rows")
     )
     if keys:
         match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in keys])
-        placed = running.join(groups, match)
+        # few groups are broadcast, so the values of a large one stay in their ranges
+        placed = running.join(broadcast_if_small(groups), match)
     else:
         placed = running.withColumns({c: groups.select(c).scalar() for c in ("_start", "_rows")})
     lower = F.col("_start") + F.floor((F.col("_rows") + 1) / 2)
@@ -144,4 +119,7 @@ def exact_median(
     first = F.col("_cum") - F.col("_n")
     middle = placed.where((first < upper) & (F.col("_cum") >= lower))
     mean_of_two = (F.min("_v") + F.max("_v")) / 2
+    if not keys:
+        # a global aggregate gives a row for no input as well, as the other measures do
+        return middle.agg(mean_of_two.alias(out))
     return middle.groupBy(*keys).agg(mean_of_two.alias(out)).select(*named, out)

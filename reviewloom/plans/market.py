@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.scalars import blank_if_zero, distinct_with_blank, ratio
-from reviewloom.operators.order import exact_median, prepared, with_ranks, with_running_total
+from reviewloom.operators.order import exact_median, with_ranks, with_running_total
+from reviewloom.session import materialise
 
 # A brand is a top brand by dense rank or by its place among all brands.
 TOP_RANK = 5
@@ -119,9 +120,9 @@ def small_median(rows: DataFrame, by: list[str], value: str, out: str) -> DataFr
 def brand_table(market: Market) -> DataFrame:
     """One row per brand under the user's filters: totals, ranks, top flags, running revenue."""
     totals = two_level(market.rows(), ["brand"]).select("brand", "monthly_units", "monthly_revenue")
-    brands, single = prepared(totals, "brands")
-    by_units = with_ranks(brands, "monthly_units", "_unit_rank", "_unit_place", single)
-    ranked = with_ranks(by_units, "monthly_revenue", "revenue_rank", "_revenue_place", single)
+    brands = materialise(totals, "brands")
+    by_units = with_ranks(brands, "monthly_units", "_unit_rank", "_unit_place")
+    ranked = with_ranks(by_units, "monthly_revenue", "revenue_rank", "_revenue_place")
     counted = brands.agg(F.count(F.lit(1)).alias("n"), F.sum("monthly_revenue").alias("revenue"))
     brands_in_all = counted.select("n").scalar()
 
@@ -139,7 +140,7 @@ def brand_table(market: Market) -> DataFrame:
         (F.col("revenue_rank") <= 10).alias("is_top10_brand"),
     )
     order = [F.coalesce("monthly_revenue", F.lit(0)).desc(), F.col("brand").asc_nulls_first()]
-    running = with_running_total(flagged, order, "monthly_revenue", "cumulative_revenue", single)
+    running = with_running_total(flagged, order, "monthly_revenue", "cumulative_revenue")
     # the brand is part of the inner key, so brand totals add up to the total of the selection
     total = counted.select("revenue").scalar()
     return running.withColumn("pareto_share", ratio(F.col("cumulative_revenue"), total))

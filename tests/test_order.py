@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reviewloom.operators.order import exact_median, with_ranks, with_running_total
@@ -16,41 +17,48 @@ def brands(spark):
     return spark.createDataFrame(rows, "brand string, rev bigint")
 
 
-@pytest.mark.parametrize("single", [True, False])
-def test_ranks(spark, single):
+@pytest.mark.parametrize("ranges", [1, 4, None])
+def test_ranks(spark, ranges):
     df = spark.createDataFrame(SIX, "brand string, rev bigint")
-    got = with_ranks(df, "rev", single=single, ranges=4).orderBy("brand").collect()
+    got = with_ranks(df, "rev", ranges=ranges).orderBy("brand").collect()
     assert [r["rank"] for r in got] == [1, 2, 2, 4, 5, 6]
     assert [r["dense_rank"] for r in got] == [1, 2, 2, 3, 4, 5]
 
 
-@pytest.mark.parametrize("single", [True, False])
-def test_running_total(spark, single):
+@pytest.mark.parametrize("ranges", [1, 4, None])
+def test_running_total(spark, ranges):
     df = spark.createDataFrame(SIX, "brand string, rev bigint")
     order = [F.col("rev").desc(), F.col("brand").asc()]
-    got = with_running_total(df, order, "rev", "cum", single=single, ranges=4).orderBy("brand").collect()
+    got = with_running_total(df, order, "rev", "cum", ranges=ranges).orderBy("brand").collect()
     assert [r["cum"] for r in got] == [100, 190, 280, 360, 430, 490]
 
 
-def test_ranges_agree_with_one_window(brands):
-    one = with_ranks(brands, "rev", single=True).orderBy("brand").collect()
-    assert with_ranks(brands, "rev", single=False, ranges=9).orderBy("brand").collect() == one
-    order = [F.coalesce("rev", F.lit(0)).desc(), F.col("brand").asc()]
-    one = with_running_total(brands, order, "rev", "cum", single=True).orderBy("brand").collect()
-    assert with_running_total(brands, order, "rev", "cum", single=False, ranges=9).orderBy("brand").collect() == one
+@pytest.mark.parametrize("ranges", [1, 3, None])
+def test_running_total_is_blank_until_a_value_was_seen(spark, ranges):
+    rows = [(i, None if i < 5 else i) for i in range(10)]
+    got = with_running_total(spark.createDataFrame(rows, "k int, v bigint"), [F.col("k").asc()], "v", "cum", ranges).orderBy("k").collect()
+    assert [r["cum"] for r in got] == [None] * 5 + [5, 11, 18, 26, 35]
+    nothing = with_running_total(spark.createDataFrame([(1, None), (2, None)], "k int, v bigint"), [F.col("k").asc()], "v", "cum", ranges)
+    assert [r["cum"] for r in nothing.collect()] == [None, None]
 
 
-def test_sizes_are_looked_up(brands):
-    assert with_ranks(brands, "rev").count() == 2000
+def test_ranges_agree_with_one_window(brands):
+    value = F.coalesce("rev", F.lit(0)).desc()
+    w = Window.orderBy(value)
+    one = brands.withColumns({"rank": F.rank().over(w).cast("bigint"), "dense_rank": F.dense_rank().over(w).cast("bigint")})
+    assert with_ranks(brands, "rev", ranges=9).orderBy("brand").collect() == one.orderBy("brand").collect()
+    order = [value, F.col("brand").asc()]
+    one = brands.withColumn("cum", F.sum("rev").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    assert with_running_total(brands, order, "rev", "cum", ranges=9).orderBy("brand").collect() == one.orderBy("brand").collect()
 
 
-def test_median_paths_agree(brands):
+def test_medians_agree_with_sorting(brands):
     rows = brands.withColumns({"g": F.when(F.crc32("brand") % 3 > 0, F.crc32("brand") % 3), "v": (F.crc32("brand") % 997) / 7})
     plain = sorted(map(str, rows.groupBy("g").agg(F.median("v").alias("m")).collect()))
     assert sorted(map(str, exact_median(rows, ["g"], "v", "m").collect())) == plain
-    assert sorted(map(str, exact_median(rows, ["g"], "v", "m", limit=1, ranges=7).collect())) == plain
+    assert sorted(map(str, exact_median(rows, ["g"], "v", "m", ranges=7).collect())) == plain
     whole = rows.agg(F.median("v")).first()[0]
-    assert exact_median(rows, [], "v", "m").first()[0] == exact_median(rows, [], "v", "m", limit=1, ranges=5).first()[0] == whole
+    assert exact_median(rows, [], "v", "m").first()[0] == exact_median(rows, [], "v", "m", ranges=5).first()[0] == whole
 
 
 def test_median_skips_missing(spark):
