@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from reviewloom.checks import small_taxonomy as small
-from reviewloom.functions.keywords import DOMAIN_WORDS, NUMBER_WORDS, STOP_WORDS
 from reviewloom.operators.tagging import label_patterns
 
 PLACES = """FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
@@ -53,7 +52,7 @@ VIEWS = {
     "parents": """SELECT brand, parent_asin, max(monthly_units) AS u, max(monthly_revenue) AS r FROM listing GROUP BY ALL""",
     "brands": """SELECT brand, CAST(sum(u) AS BIGINT) AS monthly_units, CAST(sum(r) AS BIGINT) AS monthly_revenue FROM parents GROUP BY brand""",
     "seeds": """SELECT label, CAST(pos - 1 AS INT) AS pos, avg(x) AS x FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x,
-  generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE vec_id % 2 = 0) GROUP BY 1, 2""",
+  generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY 1, 2""",
     "centroids": "SELECT label, list(x ORDER BY pos) AS vec FROM seeds GROUP BY label",
     "scored": """SELECT vec_id, CAST(c.label AS VARCHAR) AS label,
   list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.vec) AS sim FROM embeddings e, centroids c""",
@@ -175,15 +174,26 @@ def text_list(words) -> str:
     return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
-WORDS = f"""SELECT {{key}}, CASE WHEN w = 'lytion' AND {{mapped}} THEN 'ly' ELSE w END AS w, pos FROM (
-  SELECT {{key}}, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
-  FROM (SELECT {{key}}, regexp_extract_all(lower({{text}}), '[\\p{{{{L}}}}\\p{{{{N}}}}]+') AS ws FROM {{table}}))
-  WHERE w NOT IN {text_list((*STOP_WORDS, *NUMBER_WORDS))} AND NOT regexp_matches(w, '^\\p{{{{N}}}}+$')"""
+# What the keyword queries must leave out, said here once more and not taken from the library.
+LEFT_OUT = """a about above after again all also am an and any are as at be because been before being below
+    between both but by can could did do does doing down during each eight eighty eleven few fifty five
+    for forty four from further had has have having he her here hers him his how hundred i if in into is
+    it its itself just me million more most my nine ninety no nor not now of off on once one only or
+    other our out over own same seven seventy she should six sixty so some such ten than that the their
+    them then there these they thirty this those thousand three through to too twelve twenty two under
+    until up us very was we were what when where which while who whom why will with would you your zero""".split()
+SHORT_KEPT = """emf ems fir ir led nmp red rf uv""".split()
+WORDS = """SELECT {key}, CASE WHEN w = 'lytion' AND {mapped} THEN 'ly' ELSE w END AS w, pos FROM (
+  SELECT {key}, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM (SELECT {key}, [
+    regexp_replace(x, chr(39) || '(s|re|ve|ll|d|m)$', '') FOR x IN
+    regexp_extract_all(translate(lower({text}), chr(8217) || chr(700), chr(39) || chr(39)), '[\\p{{L}}\\p{{N}}]+(?:''\\p{{L}}+)*')
+    IF NOT regexp_matches(x, 'n''t$')] AS ws FROM {table}))
+  WHERE w NOT IN {left_out} AND NOT regexp_matches(w, '^\\p{{N}}+$')"""
 
 
 def words(key: str, text: str, table: str, mapped: str) -> str:
-    inner = WORDS.format(key=key, text=text, table=table, mapped=mapped).replace("{{", "{").replace("}}", "}")
-    return f"words AS (SELECT * FROM ({inner}) WHERE length(w) >= 3 OR w IN {text_list(DOMAIN_WORDS)})"
+    inner = WORDS.format(key=key, text=text, table=table, mapped=mapped, left_out=text_list(LEFT_OUT))
+    return f"words AS (SELECT * FROM ({inner}) WHERE length(w) >= 3 OR w IN {text_list(SHORT_KEPT)})"
 
 
 LINES = "lookup AS (SELECT DISTINCT p_type AS product, lower(term) AS term, concat(lower(term), ':', CAST(pr AS VARCHAR)) AS type, pr FROM ("
@@ -284,9 +294,8 @@ def build() -> dict[str, str]:
         "reviews", "motivation", "friction",
     )
     o["location_friction_matrix"] = sql(
-        """SELECT label AS location, nullif(count(DISTINCT CASE WHEN f.main = 'F' THEN review_id END), 0) AS "F",
-        nullif(count(DISTINCT CASE WHEN f.main = 'O' THEN review_id END), 0) AS "O"
-        FROM location JOIN friction f USING (review_id) JOIN reviews USING (review_id) GROUP BY label""",
+        """SELECT label AS location, f.main AS friction_main, count(DISTINCT review_id) AS location_friction_reviews
+        FROM location JOIN friction f USING (review_id) JOIN reviews USING (review_id) GROUP BY ALL""",
         "reviews", "location", "friction",
     )
     o["scene_time_location"] = sql(
@@ -531,7 +540,7 @@ def build() -> dict[str, str]:
         "best",
     )
     o["rules_then_centroids"] = sql(
-        f"""SELECT doc_id AS Review_ID, sub AS Sub_Scene FROM ({tags('scene')}) WHERE doc_id IN (SELECT vec_id FROM embeddings)
+        f"""SELECT doc_id AS Review_ID, sub AS Sub_Scene FROM ({tags('scene')})
         UNION ALL SELECT vec_id, best FROM best JOIN documents ON doc_id = vec_id WHERE score >= 0.5 AND margin >= 0.03 AND trim(text) <> ''
         AND vec_id NOT IN (SELECT doc_id FROM ({tags('scene')}))""",
         "best",

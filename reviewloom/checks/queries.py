@@ -114,8 +114,7 @@ def motivation_friction_matrix(spark, folder):
 
 @query
 def location_friction_matrix(spark, folder):
-    cells = evaluate(s.model(spark, folder), ["location_friction_reviews"], ["location", "friction_main"])
-    return cells.groupBy("location").pivot("friction_main", ["F", "O"]).agg(F.max("location_friction_reviews"))
+    return evaluate(s.model(spark, folder), ["location_friction_reviews"], ["location", "friction_main"])
 
 
 @query
@@ -542,9 +541,8 @@ def run_summary(spark, folder):
 
 
 def label_centroids(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean vector of every label, from the even-numbered vectors."""
-    seeds = s.read(spark, folder, "embeddings").where(F.pmod("vec_id", F.lit(2)) == 0)
-    return vectors.centroids(seeds, ["label"], "embedding")
+    """Mean vector of every label."""
+    return vectors.centroids(s.read(spark, folder, "embeddings"), ["label"], "embedding")
 
 
 @query
@@ -585,12 +583,12 @@ def centroid_fallback(spark, folder):
 
 @query
 def rules_then_centroids(spark, folder):
-    """Documents with vectors: a scene by rule, else by centroid."""
+    """All documents: a scene by rule, else by centroid where there is a vector."""
     labels = vectors.load_centroids(label_centroids(spark, folder), "label")
     docs = s.read_spread(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("Review_ID"), F.col("text").alias("Clean_Text"), F.lit(None).cast("bigint").alias("Rating"))
     vecs = s.read(spark, folder, "embeddings").select(F.col("vec_id").alias("Review_ID"), "embedding")
     rules = [r for r in small.RULES if r.family == "scene"]
-    tagged = tagging.tag_reviews(docs.join(vecs, "Review_ID"), rules, {"scene": labels}, vector="embedding")
+    tagged = tagging.tag_reviews(docs.join(vecs, "Review_ID", "left"), rules, {"scene": labels}, vector="embedding")
     return tagging.bridges(tagged)["scene_bridge"].select("Review_ID", "Sub_Scene")
 
 

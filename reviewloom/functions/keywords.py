@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import zlib
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Short domain words that are kept although they have fewer than three letters or so.
@@ -39,9 +38,14 @@ BASE_FORMS = {
     "charging": "charge", "better": "well", "best": "good",
 }
 
-MAX_LITERAL_FORMS = 500
+# A word keeps the apostrophes inside it, so that contractions are seen whole.
+WORD = "[\\p{L}\\p{N}]+(?:'\\p{L}+)*"
+# Contracted negations are function words like "not"; other contracted endings are cut off.
+NEGATED = "n't$"
+ENDING = "'(?:s|re|ve|ll|d|m)$"
 
-WORD = "[\\p{L}\\p{N}]+"
+# Forms per bucket of a base-form table, whose lookup is linear inside a bucket.
+FORMS_PER_BUCKET = 8
 
 
 def keyword_list(
@@ -53,15 +57,11 @@ def keyword_list(
     """Words in text order with repeats, as an array."""
     forms = BASE_FORMS if forms is None else forms
     dropped = (*stop_words, *NUMBER_WORDS)
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    content = F.filter(words, lambda w: ~w.isin(*dropped) & ~w.rlike("^\\p{N}+$"))
-    if len(forms) > MAX_LITERAL_FORMS:
-        based = _mapped(forms)(content)
-    elif forms:
-        table = F.create_map(*[F.lit(v) for v in chain.from_iterable(forms.items())])
-        based = F.transform(content, lambda w: F.coalesce(F.try_element_at(table, w), w))
-    else:
-        based = content
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\u2019\u02bc", "''")
+    words = F.filter(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)), lambda w: ~w.rlike(NEGATED))
+    cut = F.transform(words, lambda w: F.regexp_replace(w, ENDING, ""))
+    content = F.filter(cut, lambda w: ~w.isin(*dropped) & ~w.rlike("^\\p{N}+$"))
+    based = F.transform(content, lambda w: F.coalesce(base_form(w, forms), w)) if forms else content
     return F.filter(based, lambda w: (F.length(w) >= 3) | w.isin(*keep))
 
 
@@ -69,11 +69,18 @@ def keyword_bag(text: Column, **options) -> Column:
     return F.array_join(keyword_list(text, **options), ";")
 
 
-def _mapped(forms: dict[str, str]):
-    """Arrow lookup for base-form tables too large for a literal map (whose lookup is linear)."""
+def base_form(word: Column, forms: dict[str, str]) -> Column:
+    """The form's base, or NULL: a literal table, split by the word's crc32 so that each part stays short."""
+    buckets = -(-len(forms) // FORMS_PER_BUCKET)
+    parts: list[list[str]] = [[] for _ in range(buckets)]
+    for form, base in forms.items():
+        parts[zlib.crc32(form.encode()) % buckets] += [form, base]
+    empty = F.create_map().cast("map<string,string>")
+    tables = F.array(*[F.create_map(*[F.lit(x) for x in part]) if part else empty for part in parts])
+    return F.try_element_at(F.get(tables, (F.crc32(word.cast("binary")) % buckets).cast("int")), word)
 
-    @F.pandas_udf("array<string>")
-    def lookup(words: pd.Series) -> pd.Series:
-        return words.map(lambda row: [forms.get(w, w) for w in row])
 
-    return lookup
+def load_forms(table: DataFrame) -> dict[str, str]:
+    """Base forms from a table (form, base); of several bases the first in order counts."""
+    rows = table.where(F.col("form").isNotNull() & F.col("base").isNotNull()).groupBy(F.lower("form").alias("form")).agg(F.min("base").alias("base"))
+    return {r.form: r.base for r in rows.collect()}
