@@ -1,5 +1,66 @@
-"""SQL that gives the same rows as a registered corpus query, where SQL can express it."""
+"""SQL that gives the same rows as a registered corpus query, where SQL can express it.
+
+The other queries rest on trained models, sketches, approximate search or a tokenizer, or (repeated passages) take
+minutes in SQL on the smallest table; their tests compare them with brute force, round trips and held-out labels.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from reviewloom.llm import licences
+
+# All pairs of texts with equal shingles, by exact counts; classes are the reachable sets.
+NEAR_DUPLICATES = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [v FOR v IN string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+') IF v <> ''] AS w FROM documents),
+grams AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM words),
+bags AS (SELECT doc_id, g, count(*) AS n FROM grams GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS weight FROM bags GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS s
+  FROM bags a JOIN bags b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+firsts AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+alike AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE CAST(s AS DOUBLE) / (x.weight + y.weight - s) >= 0.8),
+linked AS (
+  SELECT DISTINCT least(fa.first, fb.first) AS a, greatest(fa.first, fb.first) AS b
+  FROM alike JOIN firsts fa ON fa.doc_id = a JOIN firsts fb ON fb.doc_id = b WHERE fa.first <> fb.first),
+both_ways AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reach(node, other) AS (
+  SELECT first, first FROM firsts
+  UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a),
+roots AS (SELECT node, min(other) AS root FROM reach GROUP BY node)
+SELECT doc_id, root AS class_id, doc_id = root AS kept, coalesce(weight, 0) AS weight
+FROM firsts JOIN roots ON node = first LEFT JOIN sizes USING (doc_id)
+"""
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def licence_sql() -> str:
+    rows = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licences.TEMPLATES)
+    split = "[v FOR v IN string_split_regex(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') IF v <> '']"
+
+    def runs(key: str, table: str) -> str:
+        listed = "CASE WHEN len(w) < 5 THEN [] ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END"
+        return f"SELECT DISTINCT {key}, unnest({listed}) AS g FROM (SELECT {key}, {split} AS w FROM {table})"
+
+    return f"""
+WITH templates(template, text) AS (VALUES {rows}),
+sought AS ({runs("template", "templates")}),
+sizes AS (SELECT template, CAST(count(*) AS INT) AS n_template FROM sought GROUP BY template),
+met AS (
+  SELECT doc_id, template, CAST(count(*) AS INT) AS n_shared
+  FROM ({runs("doc_id", "documents")}) d JOIN sought USING (g) GROUP BY ALL)
+SELECT doc_id, template, n_shared, n_template, CAST(n_shared AS DOUBLE) / n_template AS containment
+FROM met JOIN sizes USING (template) WHERE CAST(n_shared AS DOUBLE) / n_template >= {licences.CONTAINMENT}
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_bagminhash": NEAR_DUPLICATES,
+    "op8_licence_bands": licence_sql(),
+}
