@@ -29,8 +29,6 @@ FEATURE_TABLES = {
 }
 BRIDGES = ("scene_bridge", "friction_bridge", "motivation_bridge", "time_bridge", "location_bridge")
 
-LOOKUP = "Product STRING, Term STRING, Type STRING, Priority STRING"
-MODEL_MAPPING = "ASIN STRING, Model STRING"
 
 # Listing export: header in the file (fixed values) -> our column name and type. Percentages are doubles.
 LISTING_COLUMNS = (

@@ -1,3 +1,4 @@
+import shutil
 import sys
 from pathlib import Path
 
@@ -11,7 +12,8 @@ from reviewloom.sources.warehouse import Warehouse  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests",
         "local[4]",
@@ -20,11 +22,13 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{shared}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 @pytest.fixture
