@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,9 @@ from reviewloom.session import has_at_most, materialise
 BROADCAST_IDS = 300_000
 
 # Bytes of text that numpy works on at once inside a task; a longer text is one piece of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
-__all__ = ["batch_chunks", "components", "fold", "materialise", "narrowed", "one_worker_each", "read", "semi", "text_array"]
+__all__ = ["batch_chunks", "components", "fold", "materialise", "narrowed", "one_worker_each", "read", "semi", "small_batches", "text_array"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,17 @@ def one_worker_each(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what travels to a Python worker at a time, unless the session is stricter already.
+
+    Texts are long: the default of ten thousand rows or 64 MB would be held twice in the JVM and in the worker.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1_000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0) if not spark.conf.get(key).startswith("-") else 0
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
 def semi(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids``. Few ids are broadcast, so that wide rows stay where they are."""
     return df.join(F.broadcast(ids) if has_at_most(ids, BROADCAST_IDS) else ids, key, "left_semi")

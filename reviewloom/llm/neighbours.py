@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import materialise, narrowed
+from reviewloom.llm.common import materialise, narrowed, small_batches
 
 # Vectors that the graph and the classifier are made from, at most: those whose ids hash lowest.
 SAMPLE = 6_000
@@ -35,7 +35,7 @@ GRAPH_DEGREE = 10
 ROWS_PER_PART = 2_000
 FEWEST_PARTS, MOST_PARTS = 4, 128
 HIDDEN = 96
-RECALL = 0.97
+RECALL = 0.99
 BLOCK_ROWS = 4_096
 BLOCK_QUERIES = 1_024
 K = 10
@@ -201,6 +201,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, sample: int = SAMPLE,
     ``rows`` has vec_id and embedding; ``is_query`` is a column over vec_id. Scores are Euclidean distances.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     given = narrowed(rows, "vec_id", "embedding").select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     good = given.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     width = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import batch_chunks, materialise, narrowed
+from reviewloom.llm.common import batch_chunks, materialise, narrowed, small_batches
 from reviewloom.llm.words import mix, power_tables, word_spans
 
 CAPACITY = 4096
@@ -141,6 +141,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     ``rank`` counts the pieces of the same length inside the task.
     """
+    small_batches(docs.sparkSession)
     rows = narrowed(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import batch_chunks, fold, narrowed
+from reviewloom.llm.common import batch_chunks, fold, narrowed, small_batches
 from reviewloom.llm.labelled import labelled_sample
 from reviewloom.llm.words import counted, letters_only, lowered, shingle_hashes, word_hashes
 
@@ -187,6 +187,7 @@ def quality_model(docs: DataFrame, labels: DataFrame, train: Column, bound: int
 def with_quality(docs: DataFrame, model: FactorisationMachine, score: str = "score") -> DataFrame:
     """``docs`` with the model's probability of good quality in the column ``score`` (replaced, if there)."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # some 300 kB, whatever the input
     schema = docs.drop(score).schema
     n = len(schema)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import batch_chunks, materialise, narrowed, one_worker_each
+from reviewloom.llm.common import batch_chunks, materialise, narrowed, one_worker_each, small_batches
 from reviewloom.llm.suffixes import permuted_prefixes, suffix_array
 from reviewloom.llm.words import mix, power_tables
 
@@ -337,6 +337,7 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, beside: Column | N
     that is left comes with ``keep_text``. ``beside`` is a column of the input to hand on unchanged.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     parts = one_worker_each(spark)
     source = narrowed(docs, "doc_id", "text") if beside is None else docs
     more = [] if beside is None else [beside.alias("beside")]

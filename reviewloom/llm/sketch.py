@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import batch_chunks, materialise, narrowed, one_worker_each
+from reviewloom.llm.common import batch_chunks, materialise, narrowed, one_worker_each, small_batches
 from reviewloom.llm.words import text_shingles
 
 K = 128
@@ -154,6 +154,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, ranges: int | None = None)
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_shingles.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     dealt = with_successor(docs, ranges or one_worker_each(spark))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
