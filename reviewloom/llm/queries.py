@@ -18,7 +18,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bagminhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return bagminhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept", "weight")
 
 
 def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
