@@ -6,6 +6,7 @@ from reviewloom.checks import oracles
 from reviewloom.checks.queries import REGISTERED as QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 
 ORACLES = oracles.build()
 
@@ -31,4 +32,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     problem = compare(spark, duck, name, QUERIES[name], ORACLES[name], FOLDER)
+    if problem == "no rows":
+        # too little data here; nothing on both sides shows nothing, so there must be rows in the larger tables
+        problem = compare(spark, connect(LARGER), name, QUERIES[name], ORACLES[name], LARGER)
     assert problem == ""
