@@ -12,8 +12,8 @@ Targets are shares of the mix. Its size is set by the anchor domain, which keeps
 
 Defined cases: a null text counts as empty; a text without words has the prior as posterior, no tokens, and
 the rate its posterior gives; labels without id or domain, or of a domain without target, are left out, and
-of several labels of one id the first in order of the targets counts; a domain without a labelled row has no
-members, and its target is left open; without any labelled row all documents belong to the anchor. Every
+of several labels of one id the first in order of the targets counts; a domain without a labelled row among
+the documents has no members, and its target is left open; without any labelled row all documents belong to the anchor. Every
 input row gives one output row.
 """
 
@@ -35,6 +35,8 @@ TOLERANCE = 1e-4
 SMOOTH = 0.5
 # Weight of the summed evidence per square root of a text's words.
 SHARP = 4.0
+# Log prior of a domain without labelled rows.
+ABSENT = -1e9
 
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
@@ -55,10 +57,14 @@ class Membership:
 
     @staticmethod
     def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int = BUCKETS, bound: int = BOUND) -> Membership:
-        """Naive Bayes from at most ``bound`` rows of ``labelled`` (doc_id, domain), those whose ids hash lowest."""
+        """Naive Bayes from at most ``bound`` of the ``docs`` in ``labelled`` (doc_id, domain), those whose ids hash lowest.
+
+        Priors and words are counted over the same rows: labels of documents that ``docs`` does not hold say nothing.
+        """
         order = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain"))
         rows = narrowed(labelled, "doc_id", "domain").where(F.col("doc_id").isNotNull() & F.col("domain").isin(*domains))
         chosen = rows.withColumn("k", order - 1).groupBy("doc_id").agg(F.min("k").alias("k"))
+        chosen = chosen.join(narrowed(docs, "doc_id"), "doc_id", "left_semi")
         chosen = materialise(chosen.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(bound), "members")
         texts = narrowed(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
         words = texts.select("k", F.explode(word_buckets(F.col("text"), buckets)).alias("bucket"))
@@ -66,7 +72,7 @@ class Membership:
             words.groupBy("bucket").agg(*[F.count(F.when(F.col("k") == k, 1)).alias(f"n{k}") for k in range(len(domains))]), "buckets"
         )
         totals = per_bucket.agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(len(domains))]).first()
-        counts = {r.k: r["count"] for r in chosen.groupBy("k").count().collect()}
+        counts = {r.k: r["count"] for r in texts.groupBy("k").count().collect()}
         seen = sum(counts.values())
         every = sum(totals)
         # the logarithm of a domain's smoothed rate of each bucket, relative to the first domain's
@@ -87,7 +93,7 @@ class Membership:
         # (domains - 1) lists of ``buckets`` numbers, as constants of the expressions that use them
         flat = [list(w) for w in flat.first()]
         if not seen:
-            return Membership(domains, flat, [0.0] + [-1e9] * (len(domains) - 1))
+            return Membership(domains, flat, [0.0] + [ABSENT] * (len(domains) - 1))
         priors = [float(_log((counts.get(k, 0)) / seen)) for k in range(len(domains))]
         return Membership(domains, flat, priors)
 
@@ -115,12 +121,13 @@ class Membership:
         top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
         powers = raw.withColumns({n: F.exp(F.greatest(F.col(n) - top, F.lit(-700.0))) for n in names})
         whole = sum(F.col(n) for n in names)
-        shares = powers.withColumns({f"_mix_p{k}": F.col(n) / whole for k, n in enumerate(names)})
+        # a domain without labelled rows has exactly no members, so that it cannot be the anchor either
+        shares = powers.withColumns({f"_mix_p{k}": F.col(n) / whole if self.priors[k] > ABSENT else F.lit(0.0) for k, n in enumerate(names)})
         return shares.drop("_mix_found", *names)
 
 
 def _log(x: float) -> float:
-    return math.log(x) if x > 0 else -1e9
+    return math.log(x) if x > 0 else ABSENT
 
 
 def rate_column(steps: list[list[float]]) -> Column:

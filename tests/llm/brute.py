@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 
 
@@ -60,3 +61,28 @@ def near_classes(docs: list[tuple[int, str | None]], similarity: float = 0.8) ->
                 low, high = sorted((find(i), find(j)))
                 root[high] = low
     return {i: find(i) for i in root}
+
+
+def memberships(buckets: dict[int, list[int]], domain: dict[int, str], domains: list[str], size: int, smooth: float, sharp: float) -> dict[int, list[float]]:
+    """doc_id -> posterior of each domain by naive Bayes, fitted on the labelled ids among ``buckets`` only."""
+    words = [Counter() for _ in domains]
+    rows = [0] * len(domains)
+    for i, found in buckets.items():
+        if domain.get(i) in domains:
+            k = domains.index(domain[i])
+            rows[k] += 1
+            words[k].update(found)
+    every, mass = sum(sum(c.values()) for c in words), smooth * size
+    seen = set().union(*words)
+
+    def rate(k: int, b: int) -> float:
+        return (words[k][b] + mass * (sum(c[b] for c in words) + 1) / (every + size)) / (sum(words[k].values()) + mass)
+
+    logs = {b: [math.log(rate(k, b) / rate(0, b)) for k in range(len(domains))] for b in seen}
+    out = {}
+    for i, found in buckets.items():
+        score = [math.log(n / sum(rows)) if n else -math.inf for n in rows]
+        score = [s + sharp * sum(logs[b][k] for b in found if b in logs) / math.sqrt(max(len(found), 1)) for k, s in enumerate(score)]
+        powers = [math.exp(s - max(score)) for s in score]
+        out[i] = [p / sum(powers) for p in powers]
+    return out

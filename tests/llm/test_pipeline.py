@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from reviewloom.llm.queries import REGISTERED
+from reviewloom.llm import mixing
+from reviewloom.llm.queries import DOMAIN_TARGETS, REGISTERED, labelled_domains
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -73,3 +74,20 @@ def test_run_equals_the_stages(spark, stages):
     got = pipeline.run(spark, SMALL)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, stages[5].select(*key).collect()))
+
+
+def test_mixture_keeps_clean_documents(spark, stages):
+    labels = labelled_domains(spark.read.parquet(f"{SMALL}/labels.parquet"))
+    got = {r.doc_id: r for r in mixing.mixing_rates(stages[3], labels, DOMAIN_TARGETS, "clean").collect()}
+    domain = dict(pairs_of(labels))
+    buckets = {i: list(w) for i, w in pairs_of(stages[3].select("doc_id", mixing.word_buckets(F.col("text"))))}
+    want = brute.memberships(buckets, domain, list(DOMAIN_TARGETS), mixing.BUCKETS, mixing.SMOOTH, mixing.SHARP)
+    assert sorted(got) == sorted(want)
+    for i, shares in want.items():
+        assert [got[i][f"p_{d}"] for d in DOMAIN_TARGETS] == pytest.approx(shares, abs=1e-6)
+    clean = [i for i in got if domain.get(i) == "clean"]
+    assert sum(got[i].copies == 0 for i in clean) <= 0.03 * len(clean)
+
+
+def pairs_of(df):
+    return [tuple(r) for r in df.where("doc_id IS NOT NULL").collect() if r[1] is not None]
