@@ -43,7 +43,7 @@ def mixed_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 4096 tokens."""
-    return packing.packed(docs, tokenizer_path())
+    return packing.packed(docs, tokenizer_path(), as_loaded=True)
 
 
 STAGES = [

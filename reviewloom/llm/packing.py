@@ -8,12 +8,14 @@ down, and the lengths left over are packed best-fit, largest first, again by cou
 (length, rank) its sequence and offset; ranks inside a length come from one count per task.
 
 Defined cases: a null text counts as empty, and an empty text is one piece with the end token; equal ids and
-equal texts are packed as separate documents; an empty table gives an empty result.
+equal texts are packed as separate documents; an empty table gives an empty result. Markers that the tokenizer
+adds, such as <|endoftext|>, are text like any other unless ``as_loaded``, which gives them their own ids.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,10 +39,21 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    # texts are split at markers before, where that is wanted; a unit in lower case may only look like one
     tokenizer.encode_special_tokens = True
     return tokenizer
 
 
+def _markers(tokenizer) -> dict[bytes, int]:
+    """Bytes and id of every token added to the vocabulary; those found other than as they stand are refused."""
+    found = {}
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        if token.normalized or token.single_word or token.lstrip or token.rstrip:
+            raise ValueError(f"the added token {token.content!r} is not found by its bytes alone")
+        found[token.content.encode()] = number
+    return found
+
+
 class WordIds:
     """Token ids of texts whose tokenizer ignores case, white space and what stands beside a run of letters.
 
@@ -49,8 +62,11 @@ class WordIds:
     ids of a unit are asked of the tokenizer once and then found by the unit's 64-bit hash.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_loaded: bool = False):
         self.tokenizer = _tokenizer(path)
+        self.markers = _markers(self.tokenizer) if as_loaded else {}
+        # the first one in the text, and of those the longest
+        self.marker = re.compile(b"|".join(re.escape(m) for m in sorted(self.markers, key=len, reverse=True))) if self.markers else None
         self.forget()
 
     def forget(self) -> None:
@@ -110,6 +126,30 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's ids begin."""
+        raw = data.tobytes() if self.marker else b""
+        if not self.marker or not self.marker.search(raw):
+            return self._encoded(data, offsets)
+        bounds, at_text, places, own = [], [], [], []
+        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            at_text.append(len(bounds))
+            bounds.append(start)
+            for found in self.marker.finditer(raw, start, end):
+                places.append(len(bounds))
+                own.append(self.markers[found.group()])
+                bounds += found.span()
+        at_text.append(len(bounds))
+        bounds.append(int(offsets[-1]))
+        ids, at = self._encoded(data, np.array(bounds, np.int64))
+        counts = np.diff(at)
+        inside = np.repeat(~np.isin(np.arange(len(counts)), places), counts)
+        counts[places] = 0
+        before = np.concatenate([[0], np.cumsum(counts)])
+        ids = np.insert(ids[inside], before[places], np.array(own, np.uint32))
+        counts[places] = 1
+        return ids, np.concatenate([[0], np.cumsum(counts)])[at_text]
+
+    def _encoded(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without markers."""
         low, starts, ends, at = self.units(data, offsets)
         if len(starts) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
@@ -131,12 +171,12 @@ class WordIds:
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> WordIds:
+def _encoder(path: str, as_loaded: bool) -> WordIds:
     """One store per Python worker, kept from task to task."""
-    return WordIds(path)
+    return WordIds(path, as_loaded)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, as_loaded: bool = False) -> DataFrame:
     """(task, doc_id, piece, start, length, ids_crc32, rank): every document cut into pieces.
 
     ``rank`` counts the pieces of the same length inside the task.
@@ -145,7 +185,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     rows = narrowed(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, as_loaded)
         task = TaskContext.get().partitionId()
         used = np.zeros(capacity + 1, np.int64)
         for batch in batches:
@@ -308,10 +348,10 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, i
     return np.array(sorted(slots), np.int64).reshape(-1, 6), sequences
 
 
-def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, as_loaded: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece."""
     spark = docs.sparkSession
-    cut = materialise(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    cut = materialise(pieces(docs, tokenizer, capacity, end_id, as_loaded), "pieces")
     counts = materialise(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = np.zeros(capacity + 1, np.int64)
     for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row per length at most

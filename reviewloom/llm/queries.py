@@ -38,7 +38,7 @@ def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(read(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.packed(read(spark, sf_dir, "documents"), tokenizer_path(), as_loaded=True)
 
 
 # Shares of the mix by domain; clean documents keep their own tokens and set its size.
