@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bagminhash, licences, lm, mixing, neighbours, packing, quality_fm, repeats, sketch, toxicity
+from reviewloom.llm import bagminhash, covering, licences, lm, merkle, mixing, neighbours, packing, quality_fm, repeats, sketch, spelling, toxicity
 from reviewloom.llm.common import read
 
 
@@ -69,6 +69,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_letter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_covering_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,5 +94,8 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_licence_bands,
         op9_bottom_k,
         op10_toxicity,
+        op11_letter_counts,
+        op12_covering_lsh,
+        op13_merkle_manifest,
     )
 }
