@@ -199,7 +199,7 @@ def words(key: str, text: str, table: str, mapped: str) -> str:
 LINES = "lookup AS (SELECT DISTINCT p_type AS product, lower(term) AS term, concat(lower(term), ':', CAST(pr AS VARCHAR)) AS type, pr FROM ("
 LOOKUP = (
     LINES + "SELECT p_type, split_part(p_name, ' ', -1) AS term, 2 AS pr FROM part UNION ALL "
-    "SELECT p_type, split_part(p_name, ' ', 1), 1 FROM part WHERE p_size % 2 = 0) WHERE length(term) > 3)"
+    "SELECT p_type, split_part(p_name, ' ', 1), 1 FROM part) WHERE length(term) > 3)"
 )
 
 
@@ -513,6 +513,18 @@ def build() -> dict[str, str]:
         "SELECT doc_id, coalesce(k, '') AS keywords FROM documents LEFT JOIN (SELECT doc_id, string_agg(w, ';' ORDER BY pos) AS k FROM words GROUP BY doc_id) USING (doc_id)",
         extra=words("doc_id", "text", "documents", "true"),
     )
+    o["keyword_forms"] = sql(
+        """SELECT doc_id, coalesce(k, '') AS keywords FROM documents LEFT JOIN (SELECT doc_id, string_agg(w, ';' ORDER BY pos) AS k FROM (
+        SELECT doc_id, pos, CASE WHEN w LIKE '%ion' AND length(w) >= 7 THEN w[:-4] ELSE w END AS w FROM words) GROUP BY doc_id) USING (doc_id)""",
+        extra=words("doc_id", "text", "documents", "false"),
+    )
+    o["bitmap_levels"] = sql(
+        " UNION ALL ".join(
+            f"SELECT CAST({n} AS INT) AS level, {m} AS main, {b} AS sub, count(DISTINCT review_id) AS reviews FROM scene{g}"
+            for n, m, b, g in ((0, "main", "sub", " GROUP BY main, sub"), (1, "main", "NULL", " GROUP BY main"), (2, "NULL", "NULL", ""))
+        ),
+        "scene",
+    )
     o["keyword_top150"] = sql(
         """SELECT w AS word, count(DISTINCT Review_ID) AS reviews, count(*) AS terms FROM words GROUP BY w ORDER BY reviews DESC, word LIMIT 150""",
         "raw", extra=words("Review_ID", "Clean_Text", "raw", "false"),
@@ -557,6 +569,13 @@ def build() -> dict[str, str]:
         UNION ALL SELECT Review_ID, 'new' FROM delta WHERE Processing_Status = 'SUCCESS'""",
         "delta",
     )
+    o["retag_some"] = """SELECT CAST(doc_id AS VARCHAR) AS Review_ID, source AS Main_Scene, 'old' AS Sub_Scene FROM documents WHERE n_chars % 97 <> 0
+        UNION ALL SELECT CAST(doc_id AS VARCHAR), lang, 'new' FROM documents WHERE n_chars % 97 = 0 AND n_chars % 2 = 0"""
+    o["keyword_upsert"] = sql(
+        """SELECT CAST(doc_id AS VARCHAR) AS Review_ID, concat_ws(';', lang, source) AS Keywords FROM documents WHERE doc_id NOT IN (SELECT Review_ID FROM delta)
+        UNION ALL SELECT CAST(Review_ID AS VARCHAR), CASE WHEN Processing_Status = 'SUCCESS' THEN concat('new;', Model_Version) ELSE '' END FROM delta""",
+        "delta",
+    )
     pick = ", ".join(
         f"min(struct_pack(k := Review_Key, v := {c})) FILTER ({c} IS NOT NULL).v AS {n}"
         for c, n in (("Clean_Text", "Clean_Text"), ("Rating", "Rating"), ("Helpful_Votes", "Helpful"), ("Review_Date", "Review_Date"))
@@ -569,8 +588,8 @@ def build() -> dict[str, str]:
     o["dim_asinreview"] = sql("SELECT DISTINCT ASIN, Review_ID, Review_Key FROM raw", "raw")
     o["product_dim"] = sql(
         """SELECT p.asin, concat('A', brand) AS brand, price, price_band, m.model FROM (SELECT asin, brand, price, price_band FROM product) p LEFT JOIN (
-        SELECT p_partkey AS asin, p_type AS model FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'SECOND' FROM part WHERE p_partkey % 50 = 0) m USING (asin)
-        WHERE p.asin IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)""",
+        SELECT p_partkey AS asin, p_type AS model FROM part UNION ALL SELECT p_partkey, 'SECOND' FROM part WHERE p_partkey % 50 = 0) m USING (asin)
+        WHERE p.asin IN (SELECT l_partkey FROM lineitem)""",
         "product",
     )
     o["blank_scope_tests"] = """SELECT c_mktsegment, n_name, scope, customers, one AS has_one_nation,
@@ -579,7 +598,7 @@ def build() -> dict[str, str]:
         sum(CASE WHEN c_acctbal < 0 THEN 1 END) AS negative, count(DISTINCT c_nationkey) = 1 AS one
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (c_mktsegment, n_name))"""
     o["safe_ratios"] = """SELECT doc_id, round_even(CAST(n_chars AS DOUBLE) / nullif(n_chars % 3, 0), 6) AS ratio, round_even(n_chars / CAST(16 AS DOUBLE), 3) AS signal,
-        CAST(length(coalesce(nullif(trim(CASE WHEN length(text) > 500 THEN text ELSE '  ' END), ''), ' ')) AS INT) AS encoder_length FROM documents"""
+        CAST(length(CASE WHEN trim(coalesce(text, '')) = '' THEN ' ' ELSE text END) AS INT) AS encoder_length FROM documents"""
 
     # sources and sinks
     full, optional = "doc_id % 10 < 5", "doc_id % 10 < 9"

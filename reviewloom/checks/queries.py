@@ -13,7 +13,7 @@ from reviewloom.checks import surrogates as s
 from reviewloom.functions import dates, keywords, scalars, text
 from reviewloom.operators import keys, tagging, vectors
 from reviewloom.operators.lookup import PARTS_ORDER, PATTERN_ORDER, first_match, load_lookup
-from reviewloom.plans import dims, jobs, reports
+from reviewloom.plans import bitmaps, dims, jobs, reports
 from reviewloom.plans.market import (
     Market,
     brand_table,
@@ -48,6 +48,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # --- review measures ------------------------------------------------------------------------------
 
 
+@query
+def bitmap_levels(spark, folder):
+    """Distinct reviews per scene, main scene and in all, from bitmaps stored for two batches that share reviews."""
+    lines = s.read(spark, folder, "lineitem").join(s.read(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    labels = (F.col("l_orderkey").alias("review_id"), F.col("p_type").alias("main"), F.col("p_brand").alias("sub"))
+    batches = [materialise(bitmaps.label_bitmaps(lines.where(part).select(*labels), ["main", "sub"]), "bitmaps") for part in (F.col("l_linenumber") <= 2, F.col("l_linenumber") > 2)]
+    return bitmaps.level_counts(bitmaps.merged(*batches), {0: ["main", "sub"], 1: ["main"], 2: []})
+
+
 @query
 def friction_rate_monthly(spark, folder):
     return rounded(monthly_friction(s.model(spark, folder)))
@@ -436,11 +445,9 @@ def ordered_label(spark, folder):
 
 def lookup_table(spark: SparkSession, folder: str, order) -> DataFrame:
     """Lookup entries taken from the part names: last words at a low priority, first words at a high one."""
-    names = s.read(spark, folder, "part").select(F.split("p_name", " ").alias("w"), "p_type", "p_size")
+    names = s.read(spark, folder, "part").select(F.split("p_name", " ").alias("w"), "p_type")
     last = names.select(F.col("p_type").alias("Product"), F.upper(F.element_at("w", -1)).alias("Term"), F.lit(2).alias("Priority"))
-    first = names.where(F.col("p_size") % 2 == 0).select(
-        F.col("p_type").alias("Product"), F.element_at("w", 1).alias("Term"), F.lit(1).alias("Priority")
-    )
+    first = names.select(F.col("p_type").alias("Product"), F.element_at("w", 1).alias("Term"), F.lit(1).alias("Priority"))
     rows = last.unionByName(first).where(F.length("Term") > 3).distinct()
     named = rows.withColumn("Type", F.concat_ws(":", F.lower("Term"), F.col("Priority").cast("string")))
     return load_lookup(named.withColumn("Priority", F.col("Priority").cast("string")), order)
@@ -483,6 +490,15 @@ def keyword_bag(spark, folder):
     return s.read_spread(spark, folder, "documents", "doc_id").select("doc_id", keywords.keyword_bag(F.col("text"), forms={"lytion": "ly"}).alias("keywords"))
 
 
+@query
+def keyword_forms(spark, folder):
+    """Keywords of all documents under a table of base forms made of their own words."""
+    docs = s.read_spread(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    words = docs.select(F.explode(keywords.content_words(F.col("text"), ())).alias("form")).distinct()
+    table = words.where(F.col("form").endswith("ion") & (F.length("form") >= 7)).withColumn("base", F.expr("left(form, length(form) - 3)"))
+    return keywords.with_keywords(docs, "doc_id", "text", table).select("doc_id", "keywords")
+
+
 @query
 def keyword_top150(spark, folder):
     bags = s.raw_documents(spark, folder).select("Review_ID", keywords.keyword_list(F.col("Clean_Text"), forms={}).alias("words"))
@@ -620,6 +636,35 @@ def replace_bridge(spark, folder):
     return keys.replace_by_key(old, new, processed, "Review_ID")
 
 
+def replaced(spark: SparkSession, name: str, old: DataFrame, new: DataFrame, processed: DataFrame) -> DataFrame:
+    """A feature table with the old rows after the processed ids got their new ones, bucket by bucket."""
+    house = new_warehouse(spark)
+    house.overwrite(name, old, FEATURE_TABLES[name])
+    house.replace_keys(name, new, processed)
+    return house.table(name)
+
+
+@query
+def retag_some(spark, folder):
+    """About one review in a hundred, by its length, is tagged again; every second of these has no scene any more."""
+    docs = s.read(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("Review_ID"), "source", "lang", "n_chars")
+    chosen = docs.where(F.pmod("n_chars", F.lit(97)) == 0)
+    old = docs.select("Review_ID", F.col("source").alias("Main_Scene"), F.lit("old").alias("Sub_Scene"))
+    new = chosen.where(F.pmod("n_chars", F.lit(2)) == 0).select("Review_ID", F.col("lang").alias("Main_Scene"), F.lit("new").alias("Sub_Scene"))
+    return replaced(spark, "scene_bridge", old, new, chosen)
+
+
+@query
+def keyword_upsert(spark, folder):
+    """Keywords of all documents; processed reviews get new ones, failed reviews an empty list."""
+    docs = s.read(spark, folder, "documents")
+    old = docs.select(F.col("doc_id").cast("string").alias("Review_ID"), F.concat_ws(";", "lang", "source").alias("Keywords"))
+    processed = materialise(delta(spark, folder), "delta")
+    words = F.when(F.col("Processing_Status") == "SUCCESS", F.concat(F.lit("new;"), "Model_Version")).otherwise(F.lit(""))
+    new = processed.select(F.col("Review_ID").cast("string").alias("Review_ID"), words.alias("Keywords"))
+    return replaced(spark, "review_features", old, new, new)
+
+
 @query
 def dim_review(spark, folder):
     raw = s.raw_documents(spark, folder)
@@ -635,13 +680,13 @@ def dim_asinreview(spark, folder):
 
 @query
 def product_dim(spark, folder):
-    """Listings with a second row per part, two models for every 50th part, links from large lines only."""
+    """Listings with a second row per part, two models for every 50th part, links from all lines."""
     listing = s.product(spark, folder).select("asin", "brand", "price", "price_band")
     twice = listing.unionByName(listing.withColumn("brand", F.concat(F.lit("A"), F.col("brand"))))
     part = s.read(spark, folder, "part")
-    models = part.where(F.pmod("p_partkey", F.lit(2)) == 0).select(F.col("p_partkey").alias("asin"), F.col("p_type").alias("model"))
+    models = part.select(F.col("p_partkey").alias("asin"), F.col("p_type").alias("model"))
     more = models.where(F.pmod("asin", F.lit(50)) == 0).withColumn("model", F.lit("SECOND"))
-    links = s.read(spark, folder, "lineitem").where(F.col("l_quantity") >= 49).select(F.col("l_partkey").alias("asin"))
+    links = s.read(spark, folder, "lineitem").select(F.col("l_partkey").alias("asin"))
     return dims.dim_product(twice, models.unionByName(more), links)
 
 
@@ -669,12 +714,11 @@ def blank_scope_tests(spark, folder):
 
 @query
 def safe_ratios(spark, folder):
-    long_text = F.when(F.length("text") > 500, F.col("text")).otherwise(F.lit("  "))
     return s.read(spark, folder, "documents").select(
         "doc_id",
         F.bround(scalars.ratio(F.col("n_chars"), F.pmod("n_chars", F.lit(3))), 6).alias("ratio"),
         F.bround(F.col("n_chars") / F.lit(16.0), 3).alias("signal"),
-        F.length(text.blank_to_space(long_text)).alias("encoder_length"),
+        F.length(text.blank_to_space(F.col("text"))).alias("encoder_length"),
     )
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import zlib
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.operators.keys import hot_keys, join_split
+from reviewloom.session import has_at_most, materialise
+
 # Short domain words that are kept although they have fewer than three letters or so.
 DOMAIN_WORDS = ("ir", "fir", "led", "uv", "emf", "rf", "ems", "nmp", "red")
 
@@ -44,6 +48,11 @@ WORD = "[\\p{L}\\p{N}]+(?:'\\p{L}+)*"
 NEGATED = "n't$"
 ENDING = "'(?:s|re|ve|ll|d|m)$"
 
+# Forms beyond which a table is no literal of the plan but a dictionary of the Python workers.
+MAX_LITERAL_FORMS = 500
+# Forms of a table that may be sent to every worker, some 20 MB.
+MAX_SHARED_FORMS = 200_000
+
 # Forms per bucket of a base-form table, whose lookup is linear inside a bucket.
 FORMS_PER_BUCKET = 8
 
@@ -56,13 +65,21 @@ def keyword_list(
 ) -> Column:
     """Words in text order with repeats, as an array."""
     forms = BASE_FORMS if forms is None else forms
+    content = content_words(text, stop_words)
+    if len(forms) > MAX_LITERAL_FORMS:
+        based = _shared_forms(forms)(content)
+    else:
+        based = F.transform(content, lambda w: F.coalesce(base_form(w, forms), w)) if forms else content
+    return F.filter(based, lambda w: (F.length(w) >= 3) | w.isin(*keep))
+
+
+def content_words(text: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:
+    """Words in text order without stop words and numbers, as they stand in the text."""
     dropped = (*stop_words, *NUMBER_WORDS)
     plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\u2019\u02bc", "''")
     words = F.filter(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)), lambda w: ~w.rlike(NEGATED))
     cut = F.transform(words, lambda w: F.regexp_replace(w, ENDING, ""))
-    content = F.filter(cut, lambda w: ~w.isin(*dropped) & ~w.rlike("^\\p{N}+$"))
-    based = F.transform(content, lambda w: F.coalesce(base_form(w, forms), w)) if forms else content
-    return F.filter(based, lambda w: (F.length(w) >= 3) | w.isin(*keep))
+    return F.filter(cut, lambda w: ~w.isin(*dropped) & ~w.rlike("^\\p{N}+$"))
 
 
 def keyword_bag(text: Column, **options) -> Column:
@@ -80,7 +97,48 @@ def base_form(word: Column, forms: dict[str, str]) -> Column:
     return F.try_element_at(F.get(tables, (F.crc32(word.cast("binary")) % buckets).cast("int")), word)
 
 
+def _shared_forms(forms: dict[str, str]):
+    """Bases of arrays of words from a dictionary, in Arrow batches."""
+
+    @F.pandas_udf("array<string>")
+    def bases(words: pd.Series) -> pd.Series:
+        return words.map(lambda row: [forms.get(w, w) for w in row])
+
+    return bases
+
+
+def form_table(table: DataFrame) -> DataFrame:
+    """(form, base), one row per lower-case form; of several bases the first in order counts."""
+    known = table.where(F.col("form").isNotNull() & F.col("base").isNotNull())
+    return known.groupBy(F.lower("form").alias("form")).agg(F.min("base").alias("base"))
+
+
 def load_forms(table: DataFrame) -> dict[str, str]:
-    """Base forms from a table (form, base); of several bases the first in order counts."""
-    rows = table.where(F.col("form").isNotNull() & F.col("base").isNotNull()).groupBy(F.lower("form").alias("form")).agg(F.min("base").alias("base"))
-    return {r.form: r.base for r in rows.collect()}
+    """Base forms from a table (form, base) of bounded size; a larger one is for ``with_keywords``."""
+    rows = form_table(table).limit(MAX_SHARED_FORMS + 1).collect()
+    if len(rows) > MAX_SHARED_FORMS:
+        raise ValueError(f"more than {MAX_SHARED_FORMS} forms: use with_keywords")
+    return {r.form: r.base for r in rows}
+
+
+def with_keywords(
+    rows: DataFrame, key: str, text: str, table: DataFrame, out: str = "keywords", shared: int = MAX_SHARED_FORMS, keep: tuple[str, ...] = DOMAIN_WORDS
+) -> DataFrame:
+    """Adds ``out``, the keyword bag under a base-form table (form, base) of any size; ``key`` is unique in ``rows``.
+
+    The table meets the distinct words of the texts, so a frequent word is joined once. What it has for them goes to
+    the workers as a dictionary where it is small; beyond that the words themselves are joined, frequent ones apart.
+    """
+    words = rows.select(key, content_words(F.col(text)).alias("_words"))
+    seen = words.select(F.explode("_words").alias("form")).distinct()
+    found = materialise(seen.join(form_table(table), "form"), "forms")
+    if has_at_most(found, shared):
+        forms = {r.form: r.base for r in found.collect()}
+        return rows.withColumn(out, keyword_bag(F.col(text), forms=forms, keep=keep))
+    each = materialise(words.select(key, F.posexplode("_words").alias("pos", "form")), "words")
+    missing = each.join(found, "form", "left_anti").select(key, "pos", F.col("form").alias("base"))
+    based = join_split(each, found, "form", hot_keys(each, "form")).select(key, "pos", "base").unionByName(missing)
+    kept = based.where((F.length("base") >= 3) | F.col("base").isin(*keep))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "base")))
+    bags = kept.groupBy(key).agg(F.array_join(in_order["base"], ";").alias(out))
+    return rows.join(bags, key, "left").withColumn(out, F.coalesce(out, F.lit("")))

@@ -65,9 +65,9 @@ def label_found(label: Label, text: Column, plain: Column) -> Column:
     return reduce(lambda a, b: a | b, likely) & hit
 
 
-def withdrawal_rules(text: Column, rating: Column) -> dict[str, Column]:
+def withdrawal_rules(text: Column, rating: Column, patterns: dict[str, str] | None = None) -> dict[str, Column]:
     """Per friction label, when a rule hit does not count. A missing rating never withdraws."""
-    w = tax.WITHDRAWALS
+    w = patterns or tax.WITHDRAWALS
     return {
         "Reliability_Issue": found(text, w["other_product"]),
         "Build_Quality": found(text, w["build_praise"]),
@@ -114,11 +114,13 @@ def tag_reviews(
     vector: str | None = None,
     forms: dict[str, str] | None = None,
     withdraw: Callable[[Column, Column], dict[str, Column]] | None = None,
+    withdrawals: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per review: key, status, error, five tag arrays and the keyword bag.
 
     ``centroids`` maps a family to (sub, vector) pairs in label order; without it, or without a vector
-    column, only rules apply. ``withdraw`` replaces the friction withdrawal rules. Blank text gets no tags and an empty keyword bag and counts as processed.
+    column, only rules apply. ``withdraw`` replaces the friction withdrawal rules,
+    ``withdrawals`` (of ``load_withdrawals``) only their patterns. Blank text gets no tags and an empty keyword bag and counts as processed.
     """
     rules = tax.starter_rules() if rules is None else rules
     centroids = centroids if centroids and vector else {}
@@ -131,7 +133,7 @@ def tag_reviews(
         F.col(rating).alias("_rating"),
         (F.col(vector) if vector else F.lit(None).cast("array<float>")).alias("_vector"),
     ).withColumn("_plain", folded(body))
-    unless = {"friction": (withdraw or withdrawal_rules)(body, stars)}
+    unless = {"friction": withdraw(body, stars) if withdraw else withdrawal_rules(body, stars, withdrawals)}
     # one projection per family keeps each generated method small
     hits = base
     for family in ("scene", "friction", "motivation"):
@@ -186,7 +188,7 @@ def tag_reviews(
     veto = F.coalesce(stars == 5, F.lit(False)) & F.col("_best_friction")["label"].isin(*tax.VETO_AT_FIVE) if "friction" in guesses else None
     frictions = tags("friction", ~veto if veto is not None else None)
     # the last withdrawal follows the fallback and may leave the review without a friction
-    content = F.coalesce(stars == 5, F.lit(False)) & found(body, tax.WITHDRAWALS["overall_praise"])
+    content = F.coalesce(stars == 5, F.lit(False)) & found(body, (withdrawals or tax.WITHDRAWALS)["overall_praise"])
     frictions = F.filter(frictions, lambda t: (t["sub"] != "Disappointment") | ~content)
 
     failed = error.isNotNull()

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.operators import tagging
-from reviewloom.operators.keys import any_value, replace_by_key, restrict
+from reviewloom.operators.keys import any_value, restrict
 from reviewloom.operators.taxonomy import Rule
 from reviewloom.plans.dims import dim_asinreview, dim_review
-from reviewloom.schemas import FEATURE_TABLES, REVIEW_RAW
+from reviewloom.schemas import REVIEW_RAW
 from reviewloom.session import BROADCAST_ROWS, has_at_most, materialise
 from reviewloom.sources.landing import read_landing, to_review_raw
 from reviewloom.sources.warehouse import Warehouse
@@ -29,6 +29,7 @@ class Tagger:
     centroids: dict[str, list[tuple[str, list]]] | None = None
     vectors: DataFrame | None = None
     forms: dict[str, str] | None = None
+    withdrawals: dict[str, str] | None = None
 
 
 def finished(status: DataFrame, version: str) -> DataFrame:
@@ -93,7 +94,7 @@ def run_tagging(warehouse: Warehouse, tagger: Tagger) -> DataFrame | None:
         vector = "embedding"
         batch = batch.join(tagger.vectors.select("Review_ID", vector), "Review_ID", "left")
     tagged = materialise(
-        tagging.tag_reviews(batch, tagger.rules, tagger.centroids, vector=vector, forms=tagger.forms), "tagged"
+        tagging.tag_reviews(batch, tagger.rules, tagger.centroids, vector=vector, forms=tagger.forms, withdrawals=tagger.withdrawals), "tagged"
     )
     tables = dict(tagging.bridges(tagged))
     tables["review_features"] = tagged.select("Review_ID", F.col("keywords").alias("Keywords"))
@@ -108,13 +109,13 @@ def replace_rows(warehouse: Warehouse, name: str, rows: DataFrame, processed: Da
     """Give the processed reviews their new rows in a feature table.
 
     New reviews have no old rows, so theirs are added without touching the table; that is found by
-    looking at the ids alone. Only when old rows exist is the table rewritten without them.
+    looking at the ids alone. Only when old rows exist are the buckets of the processed ids rewritten.
     """
     target = warehouse.table(name)
     if restrict(target.select("Review_ID"), processed, "Review_ID").isEmpty():
         warehouse.append(name, rows)
     else:
-        warehouse.overwrite(name, replace_by_key(target, rows, processed, "Review_ID"), FEATURE_TABLES[name])
+        warehouse.replace_keys(name, rows, processed)
 
 
 def status_rows(tagged: DataFrame, version: str) -> DataFrame:

@@ -10,9 +10,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from reviewloom.functions.scalars import blank_if_zero, distinct_with_blank, ratio
-from reviewloom.plans.model import OWNERS, ReviewModel
+from reviewloom.plans.bitmaps import label_bitmaps, level_counts
+from reviewloom.plans.model import BRIDGES, OWNERS, ReviewModel
 
 # Parts of a measure over rows that are unique by (group, review).
 PARTS = {
@@ -146,6 +148,7 @@ def _at_levels(
 
     Reviews are joined once under the finest grouping. Every row is then offered to each level with the
     columns that the level does not group by left empty, and repeats of (level, group, review) are dropped.
+    Where only reviews are counted by labels of one bridge, bitmaps take the place of the copies.
     """
     used = [c for c in scope if any(c in level for level in levels.values())]
     rows = model.scoped(bridges, used)
@@ -154,6 +157,10 @@ def _at_levels(
         ((number, _),) = levels.items()
         return rows.groupBy(F.lit(number).alias("level"), *used).agg(*parts)
     types = {f.name: f.dataType for f in rows.schema}
+    counts_only = all(MEASURES[m].part == "reviews" for m in members)
+    if counts_only and len({OWNERS[c][0] for c in used}) == 1 and OWNERS[used[0]][0] in BRIDGES and isinstance(types["review_id"], (IntegerType, LongType)):
+        counted = level_counts(label_bitmaps(rows, used), levels, members[0])
+        return counted.select("level", *used, *[F.col(members[0]).alias(m) for m in members])
     copies = [
         F.struct(
             F.lit(number).alias("level"),

@@ -241,3 +241,39 @@ def test_stream_and_batch_load_alike(spark, warehouse, folder):
     rejects = jobs.run_etl(spark, warehouse, str(landing), "json")
     assert streamed == sorted(map(str, warehouse.table("review_raw").drop("ETL_Time").collect())) and len(streamed) == 2
     assert lacking == sorted((r["Source_File"], r["missing"]) for r in rejects.collect()) and len(lacking) == 1
+
+
+def files_of(spark, house, name):
+    rows = spark.read.parquet(*[f for f in spark.table(house._current(name)).inputFiles()]).select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    return {(r[0].rsplit("/", 2)[1], r[0], r[1]) for r in rows}
+
+
+def test_replacing_few_ids_leaves_other_buckets_alone(spark, warehouse):
+    rows = spark.range(400).select(F.col("id").cast("string").alias("Review_ID"), F.lit("m").alias("Main_Scene"), F.lit("old").alias("Sub_Scene"))
+    warehouse.overwrite("scene_bridge", rows.repartition(4), FEATURE_TABLES["scene_bridge"])
+    before = files_of(spark, warehouse, "scene_bridge")
+    keys = spark.createDataFrame([("7",), ("7",), ("123",), ("new",), (None,)], "Review_ID string")
+    new = spark.createDataFrame([("7", "m", "a"), ("7", "m", "b"), ("new", "m", "c")], "Review_ID string, Main_Scene string, Sub_Scene string")
+    touched = warehouse.replace_keys("scene_bridge", new, keys)
+    assert 1 <= len(touched) <= 4
+    after = files_of(spark, warehouse, "scene_bridge")
+    names = {f"key_bucket={b}" for b in touched}
+    assert {f for f in before if f[0] not in names} == {f for f in after if f[0] not in names}
+    assert not {f[1] for f in before if f[0] in names} & {f[1] for f in after}
+    table = warehouse.table("scene_bridge")
+    assert table.columns == ["Review_ID", "Main_Scene", "Sub_Scene"]
+    got = {(r.Review_ID, r.Sub_Scene) for r in table.collect()}
+    assert got == {(str(i), "old") for i in range(400) if i not in (7, 123)} | {("7", "a"), ("7", "b"), ("new", "c")}
+    assert table.count() == len(got)
+
+
+def test_a_bucket_that_loses_its_last_row_is_empty(spark, warehouse):
+    one = spark.createDataFrame([("a", "m", "x"), ("b", "m", "y")], "Review_ID string, Main_Scene string, Sub_Scene string")
+    warehouse.overwrite("scene_bridge", one, FEATURE_TABLES["scene_bridge"])
+    warehouse.replace_keys("scene_bridge", one.limit(0), one.where("Review_ID = 'a'"))
+    assert [tuple(r) for r in warehouse.table("scene_bridge").collect()] == [("b", "m", "y")]
+    assert warehouse.replace_keys("scene_bridge", one, one.limit(0)) == []
+    # a repetition after a crash gives the same table
+    for _ in range(2):
+        warehouse.replace_keys("scene_bridge", one, one)
+    assert warehouse.table("scene_bridge").count() == 2

@@ -89,3 +89,31 @@ def test_large_lookup_path_agrees(spark):
         small = first_match(titles(spark), lookup(spark, order), "title", "product", "none", "t")
         large = first_match(titles(spark), lookup(spark, order), "title", "product", "none", "t", limit=0)
         assert rows(small, "id") == rows(large, "id")
+
+
+def test_automaton_path_agrees(spark):
+    for order in (PATTERN_ORDER, PARTS_ORDER):
+        scanned = first_match(titles(spark), lookup(spark, order), "title", "product", "none", "t")
+        found = first_match(titles(spark), lookup(spark, order), "title", "product", "none", "t", scanned=0)
+        assert rows(scanned, "id") == rows(found, "id")
+
+
+def test_automaton_handles_empty_and_missing_terms(spark):
+    table = spark.createDataFrame(
+        [("P", "", "anything", "9"), ("P", "lamp", "lamp", "1"), ("P", None, "never", "0"), ("P", "untyped", None, "0"), (None, "lamp", "no product", "0")],
+        "Product string, Term string, Type string, Priority string",
+    )
+    df = spark.createDataFrame([(1, "a lamp", "P"), (2, "other", " P "), (3, None, "P"), (4, "untyped lamp", "P"), (5, "lamp", None), (6, "lamp", "Q")], "id int, title string, product string")
+    kinds = {}
+    for scanned in (0, 50):
+        got = first_match(df, load_lookup(table, PATTERN_ORDER), "title", "product", "none", "t", scanned=scanned)
+        kinds[scanned] = [r["t"] for r in got.orderBy("id").collect()]
+    assert kinds[0] == kinds[50] == ["lamp", "anything", "anything", "none", "none", "none"]
+
+
+def test_lookup_of_many_terms(spark):
+    terms = spark.range(200_000).select(F.lit("P").alias("Product"), F.concat(F.lit("t"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("Term"), F.col("id").cast("string").alias("Type"), F.lit("1").alias("Priority"))
+    df = spark.range(2000).select("id", F.concat(F.lit("x t"), F.lpad((F.col("id") * 97).cast("string"), 6, "0"), F.lit("t199999 z")).alias("title"), F.lit("P").alias("product"))
+    got = first_match(df, load_lookup(terms, PATTERN_ORDER), "title", "product", "none", "t")
+    assert got.where(F.col("t") != (F.col("id") * 97).cast("string")).count() == 0
+    assert len(got._jdf.queryExecution().toString()) < 20_000

@@ -228,3 +228,18 @@ def test_every_report_runs(model, listing, report):
     df = run_report(report, model, mk.Market(listing))
     assert df.count() >= 1
     assert len(set(df.columns)) == len(df.columns)
+
+
+def test_bitmaps_count_each_review_once(spark):
+    from reviewloom.plans.bitmaps import label_bitmaps, level_counts, merged
+
+    ids = [0, 1, -1, -32768, 32767, 32768, 32769, 10**12, 10**12 + 40_000, None]
+    data = [(i, m, s) for k, i in enumerate(ids) for m, s in (("a", "x"), ("a", "y"), (None, "x"))[: 1 + k % 3]]
+    rows = spark.createDataFrame(data * 2, "review_id bigint, main string, sub string")
+    first, second = rows.where("sub = 'x'"), rows.where("sub = 'y' OR review_id > 5")
+    maps = merged(*[label_bitmaps(part, ["main", "sub"]) for part in (first, second)])
+    got = {tuple(r) for r in level_counts(maps, {0: ["main", "sub"], 1: ["main"], 2: []}).collect()}
+    known = {d for d in data if d[0] is not None}
+    want = {(0, m, s, len({i for i, a, b in known if (a, b) == (m, s)})) for _, m, s in known}
+    want |= {(1, m, None, len({i for i, a, _ in known if a == m})) for _, m, _ in known}
+    assert got == want | {(2, None, None, len({i for i, _, _ in known}))}

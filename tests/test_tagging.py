@@ -193,3 +193,14 @@ def test_cosine_and_decision(spark):
     assert abs(got[0] - 0.96) < 1e-12 and got[1] is None
     rows = spark.createDataFrame([(0.55, 0.05), (0.549, 0.3), (None, None)], "score double, margin double")
     assert [r[0] for r in rows.select(decide(F.struct("score", "margin"), 0.55, 0.05)).collect()] == [True, False, False]
+
+
+def test_withdrawals_from_a_table(spark):
+    table = spark.createDataFrame([("not_hot", "barely lukewarm"), ("not_hot", "stone cold"), ("overall_praise", "five stars")], "name string, pattern string")
+    patterns = taxonomy.load_withdrawals(table)
+    assert patterns["battery_praise"] == taxonomy.WITHDRAWALS["battery_praise"]
+    rows = [("a", 2, "The mask gets too hot, then stone cold.", *[""] * 5), ("b", 2, "Gets too hot, never too hot.", *[""] * 5)]
+    got = {r["Review_ID"]: subs(r["frictions"]) for r in tagging.tag_reviews(reviews(spark, rows), withdrawals=patterns).collect()}
+    assert got == {"a": "", "b": "Thermal_Discomfort"}
+    with pytest.raises(ValueError):
+        taxonomy.load_withdrawals(table.selectExpr("'other' AS name", "pattern"))

@@ -78,3 +78,14 @@ def test_large_base_form_table_gives_the_same_words(spark):
     given = "knees form7 lights helped"
     small = one(spark, lambda c: keywords.keyword_bag(c, forms={"knees": "knee", "lights": "light", "helped": "help", "form7": "base"}), given)
     assert one(spark, lambda c: keywords.keyword_bag(c, forms=forms), given) == small == "knee;base;light;help"
+
+
+def test_base_forms_of_any_number_give_the_same_words(spark):
+    table = spark.range(100_000).select(F.concat(F.lit("Form"), "id").alias("form"), F.concat(F.lit("base"), F.col("id") % 7).alias("base"))
+    table = table.unionByName(spark.createDataFrame([("knees", "knee"), ("knees", "leg"), (None, "x"), ("the", "no")], "form string, base string"))
+    docs = spark.createDataFrame([(1, "Knees form7 form99999 lights form7"), (2, None), (3, "the 12 form8"), (4, "UV")], "id int, text string")
+    want = {1: "knee;base0;base4;lights;base0", 2: "", 3: "base1", 4: "uv"}
+    for shared in (1_000, 0):
+        got = keywords.with_keywords(docs, "id", "text", table, shared=shared)
+        assert {r["id"]: r["keywords"] for r in got.collect()} == want
+    assert len(keywords.load_forms(table)) == 100_002
