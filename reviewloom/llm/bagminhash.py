@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import BROADCAST_IDS, batch_chunks, components, materialise, narrowed, semi, small_batches
+from reviewloom.llm.common import BROADCAST_IDS, batch_chunks, components, materialise, narrowed, one_worker_each, semi, small_batches
 from reviewloom.llm.words import counted, mix, text_shingles
 from reviewloom.session import has_at_most
 
@@ -32,10 +32,12 @@ from reviewloom.session import has_at_most
 BANDS = 45
 ROWS = 7
 SIMILARITY = 0.8
-# Classes in a bucket beyond which its members meet again under two bands at once.
-WIDE_BUCKET = 256
+# Bands whose buckets are starred first; what they link is one class before any other texts are compared.
+FIRST_BANDS = 6
+# Members of one bucket that meet in one task; larger buckets are cut into parts, every two of which meet.
+BLOCK_ROWS = 4_096
 # One bit of each of the first components goes with a text. Bits agree with probability (1 + similarity) / 2, so a
-# pair at 0.8 differs in more than FAR_BITS of 256 with probability below 1e-7; such pairs are not compared.
+# pair at 0.8 differs in more than FAR_BITS of 256 with probability 6.4e-7; such pairs are not compared.
 SKETCH_BITS = 256
 FAR_BITS = 51
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
@@ -176,19 +178,72 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return materialise(scored.where(F.col("score") >= similarity), "links")
 
 
-def near_duplicates(
-    docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, wide_bucket: int = WIDE_BUCKET
-) -> DataFrame:
+def _across(similarity: float, far_bits: int):
+    """Candidate pairs (a, b) of each bucket whose classes differ, from rows sorted by bucket and class."""
+
+    def met(rows: pa.RecordBatch) -> pa.RecordBatch:
+        n = rows.num_rows
+        key, side, weight = (np.asarray(rows.column(i)) for i in (0, 1, 4))
+        words = np.stack([np.asarray(rows.column(5 + k)).view(np.uint64) for k in range(len(SKETCH))], axis=1)
+        root, node = rows.column(2), rows.column(3)
+        new_key = np.ones(n, bool)
+        new_key[1:] = key[1:] != key[:-1]
+        new_run = new_key.copy()
+        new_run[1:] |= pa.compute.not_equal(root.slice(1), root.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        ends = []
+        for new in (new_key, new_run):
+            starts = np.flatnonzero(new)
+            stop = np.append(starts[1:], n)
+            ends.append(np.repeat(stop, stop - starts))
+        end, run_end = ends
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        # every row against the rows of its bucket behind its own class, one place further at each step
+        todo, other = np.arange(n), run_end.copy()
+        while True:
+            inside = other < end[todo]
+            todo, other = todo[inside], other[inside]
+            if not len(todo):
+                break
+            fits = np.minimum(weight[todo], weight[other]) >= similarity * np.maximum(weight[todo], weight[other])
+            fits &= (side[todo] == 0) | (side[todo] != side[other])
+            x, y = todo[fits], other[fits]
+            near = np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= far_bits
+            found_a.append(x[near])
+            found_b.append(y[near])
+            other = other + 1
+        x, y = np.concatenate(found_a), np.concatenate(found_b)
+        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], ["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.asarray(batch.column(0))
+            change = np.flatnonzero(key != key[-1])
+            if len(change) or (waiting and waiting[-1].column(0)[0].as_py() != key[0]):
+                last = int(change[-1]) + 1 if len(change) else 0
+                yield met(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks().to_batches()[0])
+                waiting, batch = [], batch.slice(last)
+            waiting.append(batch)
+        if waiting:
+            yield met(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+
+    return work
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, class_id, kept, weight, n_links, digest): one row per input row.
 
     ``class_id`` is the smallest id among all documents connected by links of at least ``similarity``; ``kept``
     marks the rows that carry it; ``weight`` counts the shingles; ``n_links`` the verified links of the text; ``digest`` is
     the text's MD5.
 
-    Equal texts become one node first. In each bucket every node is checked against the bucket's smallest
-    node; then only nodes of one bucket that are still in different classes are compared with each other. What
-    is compared exactly has passed the bound on weights and the bits. A bucket with many classes is split by a
-    second band first, which by the same bound misses no more.
+    Equal texts become one node first. In the buckets of the first bands every node is checked against the bucket's
+    smallest node, and links are classes from then on. Then, in the buckets of all bands, only nodes of different
+    classes are compared: by their weights and bits inside the task, so that no row is made for a pair that cannot
+    have the similarity, and exactly where these allow it. Buckets of any size are treated alike; the parts of a large
+    one meet two by two. A pair is missed if no band agrees (below 3e-5 at 0.8) or its bits are too far (6.4e-7).
     """
     small_batches(docs.sparkSession)
     rows_in = narrowed(docs, "doc_id", "text")
@@ -204,9 +259,11 @@ def near_duplicates(
         F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
 
-    hits = nodes.where(F.col("weight") > 0).select("node", F.explode("keys").alias("key"))
-    crowded = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where(F.col("n") > 1).drop("n")
-    members = materialise(hits.join(crowded, "key"), "members")
+    def in_buckets(keys: Column) -> DataFrame:
+        """(key, node, head) of the buckets with several nodes."""
+        hits = nodes.where(F.col("weight") > 0).select("node", F.explode(keys).alias("key"))
+        crowded = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where(F.col("n") > 1).drop("n")
+        return materialise(hits.join(crowded, "key"), "members")
 
     def described(df: DataFrame, node: str, side: str) -> DataFrame:
         """Adds weight and bits of a node's text under names that end in ``side``."""
@@ -215,16 +272,17 @@ def near_duplicates(
     def alike() -> Column:
         """Whether the texts of sides a and b can have the similarity."""
         weights = F.least("weight_a", "weight_b") >= similarity * F.greatest("weight_a", "weight_b")
-        if similarity < SIMILARITY:
-            return weights
         far = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH)
-        return weights & (far <= FAR_BITS)
+        return weights & (far <= far_bits)
 
-    pairs = members.where(F.col("node") != F.col("head")).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    tried = materialise(pairs, "pairs")
+    # the bound on bits is that of the standard similarity; below it bits rule nothing out
+    far_bits = FAR_BITS if similarity >= SIMILARITY else SKETCH_BITS
+    starred = in_buckets(F.slice("keys", 1, FIRST_BANDS)).where(F.col("node") != F.col("head"))
+    tried = materialise(starred.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = materialise(described(described(tried, "a", "a"), "b", "b").where(alike()).select("a", "b"), "stars")
     links = _links(stars, texts, similarity)
     roots = components(links)
+    members = in_buckets(F.col("keys"))
 
     def labelled(known: DataFrame) -> DataFrame:
         return members.select("key", "node").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -234,28 +292,24 @@ def near_duplicates(
         spread = rows_of.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
         return rows_of.join(spread.select("key"), "key", "left_semi")
 
-    open_rows = materialise(open_buckets(labelled(roots)), "open")
-    classes = open_rows.select("key", "root").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
-    wide = classes.where(F.col("classes") > wide_bucket).select("key")
-    narrow_rows = open_rows.join(wide, "key", "left_anti").select("key", "node", "root")
-    split_rows = (
-        open_rows.join(wide, "key", "left_semi")
-        .join(nodes.select("node", "keys"), "node")
-        .select(F.explode("keys").alias("second"), "key", "node", "root")
-        .where(F.col("second") != F.col("key"))
-        .select(F.xxhash64("key", "second").alias("key"), "node", "root")
-    )
-    rest = narrow_rows.unionByName(open_buckets(split_rows)).join(nodes.select("node", *light), "node")
-    rest = materialise(rest, "rest")
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", *light)]) for s in "ab")
-    across = (
-        left.join(right, "key")
-        .where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & alike())
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    across = materialise(across, "across")
+    rest = open_buckets(labelled(roots)).join(nodes.select("node", *light), "node")
+    rest = materialise(rest.select("key", "root", "node", *light), "open")
+    wide = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
+    wide = materialise(wide.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "wide")
+    dealt = rest.withColumn("side", F.lit(0))
+    if not wide.isEmpty():
+        split = rest.join(wide, "key").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        split = split.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
+        side = F.when(low == high, 0).otherwise(F.when(F.col("_part") == low, 1).otherwise(2))
+        split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", *light, side.alias("side"))
+        dealt = rest.join(wide, "key", "left_anti").withColumn("side", F.lit(0)).unionByName(split)
+    tasks = one_worker_each(docs.sparkSession)
+    dealt = dealt.select("key", "side", "root", "node", *light).repartition(tasks, "key").sortWithinPartitions("key", "root")
+    pairs = dealt.mapInArrow(_across(similarity, far_bits), "a binary, b binary")
+    # a pair goes by its smaller node first, as the stars do, and what was compared is not compared again
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    across = materialise(pairs, "across")
     more = _links(across, texts, similarity)
     every_link = links.unionByName(more)
     roots = components(every_link)

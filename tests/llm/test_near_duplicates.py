@@ -44,7 +44,7 @@ def test_wide_buckets_are_split_without_loss(spark):
         for j in rng.choice(120, rng.integers(1, 9), replace=False):
             words[j] = f"x{i}-{j}"
         rows.append((i, " ".join(words)))
-    got = {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows), wide_bucket=2).collect()}
+    got = {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows), block_rows=7).collect()}
     assert got == brute.near_classes(rows)
 
 
