@@ -30,8 +30,9 @@ from reviewloom.llm.words import mix, power_tables, word_spans
 
 CAPACITY = 4096
 END_ID = 1
-# Units whose ids a Python worker remembers, some 30 bytes each; beyond that it starts to remember anew.
-REMEMBERED = 2_000_000
+# Units whose ids a Python worker remembers, some 30 bytes each and twice that while it learns; beyond that it starts to
+# remember anew. Workers live from stage to stage, so what they hold stands beside all later work.
+REMEMBERED = 400_000
 
 
 @functools.lru_cache(maxsize=1)

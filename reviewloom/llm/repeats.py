@@ -34,8 +34,8 @@ from reviewloom.llm.words import mix, power_tables
 SPAN = 50
 GRAM = 20
 CHUNK = 1 << 20
-SHARD_ENTRIES = 2_000_000
-SHARD_BYTES = 2 << 20
+SHARD_ENTRIES = 1_000_000
+SHARD_BYTES = 1 << 20
 LAST_ID = (1 << 63) - 1
 _PLACE_BITS = np.uint64(28)
 
