@@ -41,6 +41,16 @@ BLOCK_ROWS = 4_096
 SKETCH_BITS = 256
 FAR_BITS = 51
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+# Sixteen bits of each of the 315 components are compared next. At 0.8 fewer than LEAST_EQUAL of them agree with
+# probability 6e-7; of texts at 0.6 that have come so far, one pair in some hundreds goes on to the exact comparison.
+LEAST_EQUAL = 216
+# Pairs whose components are compared at a time.
+_PAIRS = 1 << 13
+# Shingles of texts that a task holds while it compares pairs.
+HELD_BYTES = 32 << 20
+# Rounds in which every text is compared with its likeliest partner in another class only. They make one class of
+# a large group before the last round compares all that is still apart.
+THIN_ROUNDS = 3
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,29 +151,37 @@ def _signed(bands: int, rows: int):
                 lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(weight, pa.int64()), lists]
-                    + [pa.array(np.ascontiguousarray(words[:, k])) for k in range(len(SKETCH))],
-                    ["doc_id", "node", "weight", "keys", *SKETCH],
+                    + [pa.array(np.ascontiguousarray(words[:, k])) for k in range(len(SKETCH))]
+                    + [pa.array([m.tobytes() for m in (marks[:, : bands * rows] >> np.uint64(32)).astype(np.uint16)], pa.binary())],
+                    ["doc_id", "node", "weight", "keys", *SKETCH, "marks"],
                 )
 
     return work
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact similarity of candidate pairs; neighbouring rows often share their first text."""
-    last, bag = None, None
-
-    def multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
-        data = np.frombuffer(text.encode(), np.uint8)
-        values, counts, _ = counted(*text_shingles(data, np.array([0, len(data)])))
-        return values, counts
+    """Exact similarity of candidate pairs; a text that many pairs of a task share is cut into shingles once."""
+    held: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+    size = 0
+
+    def multiset(node: bytes, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal size
+        if node not in held:
+            data = np.frombuffer(text.as_py().encode(), np.uint8)
+            values, counts, _ = counted(*text_shingles(data, np.array([0, len(data)])))
+            size += values.nbytes + counts.nbytes
+            if size > HELD_BYTES:
+                held.clear()
+                size = values.nbytes + counts.nbytes
+            held[node] = values, counts
+        return held[node]
 
     for batch in batches:
         ids_a, ids_b, texts_a, texts_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "text_a", "text_b"))
-        scores = []
-        for a, text_a, text_b in zip(ids_a, texts_a, texts_b):
-            if last is None or a.as_py() != last:
-                last, bag = a.as_py(), multiset(text_a.as_py())
-            scores.append(weighted_jaccard(bag, multiset(text_b.as_py())))
+        scores = [
+            weighted_jaccard(multiset(a, text_a), multiset(b, text_b))
+            for a, b, text_a, text_b in zip(ids_a.to_pylist(), ids_b.to_pylist(), texts_a, texts_b)
+        ]
         yield pa.RecordBatch.from_arrays([ids_a, ids_b, pa.array(scores, pa.float64())], ["a", "b", "score"])
 
 
@@ -178,13 +196,14 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return materialise(scored.where(F.col("score") >= similarity), "links")
 
 
-def _across(similarity: float, far_bits: int):
+def _across(similarity: float, far_bits: int, least_equal: int, thin: bool):
     """Candidate pairs (a, b) of each bucket whose classes differ, from rows sorted by bucket and class."""
 
     def met(rows: pa.RecordBatch) -> pa.RecordBatch:
         n = rows.num_rows
         key, side, weight = (np.asarray(rows.column(i)) for i in (0, 1, 4))
         words = np.stack([np.asarray(rows.column(5 + k)).view(np.uint64) for k in range(len(SKETCH))], axis=1)
+        marks = np.frombuffer(b"".join(rows.column(5 + len(SKETCH)).to_pylist()), np.uint16).reshape(n, -1)
         root, node = rows.column(2), rows.column(3)
         new_key = np.ones(n, bool)
         new_key[1:] = key[1:] != key[:-1]
@@ -196,7 +215,7 @@ def _across(similarity: float, far_bits: int):
             stop = np.append(starts[1:], n)
             ends.append(np.repeat(stop, stop - starts))
         end, run_end = ends
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        found_a, found_b, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # every row against the rows of its bucket behind its own class, one place further at each step
         todo, other = np.arange(n), run_end.copy()
         while True:
@@ -207,12 +226,25 @@ def _across(similarity: float, far_bits: int):
             fits = np.minimum(weight[todo], weight[other]) >= similarity * np.maximum(weight[todo], weight[other])
             fits &= (side[todo] == 0) | (side[todo] != side[other])
             x, y = todo[fits], other[fits]
-            near = np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= far_bits
-            found_a.append(x[near])
-            found_b.append(y[near])
+            near = np.flatnonzero(np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= far_bits)
+            for at in range(0, len(near), _PAIRS):
+                p, q = x[near[at : at + _PAIRS]], y[near[at : at + _PAIRS]]
+                equal = (marks[p] == marks[q]).sum(axis=1)
+                kept = equal >= least_equal
+                found_a.append(p[kept])
+                found_b.append(q[kept])
+                score.append(equal[kept])
             other = other + 1
-        x, y = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], ["a", "b"])
+        x, y, equal = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(score)
+        if thin:
+            # the best partner of every row, of equal ones the first
+            x, y, equal = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([equal, equal])
+            order = np.lexsort((y, -equal, x))
+            x, y, equal = x[order], y[order], equal[order]
+            first = np.ones(len(x), bool)
+            first[1:] = x[1:] != x[:-1]
+            x, y, equal = x[first], y[first], equal[first]
+        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(equal, pa.int64())], ["a", "b", "equal"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -241,20 +273,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
     Equal texts become one node first. In the buckets of the first bands every node is checked against the bucket's
     smallest node, and links are classes from then on. Then, in the buckets of all bands, only nodes of different
-    classes are compared: by their weights and bits inside the task, so that no row is made for a pair that cannot
+    classes are compared: by their weights, bits and components inside the task, so that no row is made for a pair that cannot
     have the similarity, and exactly where these allow it. Buckets of any size are treated alike; the parts of a large
-    one meet two by two. A pair is missed if no band agrees (below 3e-5 at 0.8) or its bits are too far (6.4e-7).
+    one meet two by two. A pair at 0.8 is missed if no band agrees (below 3e-5), or its bits or its
+    components are too far apart (6.4e-7 and 6e-7).
     """
     small_batches(docs.sparkSession)
     rows_in = narrowed(docs, "doc_id", "text")
     signed = materialise(
         rows_in.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-            _signed(bands, rows), "doc_id bigint, node binary, weight bigint, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH)
+            _signed(bands, rows), "doc_id bigint, node binary, weight bigint, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH) + ", marks binary"
         ),
         "signed",
     )
     light = ["weight", *SKETCH]
-    nodes = materialise(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*light, "keys")]), "nodes")
+    nodes = materialise(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*light, "marks", "keys")]), "nodes")
     texts = rows_in.select(
         F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
@@ -277,6 +310,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
     # the bound on bits is that of the standard similarity; below it bits rule nothing out
     far_bits = FAR_BITS if similarity >= SIMILARITY else SKETCH_BITS
+    least_equal = LEAST_EQUAL if similarity >= SIMILARITY and bands * rows == BANDS * ROWS else 0
     starred = in_buckets(F.slice("keys", 1, FIRST_BANDS)).where(F.col("node") != F.col("head"))
     tried = materialise(starred.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = materialise(described(described(tried, "a", "a"), "b", "b").where(alike()).select("a", "b"), "stars")
@@ -292,27 +326,36 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         spread = rows_of.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
         return rows_of.join(spread.select("key"), "key", "left_semi")
 
-    rest = open_buckets(labelled(roots)).join(nodes.select("node", *light), "node")
-    rest = materialise(rest.select("key", "root", "node", *light), "open")
-    wide = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
-    wide = materialise(wide.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "wide")
-    dealt = rest.withColumn("side", F.lit(0))
-    if not wide.isEmpty():
-        split = rest.join(wide, "key").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        split = split.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
-        side = F.when(low == high, 0).otherwise(F.when(F.col("_part") == low, 1).otherwise(2))
-        split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", *light, side.alias("side"))
-        dealt = rest.join(wide, "key", "left_anti").withColumn("side", F.lit(0)).unionByName(split)
     tasks = one_worker_each(docs.sparkSession)
-    dealt = dealt.select("key", "side", "root", "node", *light).repartition(tasks, "key").sortWithinPartitions("key", "root")
-    pairs = dealt.mapInArrow(_across(similarity, far_bits), "a binary, b binary")
-    # a pair goes by its smaller node first, as the stars do, and what was compared is not compared again
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    across = materialise(pairs, "across")
-    more = _links(across, texts, similarity)
-    every_link = links.unionByName(more)
-    roots = components(every_link)
+
+    def apart(roots: DataFrame, thin: bool) -> DataFrame:
+        """Candidate pairs of different classes, the smaller node first."""
+        rest = open_buckets(labelled(roots)).join(nodes.select("node", *light, "marks"), "node")
+        rest = materialise(rest.select("key", "root", "node", *light, "marks"), "open")
+        wide = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
+        wide = materialise(wide.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "wide")
+        dealt = rest.withColumn("side", F.lit(0))
+        if not wide.isEmpty():
+            split = rest.join(wide, "key").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            split = split.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
+            side = F.when(low == high, 0).otherwise(F.when(F.col("_part") == low, 1).otherwise(2))
+            split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", *light, "marks", side.alias("side"))
+            dealt = rest.join(wide, "key", "left_anti").withColumn("side", F.lit(0)).unionByName(split)
+        dealt = dealt.select("key", "side", "root", "node", *light, "marks").repartition(tasks, "key").sortWithinPartitions("key", "root")
+        pairs = dealt.mapInArrow(_across(similarity, far_bits, least_equal, thin), "a binary, b binary, equal bigint")
+        if thin:
+            pairs = pairs.groupBy("a").agg(F.max(F.struct("equal", "b"))["b"].alias("b"))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    compared, every_link = stars, links
+    for thin in [True] * THIN_ROUNDS + [False]:
+        across = materialise(apart(roots, thin).join(compared, ["a", "b"], "left_anti"), "across")
+        if across.isEmpty() and thin:
+            continue
+        more = _links(across, texts, similarity)
+        compared, every_link = compared.unionByName(across), every_link.unionByName(more)
+        roots = components(every_link)
 
     ends = every_link.select(F.col("a").alias("node")).union(every_link.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
