@@ -29,7 +29,7 @@ def pairs(df):
 def test_registered():
     names = entry.queries()
     assert set(REGISTERED) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == list(range(1, 14))
 
 
 def test_columns(stages):
