@@ -18,6 +18,7 @@ from reviewloom.plans.market import (
     Market,
     brand_table,
     evaluate_market,
+    evaluate_market_levels,
     median_days_listed,
     top3_in_scope,
     top_brand_totals,
@@ -355,7 +356,7 @@ MATRIX_MEASURES = [
 
 @query
 def brand_asin_matrix(spark, folder):
-    return rounded(reports.market_levels(market(spark, folder), MATRIX_MEASURES, [["brand", "asin"], ["brand"], []]))
+    return rounded(evaluate_market_levels(market(spark, folder), MATRIX_MEASURES, [["brand", "asin"], ["brand"], []]))
 
 
 @query

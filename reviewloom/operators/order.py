@@ -2,18 +2,22 @@
 
 Spark evaluates a window without PARTITION BY in one task. Here rows are range-partitioned on the ordering, each
 range is ranked or summed on its own, and the ranges are tied together by a summary of one row per range.
-There is one body for all sizes.
+Medians close in on the middle rank of all groups at once. There is one body for all sizes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewloom.session import broadcast_if_small, materialise
 
+# Ranges that a group's values are cut into in one round of the median, and the distinct values that end the rounds.
+MEDIAN_RANGES = 64
+BRACKET_VALUES = 10_000
+
 
 def _range_count(spark: SparkSession, ranges: int | None) -> int:
     """As many ranges as the session has shuffle partitions, unless told."""
@@ -89,37 +93,76 @@ def with_running_total(df: DataFrame, order: list, value: str, out: str, ranges:
     )
 
 
-def exact_median(df: DataFrame, by: list[str], value: str, out: str, ranges: int | None = None) -> DataFrame:
-    """Interpolated median per group, for values without a bounded domain (prices).
+def exact_median(
+    df: DataFrame, by: list[str], value: str, out: str, ranges: int = MEDIAN_RANGES, weight: str | None = None, bracket: int = BRACKET_VALUES
+) -> DataFrame:
+    """Interpolated median per group, for values without a bounded domain (prices). ``weight`` counts each row that often.
 
-    Rows are first counted per distinct value; positions come from a running total over (group, value), so a
-    group with very many distinct values is spread over ranges like all others.
+    Rows are counted per distinct value. The middle rank of every group is then closed in by rounds: quantile edges cut
+    a group's values into ``ranges``, counts per range name those that hold the middle, and only their values go on.
+    When no group holds more than ``bracket`` distinct values, the middle is picked by a window inside each group. No
+    value is sorted before that, and small groups need no round at all. The two middle rows may lie in two ranges, so
+    that four ranges and four values are the least with which every round gets on.
     """
-    keys = [f"_g{i}" for i in range(len(by))]
-    counts = materialise(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "median",
-    )
-    named = [F.col(k).alias(b) for b, k in zip(by, keys)]
-    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc()]
-    running = materialise(with_running_total(counts, order, "_n", "_cum", ranges), "median")
-    groups = running.groupBy(*[F.col(k).alias(f"r{k}") for k in keys]).agg(
-        F.min(F.col("_cum") - F.col("_n")).alias("_start"), F.sum("_n").alias("_rows")
-    )
-    if keys:
-        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in keys])
-        # few groups are broadcast, so the values of a large one stay in their ranges
-        placed = running.join(broadcast_if_small(groups), match)
+    if min(ranges, bracket) < 4:
+        raise ValueError("ranges and bracket must be at least 4")
+    keys = [f"_g{i}" for i in range(len(by))] or ["_g0"]
+    given = [F.col(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_g0")]
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    present = df.where(F.col(value).isNotNull())
+    counts = present.groupBy(*given, F.col(value).cast("double").alias("_v")).agg(total.alias("_n"))
+    current = materialise(counts, "median")
+    group = Window.partitionBy(*keys)
+    # the ranks of the two middle rows, counted from the first row that is left
+    ranks = None
+    while _largest_group(current, keys) > bracket:
+        if ranks is None:
+            whole = current.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
+            ranks = whole.select(*keys, *_middle(F.col("_rows")))
+        shares = [i / ranges for i in range(1, ranges)]
+        edges = current.groupBy(*keys).agg(F.percentile_approx("_v", shares, 100 * ranges).alias("_edges"))
+        ranged = join_null_safe(current, edges, keys).withColumn("_bin", F.size(F.filter("_edges", lambda e: e < F.col("_v"))))
+        # at most ``ranges`` rows a group
+        per_range = ranged.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
+        per_range = per_range.withColumn("_cum", F.sum("_n").over(group.orderBy("_bin")))
+        first = F.col("_cum") - F.col("_n")
+        middle = join_null_safe(per_range, ranks, keys).where((first < F.col("_upper")) & (F.col("_cum") >= F.col("_lower")))
+        chosen = materialise(
+            middle.groupBy(*keys).agg(
+                F.min("_bin").alias("_from"),
+                F.max("_bin").alias("_to"),
+                (F.first("_lower") - F.min(first)).alias("_lower"),
+                (F.first("_upper") - F.min(first)).alias("_upper"),
+            ),
+            "bracket",
+        )
+        inside = join_null_safe(ranged, chosen.select(*keys, "_from", "_to"), keys).where(F.col("_bin").between(F.col("_from"), F.col("_to")))
+        current = materialise(inside.select(*keys, "_v", "_n"), "median")
+        ranks = chosen.select(*keys, "_lower", "_upper")
+    if ranks is None:
+        placed = current.select("*", *_middle(F.sum("_n").over(group)))
     else:
-        placed = running.withColumns({c: groups.select(c).scalar() for c in ("_start", "_rows")})
-    lower = F.col("_start") + F.floor((F.col("_rows") + 1) / 2)
-    upper = F.col("_start") + F.floor((F.col("_rows") + 2) / 2)
-    first = F.col("_cum") - F.col("_n")
-    middle = placed.where((first < upper) & (F.col("_cum") >= lower))
+        placed = join_null_safe(current, ranks, keys)
+    running = placed.withColumn("_cum", F.sum("_n").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    middle = running.where((F.col("_cum") - F.col("_n") < F.col("_upper")) & (F.col("_cum") >= F.col("_lower")))
     mean_of_two = (F.min("_v") + F.max("_v")) / 2
-    if not keys:
+    if not by:
         # a global aggregate gives a row for no input as well, as the other measures do
         return middle.agg(mean_of_two.alias(out))
-    return middle.groupBy(*keys).agg(mean_of_two.alias(out)).select(*named, out)
+    return middle.groupBy(*keys).agg(mean_of_two.alias(out)).select(*[F.col(k).alias(b) for b, k in zip(by, keys)], out)
+
+
+def _middle(rows: Column) -> list[Column]:
+    return [F.floor((rows + 1) / 2).alias("_lower"), F.floor((rows + 2) / 2).alias("_upper")]
+
+
+def _largest_group(counts: DataFrame, keys: list[str]) -> int:
+    return counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def join_null_safe(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys where a missing key matches a missing key; few groups are broadcast, so that the rows of a
+    large one stay where they are."""
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in keys])
+    renamed = groups.withColumnsRenamed({k: f"r{k}" for k in keys})
+    return rows.join(broadcast_if_small(renamed), match).drop(*[f"r{k}" for k in keys])

@@ -78,14 +78,16 @@ def _join_on(out: DataFrame, other: DataFrame, by: list[str]) -> DataFrame:
     return out.join(other.withColumnsRenamed(keys), same, "left").drop(*keys.values())
 
 
-def two_level(rows: DataFrame, by: list[str]) -> DataFrame:
+def two_level(rows: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:
     """All two-step measures, averages and the brand count in one pass: a shuffle by (group, brand, parent),
-    then one by group. Columns that the caller does not select are not computed."""
+    then one by group. Columns that the caller does not select are not computed. ``weight`` is the number of
+    listings that a row stands for."""
     group, keys = _keys(by)
+    times = F.col(weight) if weight else F.lit(1)
     inner = rows.groupBy(*group, F.col("brand").alias("_brand"), F.col("parent_asin").alias("_parent")).agg(
         *[each(F.col(source)).alias(name) for name, (source, each, _) in PER_PARENT.items()],
-        *[F.sum(c).alias(f"_sum_{c}") for c in AVERAGES.values()],
-        *[F.count(c).alias(f"_n_{c}") for c in AVERAGES.values()],
+        *[F.sum(F.col(c) * times).alias(f"_sum_{c}") for c in AVERAGES.values()],
+        *[F.sum(F.when(F.col(c).isNotNull(), times).otherwise(0)).alias(f"_n_{c}") for c in AVERAGES.values()],
         F.min("listing_date").alias("_listed"),
     )
     # median over parents of the first listing date: days are a small domain, half days round down
@@ -109,10 +111,11 @@ def median_days_listed(market: Market, by: list[str]) -> DataFrame:
     return out.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "median_days_listed")
 
 
-def small_median(rows: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
+def small_median(rows: DataFrame, by: list[str], value: str, out: str, weight: str | None = None) -> DataFrame:
     """Exact median of a value with few distinct values (star ratings), counted per value first."""
     group, keys = _keys(by)
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(total.alias("_n"))
     result = counts.groupBy(*keys).agg(F.percentile("_v", F.lit(0.5), F.col("_n")).alias(out))
     return result.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], out)
 
@@ -221,6 +224,74 @@ def evaluate_market(market: Market, names: list[str], by: list[str] | tuple[str,
     return out.select(*by, *names)
 
 
+# Measures whose levels all come from one table of merged listings.
+LEVEL_MEASURES = {*PER_PARENT, *AVERAGES, *MEDIANS, *RATIOS, *TOTAL_SHARES, "brand_count", "median_listing_date", "revenue_rank"}
+
+
+def evaluate_market_levels(market: Market, names: list[str], levels: list[list[str]]) -> DataFrame:
+    """Listing measures with subtotals: ``level`` is the place in ``levels``, columns outside a level are NULL.
+
+    Listings are read once and merged to one row per (all columns, brand, parent, price, rating). Greatest values,
+    sums and counts of coarser levels follow from it, so every level is a regrouping of that stored table.
+    """
+    columns = list(dict.fromkeys(c for level in levels for c in level))
+    if not set(names) <= LEVEL_MEASURES:
+        out = None
+        for i, level in enumerate(levels):
+            part = evaluate_market(market, names, level).withColumn("level", F.lit(i))
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out.select("level", *columns, *names)
+    rows = market.rows()
+    kept = list(dict.fromkeys([*columns, "brand", "parent_asin", *(MEDIANS[m] for m in MEDIANS if m in names), *(AVERAGES[a] for a in AVERAGES if a in names)]))
+    # only what the measures need is read; the rest are typed NULLs
+    absent = [c for c in AVERAGES.values() if c not in kept]
+    dated = [F.min("listing_date").alias("listing_date")] if "median_listing_date" in names else [F.lit(None).cast("date").alias("listing_date")]
+    needed = {*names, *TOTAL_SHARES.values(), *(top for top, _ in RATIOS.values())}
+    figures = [each(F.col(source)).alias(source) if name in needed else F.lit(None).cast("bigint").alias(source) for name, (source, each, _) in PER_PARENT.items()]
+    merged = rows.groupBy(*kept).agg(*figures, *dated, F.count(F.lit(1)).alias("_n"))
+    base = materialise(merged.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else merged, "listings")
+
+    labels = {c: f"_l{i}" for i, c in enumerate(columns)}
+    types = {c: base.schema[c].dataType for c in columns}
+    each_level = [
+        F.struct(F.lit(i).alias("_level"), *[(F.col(c) if c in level else F.lit(None).cast(types[c])).alias(labels[c]) for c in columns])
+        for i, level in enumerate(levels)
+    ]
+    spread = base.select("*", F.inline(F.array(*each_level)))
+    by = ["_level", *labels.values()]
+    out = two_level(spread, by, "_n")
+    if "median_price" in names:
+        out = _join_on(out, exact_median(spread, by, "price", "median_price", weight="_n"), by)
+    if "median_listing_rating" in names:
+        out = _join_on(out, small_median(spread, by, "rating", "median_listing_rating", "_n"), by)
+    shares = {name: measure for name, measure in TOTAL_SHARES.items() if name in names}
+    if shares:
+        # a parent in two groups counts once in the total
+        total = two_level(base, [], "_n").select(*set(shares.values())).first()
+        out = out.withColumns({name: ratio(F.col(measure), F.lit(total[measure])) for name, measure in shares.items()})
+    for name, (top, bottom) in RATIOS.items():
+        if name in names:
+            out = out.withColumn(name, ratio(F.col(top), F.col(bottom)))
+    if "revenue_rank" in names:
+        out = _level_ranks(materialise(out, "levels"), levels, labels)
+    return out.select(F.col("_level").alias("level"), *[F.col(k).alias(c) for c, k in labels.items()], *names)
+
+
+def _level_ranks(out: DataFrame, levels: list[list[str]], labels: dict[str, str]) -> DataFrame:
+    """Revenue ranks of brands inside the other columns of their level; blank in a level without brands."""
+    ranked = None
+    for i, level in enumerate(levels):
+        part = out.where(F.col("_level") == i)
+        if level == ["brand"]:
+            part = with_ranks(part, "monthly_revenue", "revenue_rank").drop("dense_rank")
+        elif "brand" in level:
+            part = rank_within(part, [labels[c] for c in level if c != "brand"], "revenue_rank")
+        else:
+            part = part.withColumn("revenue_rank", F.lit(None).cast("bigint"))
+        ranked = part if ranked is None else ranked.unionByName(part)
+    return ranked
+
+
 def _attach(out: DataFrame, other: DataFrame, by: list[str]) -> DataFrame:
     if by:
         return _join_on(out, other, by)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.plans.market import Market, evaluate_market, top3_in_scope, top_groups
+from reviewloom.plans.market import Market, evaluate_market, evaluate_market_levels, top3_in_scope, top_groups
 from reviewloom.plans.measures import evaluate, evaluate_levels, monthly_friction
 from reviewloom.plans.model import ReviewModel
 
@@ -35,16 +35,6 @@ def flow_edges(model: ReviewModel, path: list[str], measure: str) -> DataFrame:
     return out
 
 
-def market_levels(market: Market, names: list[str], levels: list[list[str]]) -> DataFrame:
-    """Listing measures with subtotals, each level computed from the listings."""
-    columns = list(dict.fromkeys(c for level in levels for c in level))
-    out = None
-    for i, level in enumerate(levels):
-        part = evaluate_market(market, names, level).withColumn("level", F.lit(i))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out.select("level", *columns, *names)
-
-
 def keyword_frequency(bags: DataFrame, key: str, words: str, limit: int = KEYWORD_LIMIT) -> DataFrame:
     """Most frequent words: reviews that hold the word, and how often it occurs in all.
 
@@ -208,7 +198,7 @@ def run_report(report: Report, model: ReviewModel | None = None, market: Market
         return top3_in_scope(market, *by)
     if report.shape in ("levels", "tree"):
         levels = _prefixes(report.by)
-        out = market_levels(market, names, levels) if on_market else evaluate_levels(model, names, levels)
+        out = evaluate_market_levels(market, names, levels) if on_market else evaluate_levels(model, names, levels)
     elif report.shape == "matrix":
         out = evaluate_levels(model, names, _matrix_levels(report.by))
     else:

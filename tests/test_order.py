@@ -64,3 +64,16 @@ def test_medians_agree_with_sorting(brands):
 def test_median_skips_missing(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", None), ("b", None)], "g string, v double")
     assert [tuple(r) for r in exact_median(df, ["g"], "v", "m").collect()] == [("a", 1.5)]
+
+
+@pytest.mark.parametrize(("ranges", "bracket"), [(4, 4), (64, 50)])
+def test_median_closes_in_by_rounds(spark, ranges, bracket):
+    """Very unequal groups, ties at the middle, missing keys and outliers."""
+    data = [("a", float(i % 700) ** 3) for i in range(4000)] + [(None, float(i)) for i in range(101)]
+    data += [("b", 1.0)] * 500 + [("b", 2.0)] * 500 + [("c", 1e300), ("c", -1e300), ("c", 5.0), ("d", -0.5), ("d", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    plain = sorted(map(str, df.groupBy("g").agg(F.median("v").alias("m")).collect()))
+    assert sorted(map(str, exact_median(df, ["g"], "v", "m", ranges=ranges, bracket=bracket).collect())) == plain
+    counted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(map(str, exact_median(counted, ["g"], "v", "m", ranges=ranges, weight="n", bracket=bracket).collect())) == plain
+    assert exact_median(df.where("false"), [], "v", "m").collect() == [(None,)]
