@@ -383,6 +383,15 @@ def build() -> dict[str, str]:
         INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT min(review_date) AS lo, max(review_date) AS hi FROM reviews))""",
         "reviews",
     )
+    o["calendar_gaps"] = sql(
+        """SELECT m AS "Year_Month", n AS reviews, t AS tagged_reviews, round(a, 6) AS avg_rating FROM (
+        SELECT CAST(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 11 MONTH, INTERVAL 1 MONTH)) AS DATE) AS m
+        FROM (SELECT min(review_date) AS lo, max(review_date) AS hi FROM reviews)) LEFT JOIN (
+        SELECT month AS m, count(*) AS n, count(f.review_id) AS c, nullif(count(f.review_id), 0) AS t, avg(rating) AS a FROM reviews
+        LEFT JOIN (SELECT DISTINCT review_id FROM friction) f USING (review_id) WHERE rating = 1 AND helpful = 7 GROUP BY month) USING (m)
+        WHERE year(m) BETWEEN 1994 AND 1997 AND month(m) <= 6""",
+        "reviews", "friction",
+    )
     o["month_windows"] = sql(
         """SELECT month, CAST(month - INTERVAL 17 MONTH AS DATE) AS window_start, last_day(month) AS window_end,
         CAST(month - INTERVAL 1 MONTH AS DATE) AS month_before, CAST(month - INTERVAL 12 MONTH AS DATE) AS year_before FROM (SELECT DISTINCT month FROM reviews)""",
@@ -486,6 +495,7 @@ def build() -> dict[str, str]:
     o["null_profile"] = sql(
         " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{k}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls FROM raw" for c, k in kinds), "raw"
     )
+    o["load_sample"] = sql("SELECT * FROM raw ORDER BY Review_Key LIMIT 3", "raw")
     o["title_normalise"] = """SELECT p_partkey, tb AS title_bullets, contains(tb, 'red') AS has_red, contains(tb, 'RED') AS has_upper_red FROM (
         SELECT p_partkey, lower(concat_ws(';', p_name, CASE WHEN p_partkey % 4 > 0 THEN p_type END)) AS tb FROM part)"""
     o["try_casts"] = """SELECT event_id, CAST(NULL AS BIGINT) AS word, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS number,
@@ -558,6 +568,31 @@ def build() -> dict[str, str]:
         "best",
     )
 
+    ruled = f"hit AS (SELECT doc_id, count(*) AS n FROM ({tags('scene')}) GROUP BY doc_id)"
+    bad = "(vec_id % 7 = 0 AND n IS NULL AND trim(text) <> '')"
+    o["tag_failures"] = sql(
+        f"""SELECT d.doc_id AS Review_ID, CASE WHEN {bad} THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+        CASE WHEN {bad} THEN (SELECT concat('vector must have ', CAST(max(len(embedding)) AS VARCHAR), ' elements') FROM embeddings) END AS error,
+        CAST(CASE WHEN {bad} THEN 0 ELSE coalesce(n, CASE WHEN trim(text) <> '' AND score >= 0.5 AND margin >= 0.03 THEN 1 ELSE 0 END) END AS INT) AS scenes
+        FROM documents d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN best ON vec_id = d.doc_id""",
+        "best", extra=ruled,
+    )
+    o["fallback_exclusion"] = sql(
+        f"""SELECT doc_id AS Review_ID, sub AS Motivation_Sub, 'Regex' AS Motivation_Source FROM ({tags('motivation')})
+        UNION ALL SELECT vec_id, sub, 'Embedding' FROM allowed JOIN documents ON doc_id = vec_id WHERE score >= 0.55 AND margin >= 0.03 AND trim(text) <> ''
+        AND vec_id NOT IN (SELECT doc_id FROM ({tags('motivation')}))""",
+        "scored",
+        extra="allowed AS (SELECT vec_id, arg_max(label, sim) AS sub, max(sim) AS score, max(sim) - (max(sim, 2))[2] AS margin FROM scored WHERE label <> '3' GROUP BY vec_id)",
+    )
+    bit = "(strpos('0123456789abcdef', substr(md5(concat(CAST(pos // 128 AS VARCHAR), ':', w)), CAST(pos % 128 // 4 AS INT) + 1, 1)) - 1) >> CAST(3 - pos % 4 AS INT) & 1"
+    o["text_vectors"] = sql(
+        f"""SELECT doc_id, CAST(pos AS INT) AS pos, round(CAST(CAST(sum(weight * (2 * bit - 1)) / sqrt(384) AS FLOAT) AS DOUBLE), 3) AS value
+        FROM (SELECT doc_id, w, n * ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + texts)) AS weight FROM counted JOIN frequency USING (w))
+        JOIN (SELECT w, pos, {bit} AS bit FROM frequency, range(384) AS r(pos)) USING (w) GROUP BY doc_id, pos""",
+        extra=words("doc_id", "text", "documents", "false")
+        + ", counted AS (SELECT doc_id, w, count(*) AS n FROM words GROUP BY doc_id, w), frequency AS (SELECT w, count(*) AS texts FROM counted GROUP BY w)",
+    )
+
     # incremental and dimensions
     o["unprocessed_anti"] = sql("SELECT Review_ID, Clean_Text, Rating FROM todo", "todo")
     o["upsert_status"] = sql(
@@ -605,6 +640,7 @@ def build() -> dict[str, str]:
     o["landing_roundtrip"] = f"""SELECT concat('R', CAST(doc_id AS VARCHAR)) AS Review_ID, 'part' AS ASIN, n_chars % 7 AS Rating, {clean("concat(source, ' ', text)")} AS Clean_Text,
         CASE WHEN {full} AND doc_id % 5 <> 0 THEN DATE '2024-03-01' END AS Review_Date, CASE WHEN {full} THEN n_chars % 11 ELSE 0 END AS Helpful_Votes,
         CASE WHEN {full} THEN 'Yes' END AS Verified, CAST(NULL AS VARCHAR) AS Variant FROM documents WHERE {optional}"""
+    o["landing_provenance"] = f"SELECT CASE WHEN {full} THEN 'full' ELSE 'short' END AS place, count(*) AS rows, true AS one_stamp FROM documents WHERE {optional} GROUP BY 1"
     o["landing_rejects"] = "SELECT DISTINCT 'URL' AS missing FROM documents WHERE doc_id % 10 = 9"
     names = ("review_features", "scene_bridge", "friction_bridge", "motivation_bridge", "time_bridge", "location_bridge")
     o["feature_tables"] = 'SELECT \'review_processing\' AS "table", count(*) AS rows FROM labels UNION ALL ' + " UNION ALL ".join(

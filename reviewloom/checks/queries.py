@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from reviewloom.checks import small_taxonomy as small
 from reviewloom.checks import surrogates as s
 from reviewloom.functions import dates, keywords, scalars, text
-from reviewloom.operators import keys, tagging, vectors
+from reviewloom.operators import encode, keys, tagging, vectors
 from reviewloom.operators.lookup import PARTS_ORDER, PATTERN_ORDER, first_match, load_lookup
+from reviewloom.operators.taxonomy import NO_FALLBACK
 from reviewloom.plans import bitmaps, dims, jobs, reports
 from reviewloom.plans.market import (
     Market,
@@ -216,6 +217,17 @@ def monthly_line(spark, folder):
     return rounded(line.select(F.date_format("month", "yyyy-MM").alias("month"), "friction_rate_pct", "friction_pct_rolling18m"))
 
 
+@query
+def calendar_gaps(spark, folder):
+    """Rare one-star reviews by month in the first halves of 1994 to 1997, from a table partitioned by month."""
+    model = s.model(spark, folder)
+    path = scratch_path(spark, "facts")
+    dims.write_by_month(dims.review_facts(model.reviews, model.friction), path)
+    days = dates.calendar(model.reviews, "review_date").where(F.col("Year").between(1994, 1997) & (F.col("QuarterNo") <= 2))
+    rare = spark.read.parquet(path).where((F.col("rating") == 1) & (F.col("helpful") == 7))
+    return rounded(dims.months_on_calendar(rare, days))
+
+
 @query
 def review_drillthrough(spark, folder):
     """Reviews behind one cell: scene ECONOMY and friction O, in a date range."""
@@ -410,6 +422,12 @@ def null_profile(spark, folder):
     return keys.null_profile(s.raw_documents(spark, folder))
 
 
+@query
+def load_sample(spark, folder):
+    """The rows that a load shows: three, by their key."""
+    return keys.load_profile(s.raw_documents(spark, folder), order=["Review_Key"])[1]
+
+
 @query
 def title_normalise(spark, folder):
     """Every fourth part has no bullets."""
@@ -609,6 +627,45 @@ def rules_then_centroids(spark, folder):
     return tagging.bridges(tagged)["scene_bridge"].select("Review_ID", "Sub_Scene")
 
 
+def with_vectors(spark: SparkSession, folder: str, vector: Column) -> DataFrame:
+    """All documents without ratings, beside their vectors."""
+    docs = s.read_spread(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("Review_ID"), F.col("text").alias("Clean_Text"), F.lit(None).cast("bigint").alias("Rating"))
+    vecs = s.read(spark, folder, "embeddings").select(F.col("vec_id").alias("Review_ID"), vector.alias("embedding"))
+    return docs.join(vecs, "Review_ID", "left")
+
+
+@query
+def tag_failures(spark, folder):
+    """Every seventh vector is cut short: a review that needs it fails with the reason and has no tags, the others go on."""
+    labels = vectors.load_centroids(label_centroids(spark, folder), "label")
+    cut = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.slice("embedding", 1, 3)).otherwise(F.col("embedding"))
+    rules = [r for r in small.RULES if r.family == "scene"]
+    tagged = tagging.tag_reviews(with_vectors(spark, folder, cut), rules, {"scene": labels}, vector="embedding")
+    return tagged.select("Review_ID", "status", "error", F.size("scenes").alias("scenes"))
+
+
+@query
+def fallback_exclusion(spark, folder):
+    """Label 3 goes by a name that the fallback may not choose, so its vectors fall to the next label."""
+    named = label_centroids(spark, folder).withColumn("label", F.when(F.col("label") == 3, F.lit(NO_FALLBACK[0])).otherwise(F.col("label").cast("string")))
+    labels = vectors.load_centroids(named, "label")
+    rules = [r for r in small.RULES if r.family == "motivation"]
+    tagged = tagging.tag_reviews(with_vectors(spark, folder, F.col("embedding")), rules, {"motivation": labels}, vector="embedding")
+    return tagging.bridges(tagged)["motivation_bridge"].select("Review_ID", "Motivation_Sub", "Motivation_Source")
+
+
+@query
+def text_vectors(spark, folder):
+    """TF-IDF of all documents under a projection to 384 numbers; frequencies are merged from two batches."""
+    counts = encode.word_counts(s.read_spread(spark, folder, "documents", "doc_id").select("doc_id", "text"), "doc_id", "text")
+    odd = F.pmod("doc_id", F.lit(2)) == 1
+    frequencies = encode.merged_frequencies(*[encode.document_frequencies(counts.where(part)) for part in (odd, ~odd)])
+    texts = s.read(spark, folder, "documents").count()
+    projected = encode.projected_vectors(counts, "doc_id", frequencies, texts)
+    flat = projected.select("doc_id", F.posexplode("embedding").alias("pos", "value"))
+    return flat.select("doc_id", "pos", F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
 # --- incremental and dimensions -------------------------------------------------------------------
 
 
@@ -752,6 +809,17 @@ def landing_roundtrip(spark, folder):
     return stored.select(*kept)
 
 
+@query
+def landing_provenance(spark, folder):
+    """Rows by folder of their source file, and whether all rows of the load carry one time stamp."""
+    path = scratch_path(spark, "landing")
+    write_landing(spark, folder, path)
+    stored = materialise(to_review_raw(read_landing(spark, path, "json")[0]), "review_raw")
+    place = F.regexp_extract("Source_File", "([a-z]+)/[^/]+$", 1).alias("place")
+    stamps = stored.agg(F.count_distinct("ETL_Time")).first()[0]
+    return stored.groupBy(place).agg(F.count(F.lit(1)).alias("rows"), F.lit(stamps == 1).alias("one_stamp"))
+
+
 @query
 def landing_rejects(spark, folder):
     path = scratch_path(spark, "landing")

@@ -1,4 +1,4 @@
-"""Text vectors for the centroid fallback: an offline default and a hook for any batch encoder."""
+"""Text vectors for the centroid fallback: offline ones by hashing or projection, and a hook for any batch encoder."""
 
 from __future__ import annotations
 
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.keywords import keyword_list
 from reviewloom.functions.text import blank_to_space
+from reviewloom.operators.keys import hot_keys, join_split
 from reviewloom.operators.vectors import centroids
+from reviewloom.session import materialise
 
 # Vector width and encoder batch size.
 WIDTH = 384
@@ -29,6 +31,62 @@ def hashed_vectors(rows: DataFrame, key: str, text: str, width: int = WIDTH) ->
     return counted.select(key, vector_to_array("_counts", "float32").alias("embedding"))
 
 
+def word_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, word, n) of the content words, stored: frequencies and vectors both read it."""
+    words = rows.select(key, F.explode_outer(keyword_list(F.col(text), forms={})).alias("word")).where(F.col("word").isNotNull())
+    return materialise(words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+
+
+def document_frequencies(counts: DataFrame) -> DataFrame:
+    """(word, texts): in how many texts each word is."""
+    return counts.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+
+
+def merged_frequencies(*tables: DataFrame) -> DataFrame:
+    """Frequencies of several batches that share no text."""
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out.groupBy("word").agg(F.sum("texts").alias("texts"))
+
+
+def projected_vectors(counts: DataFrame, key: str, frequencies: DataFrame, texts: int, width: int = WIDTH) -> DataFrame:
+    """(key, embedding): TF-IDF weights of a text's words under a random projection of fixed signs.
+
+    ``counts`` is of ``word_counts``; ``texts`` is the number of texts behind ``frequencies``. A word's signs are the
+    bits of MD5 of ``<block>:<word>``, so there is no projection matrix to keep and batches of any time agree. A word
+    weighs n * ln((1 + texts) / (1 + its texts)); one without a frequency counts as in no text. Texts without words
+    have no row. Frequent words are joined where they are; a task holds one text's words at a time.
+    """
+    kind = counts.schema[key].dataType.simpleString()
+    spelled = counts.select("word").distinct()
+    known = spelled.join(frequencies, "word", "left").withColumn(
+        "idf", F.log((F.lit(1.0) + texts) / (F.lit(1.0) + F.coalesce("texts", F.lit(0))))
+    )
+    weighed = join_split(counts, known.select("word", "idf"), "word", hot_keys(counts, "word"))
+    blocks = -(-width // 128)
+
+    def signs(word):
+        return F.concat(*[F.unhex(F.md5(F.concat(F.lit(f"{b}:"), word))) for b in range(blocks)])
+
+    bags = weighed.groupBy(key).agg(F.collect_list(F.struct("word", (F.col("n") * F.col("idf")).alias("w"))).alias("_bag"))
+    sent = bags.select(key, F.transform("_bag", lambda e: e["w"]).alias("_w"), F.transform("_bag", lambda e: signs(e["word"])).alias("_signs"))
+
+    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            vectors = []
+            for weights, bits in zip(frame["_w"], frame["_signs"]):
+                raw = np.frombuffer(b"".join(bits), np.uint8).reshape(len(weights), -1)
+                vector = np.zeros(width)
+                for at in range(0, len(weights), 1024):
+                    ones = np.unpackbits(raw[at : at + 1024], axis=1)[:, :width].astype("float64")
+                    vector += np.asarray(weights[at : at + 1024]) @ (2 * ones - 1)
+                vectors.append((vector / np.sqrt(width)).astype("float32").tolist())
+            yield pd.DataFrame({key: frame[key].to_numpy(), "embedding": vectors})
+
+    return sent.mapInPandas(project, f"`{key}` {kind}, embedding array<float>")
+
+
 def encoded_vectors(rows: DataFrame, key: str, text: str, encoder: Encoder, batch: int = BATCH) -> DataFrame:
     """(key, embedding, error): vectors of a model, ``batch`` texts at a time inside tasks.
 

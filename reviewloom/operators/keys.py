@@ -92,8 +92,6 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select("rows", F.inline(lines)).select("column", "type", "rows", "nulls")
 
 
-
-
-def load_profile(df: DataFrame, sample: int = 3) -> tuple[DataFrame, DataFrame]:
-    """What a load reports: types, rows and nulls per column, and a few rows."""
-    return null_profile(df), df.limit(sample)
+def load_profile(df: DataFrame, sample: int = 3, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """What a load reports: types, rows and nulls per column, and the first rows by ``order`` (by all columns, unless told)."""
+    return null_profile(df), df.orderBy(*(order or df.columns)).limit(sample)
