@@ -46,8 +46,8 @@ SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 LEAST_EQUAL = 216
 # Pairs whose components are compared at a time.
 _PAIRS = 1 << 13
-# Shingles of texts that a task holds while it compares pairs.
-HELD_BYTES = 32 << 20
+# Texts of a block; a task holds the shingles of two blocks while it compares their pairs.
+BLOCK_BYTES = 2 << 20
 # Rounds in which every text is compared with its likeliest partner in another class only. They make one class of
 # a large group before the last round compares all that is still apart.
 THIN_ROUNDS = 3
@@ -160,39 +160,45 @@ def _signed(bands: int, rows: int):
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact similarity of candidate pairs; a text that many pairs of a task share is cut into shingles once."""
-    held: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-    size = 0
-
-    def multiset(node: bytes, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal size
-        if node not in held:
-            data = np.frombuffer(text.as_py().encode(), np.uint8)
-            values, counts, _ = counted(*text_shingles(data, np.array([0, len(data)])))
-            size += values.nbytes + counts.nbytes
-            if size > HELD_BYTES:
-                held.clear()
-                size = values.nbytes + counts.nbytes
-            held[node] = values, counts
-        return held[node]
-
+    """Exact similarity of candidate pairs. Rows come by block pair, in each the texts before the pairs that need them."""
+    here, held = None, {}
     for batch in batches:
-        ids_a, ids_b, texts_a, texts_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "text_a", "text_b"))
-        scores = [
-            weighted_jaccard(multiset(a, text_a), multiset(b, text_b))
-            for a, b, text_a, text_b in zip(ids_a.to_pylist(), ids_b.to_pylist(), texts_a, texts_b)
-        ]
-        yield pa.RecordBatch.from_arrays([ids_a, ids_b, pa.array(scores, pa.float64())], ["a", "b", "score"])
+        blocks, ids_a, ids_b = (batch.column(i).to_pylist() for i in range(3))
+        texts, found = batch.column(3), []
+        for i, (block, a, b) in enumerate(zip(blocks, ids_a, ids_b)):
+            if block != here:
+                here, held = block, {}
+            if b is None:
+                data = np.frombuffer(texts[i].as_py().encode(), np.uint8)
+                values, counts, _ = counted(*text_shingles(data, np.array([0, len(data)])))
+                held[a] = values, counts
+            else:
+                found.append((a, b, weighted_jaccard(held[a], held[b])))
+        columns = list(zip(*found)) or [(), (), ()]
+        kinds = (pa.binary(), pa.binary(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "score"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of at least ``similarity``, by exact multiset overlap of their whole texts."""
+    """Pairs of at least ``similarity``, by exact multiset overlap of their whole texts.
+
+    Texts are dealt into blocks of some ``BLOCK_BYTES`` by their digests, and pairs meet by their two blocks. A text
+    travels once to every block pair that needs it, not once for each of its pairs, and is cut into shingles there.
+    """
     needed = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "needed")
     # one text for each node: copies have equal texts, so any will do
     own = materialise(semi(texts, needed, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
-    with_b = pairs.join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = with_b.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    scored = with_both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a binary, b binary, score double")
+    n_blocks = max(1, -(-(own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
+
+    def block(node: str) -> Column:
+        return F.pmod(F.xxhash64(node), F.lit(n_blocks))
+
+    low, high = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
+    dealt = pairs.select((low * n_blocks + high).alias("blocks"), "a", "b", F.lit(None).cast("string").alias("text"))
+    wanted = dealt.select("blocks", F.explode(F.array("a", "b")).alias("node")).distinct()
+    sent = wanted.join(own, "node").select("blocks", F.col("node").alias("a"), F.lit(None).cast("binary").alias("b"), "text")
+    met = sent.unionByName(dealt).repartition("blocks").sortWithinPartitions("blocks", F.col("b").isNotNull())
+    scored = met.mapInArrow(_verified, "a binary, b binary, score double")
     return materialise(scored.where(F.col("score") >= similarity), "links")
 
 
