@@ -96,11 +96,16 @@ def test_language_model_counts_and_base_score(spark, documents):
 def test_language_model_is_normalised():
     rng = np.random.default_rng(0)
     words = np.sort(rng.integers(1, 2**63, 30).astype(np.uint64))
-    model = lm.LogBilinear.fresh(words, rng.integers(1, 100, 32))
-    outputs = np.arange(32, dtype=np.int32)
-    for one, two in [(0, 0), (32, 32), (31, 5)]:
-        p = 10 ** model.log10s(outputs, np.full(32, one, np.int32), np.full(32, two, np.int32))
-        assert p.sum() == pytest.approx(1, abs=1e-4)
+    size = lm.LogBilinear.outputs_of(words, 3) + 1
+    model = lm.LogBilinear.fresh(words, rng.integers(1, 100, size), 3)
+    outputs = np.arange(size, dtype=np.int32)
+    assert model.outputs(words).tolist() == [i + int(w >> np.uint64(61)) for i, w in enumerate(words)]
+    trained, visits = model.trained([(outputs, outputs[::-1], outputs)], seed=1)
+    assert len(visits) == len(model.flat())
+    for tried in (model, trained):
+        for one, two in [(0, 0), (size - 1, size - 1), (31, 5)]:
+            p = 10 ** tried.log10s(outputs, np.full(size, one, np.int32), np.full(size, two, np.int32))
+            assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_language_model_learns_what_follows_what(spark):
