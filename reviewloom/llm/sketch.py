@@ -12,6 +12,7 @@ have resemblance 1, an empty and a filled one 0. Equal texts have equal sketches
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ from reviewloom.llm.common import batch_chunks, materialise, narrowed, one_worke
 from reviewloom.llm.words import text_shingles
 
 K = 128
+# Bytes of text in a run of neighbouring documents, of which a task works on one.
+RUN_BYTES = 32 << 20
 _SPACE = float(1 << 32)
 
 
@@ -123,9 +126,11 @@ def with_successor(docs: DataFrame, ranges: int) -> DataFrame:
     cuts = sorted({c for c in cuts or []}, reverse=True)
     run = F.lit(0)
     if cuts:
-        # the number of cuts that lie above the id; both sides have at most ``ranges`` entries
-        lows = F.array(*[F.lit(c) for c in cuts])
-        run = F.coalesce(F.size(F.filter(lows, lambda c: c > F.col("doc_id"))), F.lit(len(cuts)))
+        # the number of cuts that lie above the id: first among every ``leap``-th, then between two of those
+        leap = math.isqrt(len(cuts)) + 1
+        above = lambda lows: F.size(F.filter(lows, lambda c: c > F.col("doc_id")))
+        leaps = above(F.lit(cuts[leap - 1 :: leap])) * leap
+        run = F.coalesce(leaps + above(F.slice(F.lit(cuts), leaps + 1, F.lit(leap - 1))), F.lit(len(cuts)))
         run = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(run)
     placed = rows.withColumn("part", run.cast("int"))
     keys = narrowed(docs, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id")).withColumn("part", run.cast("int"))
@@ -141,7 +146,7 @@ def with_successor(docs: DataFrame, ranges: int) -> DataFrame:
     own = placed.select("part", "doc_id", "text", F.lit(0).alias("borrowed"))
     return (
         own.unionByName(borrowed)
-        .repartition(max(1, ranges), "part")
+        .repartitionById(max(1, ranges), "part")
         .sortWithinPartitions("part", "borrowed", F.col("doc_id").desc_nulls_last(), "text")
     )
 
@@ -155,7 +160,10 @@ def edited_fingerprints(docs: DataFrame, k: int = K, ranges: int | None = None)
     """
     spark = docs.sparkSession
     small_batches(spark)
-    dealt = with_successor(docs, ranges or one_worker_each(spark))
+    if ranges is None:
+        size = narrowed(docs, "text").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = max(one_worker_each(spark), -(-size // RUN_BYTES))
+    dealt = with_successor(docs, ranges)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None  # the last row, whose successor is not there yet

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pytest
 from conftest import frame, odd
+from pyspark.sql import functions as F
 
 from reviewloom.llm.sketch import (
     containment,
@@ -16,6 +17,7 @@ from reviewloom.llm.sketch import (
     resemblance,
     sketches,
     to_text,
+    with_successor,
 )
 
 
@@ -44,7 +46,7 @@ def test_repeated_shingles_do_not_crowd_out_others():
     assert sketch(text, 16).tolist() == np.unique(sketch(text, 4096))[:16].tolist()
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 7])
+@pytest.mark.parametrize("ranges", [1, 2, 7, 30])
 def test_edits_follow_the_order_of_ids(spark, documents, ranges):
     rows = documents + [(None, "first without id"), (None, "second without id"), (17, "same id, other text"), (17, "same id, other text")]
     got = edited_fingerprints(odd(spark, rows), ranges=ranges).collect()
@@ -59,8 +61,15 @@ def test_edits_follow_the_order_of_ids(spark, documents, ranges):
     for r in got:
         by_text.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
     exact = {i: set(brute.shingles(t)) for i, t in documents}
-    for r in got:
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    # likeness of sketches made here of the text, its edit and the next text
+    texts = [t or "" for _, t in ordered]
+    alike = []
+    for k, (i, _) in enumerate(ordered):
+        text, after = texts[k], texts[(k + 1) % len(texts)]
+        half = len(text) // 2
+        own = sketch(text)
+        alike.append((str(i), len(text), resemblance(own, sketch(text[: len(text) - half] + after[:half])), resemblance(own, sketch(after))))
+    assert sorted((str(r.doc_id), r.n_chars, r.near_edited, r.near_next) for r in got) == sorted(alike)
     several = [r for r in got if r.doc_id in exact and len(exact[r.doc_id]) < 100 and r.doc_id != 17]
     assert all(r.n_shingles == len(exact[r.doc_id]) for r in several)
 
@@ -75,6 +84,12 @@ def test_merging_parts_of_groups(spark):
     assert got == {"all": to_text(sketch(" ".join(words[:804]), 64)), "none": ""}
 
 
+def test_runs_have_tasks_of_their_own(spark):
+    dealt = with_successor(frame(spark, [(i, f"text {i}") for i in range(400)]), 23)
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id().alias("p"), "part").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 23 and max(sizes) < 2 * min(sizes)
+
+
 def test_empty(spark):
     assert edited_fingerprints(frame(spark, [])).count() == 0
     one = edited_fingerprints(frame(spark, [(1, "abcd")])).collect()
