@@ -41,13 +41,13 @@ from reviewloom.llm.words import lowered, mix, word_hashes, word_spans
 
 WIDTH = 16
 # Noise classes that a batch shares, and noise words of its class for each token.
-NOISE = 64
-WORD_NOISE = 4
-ROUNDS = 2
+NOISE = 32
+WORD_NOISE = 2
+ROUNDS = 1
 RATE = 0.2
 # Bits of a word's number that tell its ending; the first of them are its class.
 ENDING_BITS = 12
-LEAST_CLASS_BITS = 8
+LEAST_CLASS_BITS = 7
 CHUNK_TEXT = 8 << 20
 SHARD_WORDS = 2_000_000
 # Rows of parameters that are averaged together.
@@ -360,28 +360,34 @@ class LogBilinear:
         starts, kinds = self.starts(), self.classes()
         result = np.empty(len(target))
 
-        def of(full: np.ndarray, table: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-            found = np.empty(len(full))
+        def norms(full: np.ndarray, table: np.ndarray) -> np.ndarray:
+            """Logarithm of the sum over a table's outputs for each context."""
+            found = np.empty(len(full), np.float32)
             size = max(1, _CELLS // len(table))
             for at in range(0, len(full), size):
                 logits = full[at : at + size] @ table.T
-                own = np.take_along_axis(logits, chosen[at : at + size, None], axis=1)[:, 0].astype(float)
                 top = logits.max(axis=1)
-                np.exp(logits - top[:, None], out=logits)
-                found[at : at + size] = own - top - np.log(logits.sum(axis=1))
+                logits -= top[:, None]
+                found[at : at + size] = top + np.log(np.exp(logits, out=logits).sum(axis=1))
             return found
 
         for at in range(0, len(target), _TOKENS):
             t = target[at : at + _TOKENS]
-            hidden = self.context[one[at : at + _TOKENS]] * self.position[0, :-1] + self.context[two[at : at + _TOKENS]] * self.position[1, :-1]
-            full = np.concatenate([hidden, np.ones((len(t), 1), np.float32)], axis=1)
-            k = kinds[t]
-            scores = of(full, self.kind, k)
+            # words return in the same contexts, which decide on the sum over classes
+            pair = one[at : at + _TOKENS].astype(np.int64) * len(self.context) + two[at : at + _TOKENS]
+            distinct, place = np.unique(pair, return_inverse=True)
+            full = np.ones((len(distinct), WIDTH + 1), np.float32)
+            full[:, :-1] = self.context[distinct // len(self.context)] * self.position[0, :-1]
+            full[:, :-1] += self.context[distinct % len(self.context)] * self.position[1, :-1]
+            k, in_class = kinds[t], norms(full, self.kind)[place]
+            full = full[place]
+            scores = np.einsum("ij,ij->i", full, self.kind[k]) - in_class
             order = np.argsort(k.astype(np.uint16), kind="stable")
             bounds = np.searchsorted(k[order], np.arange(len(starts)))
             for i in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(starts) > 1)).tolist():
                 rows = order[bounds[i] : bounds[i + 1]]
-                scores[rows] += of(full[rows], self.word[starts[i] : starts[i + 1]], t[rows] - starts[i])
+                own = full[rows]
+                scores[rows] += np.einsum("ij,ij->i", own, self.word[t[rows]]) - norms(own, self.word[starts[i] : starts[i + 1]])
             result[at : at + _TOKENS] = scores
         return result / np.log(10)
 
