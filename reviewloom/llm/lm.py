@@ -41,8 +41,8 @@ from reviewloom.llm.words import lowered, mix, word_hashes, word_spans
 
 WIDTH = 16
 # Noise classes that a batch shares, and noise words of its class for each token.
-NOISE = 32
-WORD_NOISE = 2
+NOISE = 16
+WORD_NOISE = 1
 ROUNDS = 1
 RATE = 0.2
 # Bits of a word's number that tell its ending; the first of them are its class.
@@ -54,7 +54,7 @@ SHARD_WORDS = 2_000_000
 SLICE = 4096
 # Tokens scored at a time, and outputs of one matrix product.
 _TOKENS = 1 << 17
-_CELLS = 1 << 21
+_CELLS = 1 << 18
 
 
 def word_numbers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,8 +194,8 @@ def _added_rows(table: np.ndarray, rows: np.ndarray, grads: np.ndarray) -> tuple
     used = np.flatnonzero(met)
     number = np.zeros(len(table), np.int32)
     number[used] = np.arange(len(used), dtype=np.int32)
-    place = number[rows]
-    total = np.stack([np.bincount(place, g, len(used)) for g in grads.T], axis=1)
+    place = number[rows].astype(np.intp)
+    total = np.stack([np.bincount(place, g, len(used)) for g in np.ascontiguousarray(grads.T, float)], axis=1)
     return used, total.astype(np.float32)
 
 
@@ -314,7 +314,7 @@ class LogBilinear:
         running = running - np.append(0.0, running)[starts[:-1]][kinds] + kinds
 
         def near(x: np.ndarray) -> np.ndarray:
-            return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+            return 1 / (1 + np.exp(-np.maximum(x, -30)))
 
         def step(which: int, rows: np.ndarray, grads: np.ndarray) -> None:
             value, seen = values[which], memory[which]
@@ -363,12 +363,18 @@ class LogBilinear:
         def norms(full: np.ndarray, table: np.ndarray) -> np.ndarray:
             """Logarithm of the sum over a table's outputs for each context."""
             found = np.empty(len(full), np.float32)
+            # as many outputs at a time as stay in the cache
             size = max(1, _CELLS // len(table))
             for at in range(0, len(full), size):
                 logits = full[at : at + size] @ table.T
+                with np.errstate(over="ignore", divide="ignore"):
+                    found[at : at + size] = np.log(np.exp(logits, out=logits).sum(axis=1))
+            # rows whose sum leaves the range of single precision
+            far = np.flatnonzero(~(np.abs(found) < 60))
+            for at in range(0, len(far), size):
+                logits = full[far[at : at + size]].astype(float) @ table.T
                 top = logits.max(axis=1)
-                logits -= top[:, None]
-                found[at : at + size] = top + np.log(np.exp(logits, out=logits).sum(axis=1))
+                found[far[at : at + size]] = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
             return found
 
         for at in range(0, len(target), _TOKENS):
