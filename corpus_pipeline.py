@@ -16,9 +16,15 @@ from reviewloom.llm.queries import DOMAIN_TARGETS, labelled_domains, tokenizer_p
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine does not reject."""
+    """Documents that the factorisation machine does not reject.
+
+    A null text counts as empty, repeated ids are judged row by row, and all columns stay as they are.
+    """
     model = quality_fm.quality_model(docs, read(spark, sf_dir, "labels"), F.lit(True))
-    return quality_fm.with_quality(docs, model, "_quality").where(F.col("_quality") >= 0.5).select(*docs.columns)
+    score = "_quality"
+    while score in (c.lower() for c in docs.columns):
+        score += "_"
+    return quality_fm.with_quality(docs, model, score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,3 +91,12 @@ def test_mixture_keeps_clean_documents(spark, stages):
 
 def pairs_of(df):
     return [tuple(r) for r in df.where("doc_id IS NOT NULL").collect() if r[1] is not None]
+
+
+def test_quality_stage_leaves_a_column_of_its_name_alone(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40).withColumn("_Quality", F.lit("mine"))
+    docs = docs.unionByName(docs.limit(2)).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    kept = pipeline.good_quality(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert {r["_Quality"] for r in kept.collect()} == {"mine"}
+    assert pipeline.good_quality(spark, docs.limit(0), SMALL).count() == 0
