@@ -126,3 +126,34 @@ def test_language_model_without_training_texts(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     assert all(r.score < 0 for r in got)
     assert lm.text_scores(frame(spark, []), F.lit(False)).count() == 0
+
+
+def test_toxicity_learns_from_rows_beyond_those_that_begin_it(spark):
+    """Two marks, one of them only in documents that do not begin the network."""
+    rng = np.random.default_rng(5)
+    plain = [" ".join(f"w{rng.integers(300)}" for _ in range(30)) for _ in range(900)]
+    first = {r[0] for r in spark.range(900).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(300).collect()}
+    toxic = {i for i in range(900) if i % 3 == 0}
+    rows = [(i, f"{t} {'grumzo' if i in first else 'plovkat'} {t[:20]}" if i in toxic else t, "en") for i, t in enumerate(plain)]
+    labels = frame(spark, [(i, int(i in toxic)) for i in range(900)], "doc_id bigint, toxic int")
+    net = toxicity.toxicity_network(frame(spark, rows, "doc_id bigint, text string, lang string"), labels, F.lit(True), bound=200, group=150)
+
+    def score(text):
+        return net.score(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[0]
+
+    fresh = [" ".join(f"w{rng.integers(300)}" for _ in range(30)) for _ in range(40)]
+    assert np.mean([score(f"{t} plovkat w1") > score(t) + 0.2 for t in fresh]) > 0.9
+
+
+def test_toxicity_thresholds_come_from_all_rows(spark):
+    """Distributed thresholds over all rows equal those of the rows at hand, ties included."""
+    rng = np.random.default_rng(6)
+    rows = [("en" if i % 3 else None if i % 2 else "de", float(np.round(rng.random(), 2)), int(rng.random() < 0.3)) for i in range(2000)]
+    rows += [("fr", 0.5, 1)] * 9 + [("fr", 0.1, 0)] * 50
+    got = toxicity.best_thresholds(frame(spark, rows, "lang string, score double, y int").repartition(5))
+    scores, marks = np.array([r[1] for r in rows]), np.array([float(r[2]) for r in rows])
+    want = {"": toxicity.best_threshold(scores, marks)}
+    for lang in ("en", "de"):
+        own = np.array([r[0] == lang for r in rows])
+        want[lang] = toxicity.best_threshold(scores[own], marks[own])
+    assert got == pytest.approx(want)
