@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import zlib
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +44,9 @@ BASE_FORMS = {
 }
 
 # A word keeps the apostrophes inside it, so that contractions are seen whole.
-WORD = "[\\p{L}\\p{N}]+(?:'\\p{L}+)*"
+WORD = "[\\p{L}\\p{N}]++(?:'\\p{L}++)*+"
 # Contracted negations are function words like "not"; other contracted endings are cut off.
-NEGATED = "n't$"
+NEGATED = "n't"
 ENDING = "'(?:s|re|ve|ll|d|m)$"
 
 # Forms beyond which a table is no literal of the plan but a dictionary of the Python workers.
@@ -69,7 +70,8 @@ def keyword_list(
     if len(forms) > MAX_LITERAL_FORMS:
         based = _shared_forms(forms)(content)
     else:
-        based = F.transform(content, lambda w: F.coalesce(base_form(w, forms), w)) if forms else content
+        # few words have a base form, and a look into a set is cheaper than one into the table
+        based = F.transform(content, lambda w: F.when(w.isin(*forms), F.coalesce(base_form(w, forms), w)).otherwise(w)) if forms else content
     return F.filter(based, lambda w: (F.length(w) >= 3) | w.isin(*keep))
 
 
@@ -77,9 +79,14 @@ def content_words(text: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Col
     """Words in text order without stop words and numbers, as they stand in the text."""
     dropped = (*stop_words, *NUMBER_WORDS)
     plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\u2019\u02bc", "''")
-    words = F.filter(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)), lambda w: ~w.rlike(NEGATED))
-    cut = F.transform(words, lambda w: F.regexp_replace(w, ENDING, ""))
-    return F.filter(cut, lambda w: ~w.isin(*dropped) & ~w.rlike("^\\p{N}+$"))
+    words = F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
+    # a lambda runs for every word of every text, so plain comparisons stand in front of the patterns
+    cut = F.transform(
+        words,
+        lambda w: F.when(~F.contains(w, F.lit("'")), w).when(~w.endswith(NEGATED), F.regexp_replace(w, ENDING, "")),
+    )
+    lettered = lambda w: (w >= "a") & (w < "{")
+    return F.filter(cut, lambda w: w.isNotNull() & ~w.isin(*dropped) & (lettered(w) | ~w.rlike("^\\p{N}+$")))
 
 
 def keyword_bag(text: Column, **options) -> Column:
@@ -98,11 +105,16 @@ def base_form(word: Column, forms: dict[str, str]) -> Column:
 
 
 def _shared_forms(forms: dict[str, str]):
-    """Bases of arrays of words from a dictionary, in Arrow batches."""
-
-    @F.pandas_udf("array<string>")
-    def bases(words: pd.Series) -> pd.Series:
-        return words.map(lambda row: [forms.get(w, w) for w in row])
+    """Bases of arrays of words from a dictionary, in Arrow batches: each distinct word of a batch is looked up once."""
+
+    @F.arrow_udf("array<string>")
+    def bases(words: pa.Array) -> pa.Array:
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
+        coded = words.flatten().cast(pa.string()).dictionary_encode()
+        mapped = pa.array([forms.get(w, w) for w in coded.dictionary.to_pylist()], pa.string())
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(words), 0).cast(pa.int32()))
+        return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), mapped.take(coded.indices))
 
     return bases
 

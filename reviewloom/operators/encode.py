@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -15,11 +17,13 @@ from reviewloom.functions.keywords import keyword_list
 from reviewloom.functions.text import blank_to_space
 from reviewloom.operators.keys import hot_keys, join_split
 from reviewloom.operators.vectors import centroids
-from reviewloom.session import materialise
+from reviewloom.session import BROADCAST_ROWS, has_at_most, materialise
 
 # Vector width and encoder batch size.
 WIDTH = 384
 BATCH = 64
+# Words of texts whose signs are unpacked at a time, 3 KB each.
+STRETCH = 4096
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -56,35 +60,52 @@ def projected_vectors(counts: DataFrame, key: str, frequencies: DataFrame, texts
     ``counts`` is of ``word_counts``; ``texts`` is the number of texts behind ``frequencies``. A word's signs are the
     bits of MD5 of ``<block>:<word>``, so there is no projection matrix to keep and batches of any time agree. A word
     weighs n * ln((1 + texts) / (1 + its texts)); one without a frequency counts as in no text. Texts without words
-    have no row. Frequent words are joined where they are; a task holds one text's words at a time.
+    have no row. A small vocabulary is broadcast; of a large one, frequent words are joined where they are. A task holds
+    one batch's texts and the signs of their distinct words.
     """
     kind = counts.schema[key].dataType.simpleString()
     spelled = counts.select("word").distinct()
     known = spelled.join(frequencies, "word", "left").withColumn(
         "idf", F.log((F.lit(1.0) + texts) / (F.lit(1.0) + F.coalesce("texts", F.lit(0))))
     )
-    weighed = join_split(counts, known.select("word", "idf"), "word", hot_keys(counts, "word"))
-    blocks = -(-width // 128)
-
-    def signs(word):
-        return F.concat(*[F.unhex(F.md5(F.concat(F.lit(f"{b}:"), word))) for b in range(blocks)])
-
+    known = materialise(known.select("word", "idf"), "idf")
+    if has_at_most(known, BROADCAST_ROWS):
+        weighed = counts.join(F.broadcast(known), "word")
+    else:
+        weighed = join_split(counts, known, "word", hot_keys(counts, "word"))
     bags = weighed.groupBy(key).agg(F.collect_list(F.struct("word", (F.col("n") * F.col("idf")).alias("w"))).alias("_bag"))
-    sent = bags.select(key, F.transform("_bag", lambda e: e["w"]).alias("_w"), F.transform("_bag", lambda e: signs(e["word"])).alias("_signs"))
-
-    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            vectors = []
-            for weights, bits in zip(frame["_w"], frame["_signs"]):
-                raw = np.frombuffer(b"".join(bits), np.uint8).reshape(len(weights), -1)
-                vector = np.zeros(width)
-                for at in range(0, len(weights), 1024):
-                    ones = np.unpackbits(raw[at : at + 1024], axis=1)[:, :width].astype("float64")
-                    vector += np.asarray(weights[at : at + 1024]) @ (2 * ones - 1)
-                vectors.append((vector / np.sqrt(width)).astype("float32").tolist())
-            yield pd.DataFrame({key: frame[key].to_numpy(), "embedding": vectors})
-
-    return sent.mapInPandas(project, f"`{key}` {kind}, embedding array<float>")
+    sent = bags.select(key, F.col("_bag")["word"].alias("_words"), F.col("_bag")["w"].alias("_w"))
+    blocks = [f"{b}:".encode() for b in range(-(-width // 128))]
+
+    def signs(word: str) -> bytes:
+        return b"".join(hashlib.md5(block + word.encode()).digest() for block in blocks)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a word's signs are made once a batch, and unpacked for a stretch of words at a time
+            coded = batch.column(1).flatten().cast(pa.string()).dictionary_encode()
+            packed = np.frombuffer(b"".join(signs(w) for w in coded.dictionary.to_pylist()), np.uint8).reshape(-1, 16 * len(blocks))
+            codes, weights = coded.indices.to_numpy(), batch.column(2).flatten().to_numpy()
+            ends = np.cumsum(batch.column(1).value_lengths().to_numpy())
+            vectors = np.zeros((batch.num_rows, width))
+            first = 0
+            while first < batch.num_rows:
+                begin = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, begin + STRETCH, side="right")))
+                used, at = np.unique(codes[begin : ends[last - 1]], return_inverse=True)
+                for low in range(0, len(used), STRETCH):
+                    ones = 2.0 * np.unpackbits(packed[used[low : low + STRETCH]], axis=1)[:, :width] - 1.0
+                    for row in range(first, last):
+                        mine = slice((ends[row - 1] if row else 0) - begin, ends[row] - begin)
+                        here = at[mine] - low
+                        inside = (here >= 0) & (here < len(ones))
+                        vectors[row] += weights[begin:][mine][inside] @ ones[here[inside]]
+                first = last
+            flat = pa.array((vectors / np.sqrt(width)).astype("float32").reshape(-1))
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], [key, "embedding"])
+
+    return sent.mapInArrow(project, f"`{key}` {kind}, embedding array<float>")
 
 
 def encoded_vectors(rows: DataFrame, key: str, text: str, encoder: Encoder, batch: int = BATCH) -> DataFrame:
