@@ -212,11 +212,10 @@ def tag_reviews(
 
 def bridges(tagged: DataFrame, key: str = "Review_ID") -> dict[str, DataFrame]:
     """The five long tables of a tagged frame; failed reviews have no rows."""
-    done = tagged.where(F.col("status") == "SUCCESS")
-
     def rows(column: str) -> DataFrame:
-        # a plain explode would copy the tag expressions into a filter in front and run every pattern twice
-        return done.select(key, F.explode_outer(column).alias("t")).where(F.col("t").isNotNull())
+        # a filter by status, or a plain explode, would copy the tag expressions below a filter and run every pattern twice
+        done = F.when(F.col("status") == "SUCCESS", F.col(column))
+        return tagged.select(key, F.explode_outer(done).alias("t")).where(F.col("t").isNotNull())
 
     def scored(column: str, prefix: str) -> DataFrame:
         tag = F.col("t")

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.functions import keywords
-from reviewloom.operators import encode
+from reviewloom.operators import encode, tagging
+from reviewloom.operators import taxonomy as tax
 
 
 def plan(df):
@@ -48,3 +49,17 @@ def test_signs_are_made_per_distinct_word(spark, monkeypatch):
             bits = b"".join(hashlib.md5(f"{b}:{w}".encode()).digest() for b in range(2))
             want += n * np.log(21 / (1 + texts[w])) * (2.0 * np.unpackbits(np.frombuffer(bits, np.uint8))[:200] - 1)
         assert got[k] == pytest.approx(want / np.sqrt(200), abs=1e-5)
+
+
+def test_bridges_run_patterns_and_scores_once(spark):
+    """Reviews that need a vector: neither a pattern nor the scoring may be copied below a filter on the status."""
+    rules = [tax.Rule("scene", "Sky", "blue", 0, "blue.?sky")]
+    reviews = spark.createDataFrame(
+        [("a", "Blue sky", None, None), ("b", "grey", None, [1.0, 0.0]), ("c", "grey", None, [1.0]), ("d", " ", None, [1.0, 0.0])],
+        "Review_ID string, Clean_Text string, Rating int, embedding array<float>",
+    )
+    tagged = tagging.tag_reviews(reviews, rules, {"scene": [("blue", [1.0, 0.0]), ("red", [0.0, 1.0])]}, vector="embedding")
+    bridge = tagging.bridges(tagged)["scene_bridge"]
+    optimised = bridge._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("ArrowEvalPython") == 1 and optimised.count("blue.?sky") == 1
+    assert sorted((r.Review_ID, r.Sub_Scene) for r in bridge.collect()) == [("a", "blue"), ("b", "blue")]
