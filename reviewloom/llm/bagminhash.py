@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -214,7 +215,7 @@ def _across(similarity: float, far_bits: int, least_equal: int, thin: bool):
         new_key = np.ones(n, bool)
         new_key[1:] = key[1:] != key[:-1]
         new_run = new_key.copy()
-        new_run[1:] |= pa.compute.not_equal(root.slice(1), root.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new_run[1:] |= pc.not_equal(root.slice(1), root.slice(0, n - 1)).to_numpy(zero_copy_only=False)
         ends = []
         for new in (new_key, new_run):
             starts = np.flatnonzero(new)

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def letter_codes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Letter numbers of all words in a row, and where each word begins."""
     joined = "".join(words.to_pylist())
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
-    lengths = pa.compute.utf8_length(words).to_numpy(zero_copy_only=False)
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False)
     return np.where(points >= 0xC0, points - 0xC0 + 26, points - 97), np.concatenate([[0], np.cumsum(lengths)])
 
 

@@ -1,7 +1,10 @@
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from compare import compare, connect
@@ -101,3 +104,18 @@ def test_distances_are_those_of_letter_counts():
     gram = counts @ counts.T
     squares = gram.diagonal()[:, None] + gram.diagonal()[None, :] - 2 * gram
     assert squares[0].tolist() == [0, 2, 2, 0]
+
+
+@pytest.mark.parametrize("name", ["spelling", "bagminhash"])
+def test_modules_import_what_they_compute_with(name):
+    # pyarrow.compute is a module of its own, there only if something else in the worker has imported it
+    code = (
+        "import sys, types, pyarrow as pa\n"
+        f"import reviewloom.llm.{name} as module\n"
+        "used = [f.__code__ for f in vars(module).values() if isinstance(f, types.FunctionType)]\n"
+        "names = lambda c: set(c.co_names).union(*(names(k) for k in c.co_consts if isinstance(k, types.CodeType)))\n"
+        "missing = [c.co_name for c in used if 'compute' in names(c)]\n"
+        "assert 'pyarrow.compute' in sys.modules and not missing, missing\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(spelling.__file__).parents[2], capture_output=True, text=True)
+    assert not done.returncode, done.stderr
