@@ -49,9 +49,8 @@ LEAST_EQUAL = 216
 _PAIRS = 1 << 13
 # Texts of a block; a task holds the shingles of two blocks while it compares their pairs.
 BLOCK_BYTES = 2 << 20
-# Rounds in which every text is compared with its likeliest partner in another class only. They make one class of
-# a large group before the last round compares all that is still apart.
-THIN_ROUNDS = 3
+# Shingles of one bucket whose texts meet in one task; heavier buckets are cut into parts, every two of which meet.
+BLOCK_SHINGLES = 1 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -153,8 +152,9 @@ def _signed(bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(weight, pa.int64()), lists]
                     + [pa.array(np.ascontiguousarray(words[:, k])) for k in range(len(SKETCH))]
-                    + [pa.array([m.tobytes() for m in (marks[:, : bands * rows] >> np.uint64(32)).astype(np.uint16)], pa.binary())],
-                    ["doc_id", "node", "weight", "keys", *SKETCH, "marks"],
+                    + [pa.array([m.tobytes() for m in (marks[:, : bands * rows] >> np.uint64(32)).astype(np.uint16)], pa.binary())]
+                    + [pa.array([k.tobytes() for k in keys.astype(np.uint32)], pa.binary())],
+                    ["doc_id", "node", "weight", "keys", *SKETCH, "marks", "bands"],
                 )
 
     return work
@@ -203,55 +203,96 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return materialise(scored.where(F.col("score") >= similarity), "links")
 
 
-def _across(similarity: float, far_bits: int, least_equal: int, thin: bool):
-    """Candidate pairs (a, b) of each bucket whose classes differ, from rows sorted by bucket and class."""
+def _candidates(rows: pa.RecordBatch, similarity: float, far_bits: int, least_equal: int, run: np.ndarray):
+    """Pairs of rows (p, q) of one bucket and different runs that may be alike, as arrays, some at a time.
+
+    ``run`` numbers the classes of each bucket; its caller may give runs one number while pairs are drawn. Of all the
+    buckets that hold both texts of a pair only that of the first band brings it up.
+    """
+    n = rows.num_rows
+    key, side, bucket, weight = (np.asarray(rows.column(i)) for i in (0, 1, 4, 5))
+    words = np.stack([np.asarray(rows.column(6 + k)).view(np.uint64) for k in range(len(SKETCH))], axis=1)
+    marks = np.frombuffer(b"".join(rows.column(6 + len(SKETCH)).to_pylist()), np.uint16).reshape(n, -1)
+    bands = np.frombuffer(b"".join(rows.column(7 + len(SKETCH)).to_pylist()), np.uint32).reshape(n, -1)
+    here = bucket.astype(np.uint32)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    stop = np.append(starts[1:], n)
+    end = np.repeat(stop, stop - starts)
+    # every row against the rows of its bucket behind its own class, one place further at each step
+    change = np.append(np.flatnonzero((run[1:] != run[:-1]) | (key[1:] != key[:-1])) + 1, n)
+    todo = np.arange(n)
+    other = change[np.searchsorted(change, todo, side="right")]
+    while True:
+        inside = other < end[todo]
+        todo, other = todo[inside], other[inside]
+        if not len(todo):
+            return
+        fits = np.minimum(weight[todo], weight[other]) >= similarity * np.maximum(weight[todo], weight[other])
+        fits &= ((side[todo] == 0) | (side[todo] != side[other])) & (run[todo] != run[other])
+        x, y = todo[fits], other[fits]
+        near = np.flatnonzero(np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= far_bits)
+        for at in range(0, len(near), _PAIRS):
+            p, q = x[near[at : at + _PAIRS]], y[near[at : at + _PAIRS]]
+            first = (bands[p] == bands[q]).argmax(axis=1)
+            own = bands[p, first] == here[p]
+            p, q = p[own], q[own]
+            kept = (marks[p] == marks[q]).sum(axis=1) >= least_equal
+            if kept.any():
+                yield p[kept], q[kept]
+        other = other + 1
+
+
+def _runs(rows: pa.RecordBatch) -> np.ndarray:
+    """A number for each class of each bucket, from rows sorted by bucket and class."""
+    key, root, n = np.asarray(rows.column(0)), rows.column(2), rows.num_rows
+    new = np.ones(n, bool)
+    new[1:] = (key[1:] != key[:-1]) | pc.not_equal(root.slice(1), root.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    return np.cumsum(new) - 1
+
+
+def _suspects(similarity: float, far_bits: int, least_equal: int):
+    """The rows that stand in a candidate pair: at most as many as there are."""
+
+    def met(rows: pa.RecordBatch) -> pa.RecordBatch:
+        seen = np.zeros(rows.num_rows, bool)
+        for p, q in _candidates(rows, similarity, far_bits, least_equal, _runs(rows)):
+            seen[p] = seen[q] = True
+        chosen = rows.take(pa.array(np.flatnonzero(seen)))
+        return pa.RecordBatch.from_arrays([chosen.column(i) for i in (4, 2, 3, 5)], ["key", "root", "node", "weight"])
+
+    return _by_bucket(met)
+
+
+def _joined(similarity: float, far_bits: int, least_equal: int):
+    """Links (a, b) of each bucket that join its classes, by exact similarity: fewer than it has classes.
+
+    A pair whose classes earlier links of the bucket have joined is passed over.
+    """
 
     def met(rows: pa.RecordBatch) -> pa.RecordBatch:
-        n = rows.num_rows
-        key, side, weight = (np.asarray(rows.column(i)) for i in (0, 1, 4))
-        words = np.stack([np.asarray(rows.column(5 + k)).view(np.uint64) for k in range(len(SKETCH))], axis=1)
-        marks = np.frombuffer(b"".join(rows.column(5 + len(SKETCH)).to_pylist()), np.uint16).reshape(n, -1)
-        root, node = rows.column(2), rows.column(3)
-        new_key = np.ones(n, bool)
-        new_key[1:] = key[1:] != key[:-1]
-        new_run = new_key.copy()
-        new_run[1:] |= pc.not_equal(root.slice(1), root.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-        ends = []
-        for new in (new_key, new_run):
-            starts = np.flatnonzero(new)
-            stop = np.append(starts[1:], n)
-            ends.append(np.repeat(stop, stop - starts))
-        end, run_end = ends
-        found_a, found_b, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        # every row against the rows of its bucket behind its own class, one place further at each step
-        todo, other = np.arange(n), run_end.copy()
-        while True:
-            inside = other < end[todo]
-            todo, other = todo[inside], other[inside]
-            if not len(todo):
-                break
-            fits = np.minimum(weight[todo], weight[other]) >= similarity * np.maximum(weight[todo], weight[other])
-            fits &= (side[todo] == 0) | (side[todo] != side[other])
-            x, y = todo[fits], other[fits]
-            near = np.flatnonzero(np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= far_bits)
-            for at in range(0, len(near), _PAIRS):
-                p, q = x[near[at : at + _PAIRS]], y[near[at : at + _PAIRS]]
-                equal = (marks[p] == marks[q]).sum(axis=1)
-                kept = equal >= least_equal
-                found_a.append(p[kept])
-                found_b.append(q[kept])
-                score.append(equal[kept])
-            other = other + 1
-        x, y, equal = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(score)
-        if thin:
-            # the best partner of every row, of equal ones the first
-            x, y, equal = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([equal, equal])
-            order = np.lexsort((y, -equal, x))
-            x, y, equal = x[order], y[order], equal[order]
-            first = np.ones(len(x), bool)
-            first[1:] = x[1:] != x[:-1]
-            x, y, equal = x[first], y[first], equal[first]
-        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(equal, pa.int64())], ["a", "b", "equal"])
+        run, node, texts = _runs(rows), rows.column(3), rows.column(8 + len(SKETCH))
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in held:
+                data = np.frombuffer(texts[i].as_py().encode(), np.uint8)
+                held[i] = counted(*text_shingles(data, np.array([0, len(data)])))[:2]
+            return held[i]
+
+        found_a, found_b = [], []
+        for p, q in _candidates(rows, similarity, far_bits, least_equal, run):
+            for a, b in zip(p.tolist(), q.tolist()):
+                if run[a] != run[b] and weighted_jaccard(bag(a), bag(b)) >= similarity:
+                    run[run == run[b]] = run[a]
+                    found_a.append(a)
+                    found_b.append(b)
+        return pa.RecordBatch.from_arrays([node.take(pa.array(f, pa.int64())) for f in (found_a, found_b)], ["a", "b"])
+
+    return _by_bucket(met)
+
+
+def _by_bucket(met):
+    """Calls ``met`` with whole buckets, from rows sorted by their first column."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -275,26 +316,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     """(doc_id, class_id, kept, weight, n_links, digest): one row per input row.
 
     ``class_id`` is the smallest id among all documents connected by links of at least ``similarity``; ``kept``
-    marks the rows that carry it; ``weight`` counts the shingles; ``n_links`` the verified links of the text; ``digest`` is
-    the text's MD5.
+    marks the rows that carry it; ``weight`` counts the shingles; ``n_links`` the verified links that joined the text to
+    its class; ``digest`` is the text's MD5.
 
     Equal texts become one node first. In the buckets of the first bands every node is checked against the bucket's
     smallest node, and links are classes from then on. Then, in the buckets of all bands, only nodes of different
-    classes are compared: by their weights, bits and components inside the task, so that no row is made for a pair that cannot
-    have the similarity, and exactly where these allow it. Buckets of any size are treated alike; the parts of a large
-    one meet two by two. A pair at 0.8 is missed if no band agrees (below 3e-5), or its bits or its
+    classes are compared: by their weights, bits and components first. Only the nodes of pairs that these allow come
+    again, with their texts, and are compared exactly inside the task until their classes are joined; no row is made
+    for a pair unless it joins two classes. Buckets of any size are treated alike; the parts of a large one meet two
+    by two. A pair at 0.8 is missed if no band agrees (below 3e-5), or its bits or its
     components are too far apart (6.4e-7 and 6e-7).
     """
     small_batches(docs.sparkSession)
     rows_in = narrowed(docs, "doc_id", "text")
     signed = materialise(
         rows_in.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-            _signed(bands, rows), "doc_id bigint, node binary, weight bigint, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH) + ", marks binary"
+            _signed(bands, rows), "doc_id bigint, node binary, weight bigint, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH) + ", marks binary, bands binary"
         ),
         "signed",
     )
     light = ["weight", *SKETCH]
-    nodes = materialise(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*light, "marks", "keys")]), "nodes")
+    nodes = materialise(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*light, "marks", "bands", "keys")]), "nodes")
     texts = rows_in.select(
         F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
@@ -334,35 +376,39 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         return rows_of.join(spread.select("key"), "key", "left_semi")
 
     tasks = one_worker_each(docs.sparkSession)
+    traits = ["weight", *SKETCH, "marks", "bands"]
 
-    def apart(roots: DataFrame, thin: bool) -> DataFrame:
-        """Candidate pairs of different classes, the smaller node first."""
-        rest = open_buckets(labelled(roots)).join(nodes.select("node", *light, "marks"), "node")
-        rest = materialise(rest.select("key", "root", "node", *light, "marks"), "open")
-        wide = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows)
-        wide = materialise(wide.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "wide")
-        dealt = rest.withColumn("side", F.lit(0))
+    def met(rest: DataFrame, wide: DataFrame, known: DataFrame) -> DataFrame:
+        """Rows (key, root, node) with what is known of their nodes, sorted by bucket; ``wide`` ones in parts that meet."""
+        wide = materialise(wide.where(F.col("parts") > 1), "wide")
+        dealt = rest.select("key", "root", "node", F.col("key").alias("bucket"), F.lit(0).alias("side"))
         if not wide.isEmpty():
             split = rest.join(wide, "key").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             split = split.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
             side = F.when(low == high, 0).otherwise(F.when(F.col("_part") == low, 1).otherwise(2))
-            split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", *light, "marks", side.alias("side"))
-            dealt = rest.join(wide, "key", "left_anti").withColumn("side", F.lit(0)).unionByName(split)
-        dealt = dealt.select("key", "side", "root", "node", *light, "marks").repartition(tasks, "key").sortWithinPartitions("key", "root")
-        pairs = dealt.mapInArrow(_across(similarity, far_bits, least_equal, thin), "a binary, b binary, equal bigint")
-        if thin:
-            pairs = pairs.groupBy("a").agg(F.max(F.struct("equal", "b"))["b"].alias("b"))
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    compared, every_link = stars, links
-    for thin in [True] * THIN_ROUNDS + [False]:
-        across = materialise(apart(roots, thin).join(compared, ["a", "b"], "left_anti"), "across")
-        if across.isEmpty() and thin:
-            continue
-        more = _links(across, texts, similarity)
-        compared, every_link = compared.unionByName(across), every_link.unionByName(more)
-        roots = components(every_link)
+            split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", F.col("key").alias("bucket"), side.alias("side"))
+            dealt = dealt.join(wide, "key", "left_anti").unionByName(split)
+        columns = [c for c in known.columns if c != "node"]
+        dealt = dealt.join(known, "node").select("key", "side", "root", "node", "bucket", *columns)
+        return dealt.repartition(tasks, "key").sortWithinPartitions("key", "root")
+
+    limits = (similarity, far_bits, least_equal)
+    rest = materialise(open_buckets(labelled(roots)).select("key", "root", "node"), "open")
+    n_rows = F.count(F.lit(1))
+    wide = rest.groupBy("key").agg(F.ceil(n_rows / block_rows).cast("int").alias("parts"))
+    every = met(rest, wide, nodes.select("node", *traits))
+    suspects = every.mapInArrow(_suspects(*limits), "key bigint, root binary, node binary, weight bigint").distinct()
+    suspects = materialise(suspects, "suspects")
+    parts = F.ceil(F.greatest(n_rows / block_rows, F.sum("weight") / BLOCK_SHINGLES)).cast("int").alias("parts")
+    again = materialise(suspects.select("node").distinct(), "again")
+    # one text for each node: copies have equal texts, so any will do
+    own = materialise(semi(texts, again, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    known = semi(nodes.select("node", *traits), again, "node").join(own, "node")
+    joined = met(suspects, suspects.groupBy("key").agg(parts), known).mapInArrow(_joined(*limits), "a binary, b binary")
+    more = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    every_link = materialise(links.select("a", "b").unionByName(more), "every_link")
+    roots = components(every_link)
 
     ends = every_link.select(F.col("a").alias("node")).union(every_link.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))

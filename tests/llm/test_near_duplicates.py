@@ -3,8 +3,9 @@ import numpy as np
 from conftest import frame, odd
 from pyspark.sql import functions as F
 
+from reviewloom.llm import bagminhash
 from reviewloom.llm.bagminhash import FAR_BITS, bag_signatures, deduplicated, near_duplicates, sketch_words, weighted_jaccard
-from reviewloom.llm.common import components
+from reviewloom.llm.common import components, materialise
 
 
 def test_signature_estimates_weighted_jaccard():
@@ -71,3 +72,25 @@ def test_components_of_chains_stars_and_rings(spark):
 def test_kept_is_one_of_each_class(spark, documents):
     kept = near_duplicates(frame(spark, documents)).where(F.col("kept"))
     assert kept.count() == kept.select("class_id").distinct().count() == len(set(brute.near_classes(documents).values()))
+
+
+def test_no_row_for_each_pair_of_texts_that_are_almost_near(spark, monkeypatch):
+    # any two texts are at some 0.76, so most pairs pass for candidates and none is a link
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(150):
+        words = [f"b{k}" for k in range(604)]
+        for j in range(8):
+            words[int(rng.integers(8 + j * 74, 70 + j * 74))] = f"x{i}-{j}"
+        rows.append((i, " ".join(words)))
+    stored = []
+
+    def counted_rows(df, label):
+        out = materialise(df, label)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(bagminhash, "materialise", counted_rows)
+    got = near_duplicates(frame(spark, rows)).select("doc_id", "class_id").collect()
+    assert {r.doc_id: r.class_id for r in got} == brute.near_classes(rows)
+    assert max(stored) <= len(rows) * bagminhash.BANDS < 150 * 149 // 2
