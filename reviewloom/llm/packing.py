@@ -93,8 +93,9 @@ class WordIds:
         odds = np.concatenate([[0], np.cumsum(odd)])
         whole = np.repeat(odds[ends] != odds[starts], ends - starts)
         inside = np.zeros(n + 1, np.int8)
-        np.add.at(inside, starts, 1)
-        np.add.at(inside, ends, -1)
+        # no two words have a start in common, nor an end
+        inside[starts] += 1
+        inside[ends] -= 1
         covered = np.cumsum(inside[:-1]) > 0
         stay = np.zeros(n, bool)
         stay[covered] = whole

@@ -94,3 +94,11 @@ def test_pieces_and_places(spark, documents):
 
 def test_empty(spark):
     assert packed(frame(spark, []), tokenizer_path()).count() == 0
+
+
+def test_units_of_texts_side_by_side():
+    # one text's last word ends where the next one's first begins
+    data = np.frombuffer(b"ab-cd" + b"ef g" + b"h", np.uint8)
+    _, starts, ends, at = WordIds(tokenizer_path()).units(data, np.array([0, 5, 9, 9, 10]))
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == [b"ab", b"-", b"cd", b"ef", b"g", b"h"]
+    assert at.tolist() == [0, 3, 5, 5, 6]
