@@ -33,42 +33,126 @@ from reviewloom.llm.words import mix, power_tables
 
 SPAN = 50
 GRAM = 20
-CHUNK = 1 << 20
-SHARD_ENTRIES = 1_000_000
+# Bytes of text that numpy works on at once, that a shard of hashes stands for, whose hashes make a row, and of a chunk.
+PIECE = 1 << 18
+SHARD_TEXT = 1 << 24
+ROW_TEXT = 1 << 14
+MOST_CHUNK = 1 << 25
 SHARD_BYTES = 1 << 20
+# Strings of a shard that are compared with their smallest ids at once.
+STRINGS = 1 << 18
 LAST_ID = (1 << 63) - 1
 _PLACE_BITS = np.uint64(28)
 
-CHUNK_SCHEMA = "chunk bigint, doc_ids array<bigint>, digests array<binary>, offsets binary, bytes binary"
+CHUNK_SCHEMA = (
+    "chunk bigint, doc_ids array<bigint>, kinds binary, digests array<binary>, leasts array<bigint>, offsets array<binary>, bytes array<binary>"
+)
 
 
-def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as compressed chunks, with a number that stays the same in all later passes.
+def dealt(text_bytes: int, parts: int) -> tuple[int, int]:
+    """Number of shards and bytes of text in a chunk.
 
-    Any column after id and text stays beside them.
+    Every chunk sends a row to almost every shard. So a chunk grows with the number of shards, up to ``MOST_CHUNK``,
+    and these rows stay as long as they are, instead of growing in number with the square of the input.
     """
-    made = 0
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        for part, data, offsets in batch_chunks(batch, "text", CHUNK):
-            raw = data.tobytes()
-            digests = [hashlib.md5(raw[a:b], usedforsecurity=False).digest() for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
+    shards = max(parts, -(-text_bytes // SHARD_TEXT))
+    return shards, min(max(shards * ROW_TEXT, PIECE), MOST_CHUNK)
+
+
+def _stored(limit: int):
+    """Texts as chunks of compressed pieces, with a number that stays the same in all later passes.
+
+    A chunk names each different text once, with its smallest id there. Any column after id and text stays beside it.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held, size = 0, [], 0
+        press = zstandard.ZstdCompressor(level=1)
+
+        def chunk() -> pa.RecordBatch:
+            parts, ids, digests = [h[0] for h in held], [], []
+            for part, own, _, _ in held:
+                ids += part.column(0).to_pylist()
+                digests += own
+            number: dict[bytes, int] = {}
+            kinds = np.array([number.setdefault(d, len(number)) for d in digests], np.int32)
+            least = np.full(len(number), LAST_ID, np.int64)
+            np.minimum.at(least, kinds, np.array([LAST_ID if i is None else i for i in ids], np.int64))
+            more = [pa.concat_arrays([p.column(k) for p in parts]) for k in range(2, parts[0].num_columns)]
+            return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(TaskContext.get().partitionId() << 32) + made], pa.int64()),
-                    pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([digests], pa.list_(pa.binary())),
-                    pa.array([offsets.astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([press.compress(raw)], pa.binary()),
-                    *[pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in part.columns[2:]],
+                    pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([kinds.tobytes()], pa.binary()),
+                    pa.array([list(number)], pa.list_(pa.binary())),
+                    pa.array([least], pa.list_(pa.int64())),
+                    pa.array([[h[2] for h in held]], pa.list_(pa.binary())),
+                    pa.array([[h[3] for h in held]], pa.list_(pa.binary())),
+                    *[pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), c) for c in more],
                 ],
-                ["chunk", "doc_ids", "digests", "offsets", "bytes", *part.schema.names[2:]],
+                ["chunk", "doc_ids", "kinds", "digests", "leasts", "offsets", "bytes", *parts[0].schema.names[2:]],
             )
-            made += 1
 
+        for batch in batches:
+            for part, data, offsets in batch_chunks(batch, "text", PIECE):
+                if held and size + len(data) > limit:
+                    yield chunk()
+                    made, held, size = made + 1, [], 0
+                raw = data.tobytes()
+                digests = [hashlib.md5(raw[a:b], usedforsecurity=False).digest() for a, b in zip(offsets[:-1], offsets[1:])]
+                held.append((part, digests, offsets.astype(np.int64).tobytes(), press.compress(raw)))
+                size += len(data)
+        if held:
+            yield chunk()
+
+    return work
+
+
+def _pieces(offsets: pa.Scalar, raws: pa.Scalar) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Pieces of a chunk: first text's number, first byte's place, offsets and bytes."""
+    text = base = 0
+    press = zstandard.ZstdDecompressor()
+    for at, raw in zip(offsets.values, raws.values):
+        own, data = np.frombuffer(at.as_buffer(), np.int64), np.frombuffer(press.decompress(raw.as_buffer()), np.uint8)
+        yield text, base, own, data
+        text, base = text + len(own) - 1, base + len(data)
+
+
+def _chunk_segments(offsets: pa.Scalar, raws: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of a whole chunk, places within their pieces; and where each piece's segments begin."""
+    found = []
+    for text, _, own, data in _pieces(offsets, raws):
+        first, last, hashes, owner = segments(data, own)
+        found.append((first.astype(np.int32), last.astype(np.int32), hashes, (owner + text).astype(np.int32)))
+    return *(np.concatenate(c) for c in zip(*found)), np.cumsum([0] + [len(f[0]) for f in found])
+
+
+def _by_shard(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of segments by shard, the shards there are, and where each begins."""
+    shard = (hashes >> np.uint64(40)) % np.uint64(shards)
+    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+    used, starts = np.unique(shard[order], return_index=True)
+    return order, used, np.append(starts, len(order))
 
-def _bytes(raw: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw.as_py()), np.uint8)
+
+def _ids(ids: pa.Scalar) -> np.ndarray:
+    return ids.values.fill_null(LAST_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _whole(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, one value after the other, and their lengths."""
+    values, lengths = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for part in column.chunks:
+        if len(part):
+            at = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1].astype(np.int64)
+            values.append(np.frombuffer(part.buffers()[2], np.uint8)[at[0] : at[-1]])
+            lengths.append(np.diff(at))
+    return np.concatenate(values), np.concatenate(lengths)
+
+
+def _binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM):
@@ -109,15 +193,12 @@ def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int
 def _hash_blobs(shards: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, digests, offsets, raw in zip(*(batch.column(i) for i in range(4))):
-                offsets = np.frombuffer(offsets.as_py(), np.int64)
-                _, _, hashes, owner = segments(_bytes(raw), offsets)
+            for chunk, kinds, digests, offsets, raws in zip(*(batch.column(i) for i in range(5))):
+                _, _, hashes, owner, _ = _chunk_segments(offsets, raws)
                 nodes = np.array([int.from_bytes(d[:8], "little") for d in digests.as_py()], np.uint64)
-                shard = (hashes >> np.uint64(40)) % np.uint64(shards)
-                order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
-                used, starts = np.unique(shard[order], return_index=True)
-                cuts = np.append(starts, len(order))
-                short, whose = (hashes[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), owner[order]
+                order, used, cuts = _by_shard(hashes, shards)
+                short = (hashes[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                whose = np.frombuffer(kinds.as_py(), np.int32)[owner[order]]
                 owners = [np.unique(whose[a:b], return_inverse=True) for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -158,48 +239,40 @@ def _shared(group: pa.Table) -> pa.Table:
     )
 
 
-def _segment_blobs(shards: int, homes: int):
+def _shared_segments(shards: int, homes: int):
+    """A row for every different segment of a piece that other texts may have, with the places and ids it has there."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, ids, firsts, offsets, raw, replies in zip(*(batch.column(i) for i in range(6))):
-                offsets, data = np.frombuffer(offsets.as_py(), np.int64), _bytes(raw)
-                ids = np.array([LAST_ID if i is None else i for i in ids.as_py()], np.int64)
-                lead = np.array([LAST_ID if i is None else i for i in firsts.as_py()], np.int64) == ids
-                first, last, hashes, owner = segments(data, offsets)
-                shard = (hashes >> np.uint64(40)) % np.uint64(shards)
-                order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+            for chunk, ids, kinds, firsts, offsets, raws, replies in zip(*(batch.column(i) for i in range(7))):
+                ids, kinds = _ids(ids), np.frombuffer(kinds.as_py(), np.int32)
+                lead = _ids(firsts)[kinds] == ids
+                first, last, hashes, owner, at = _chunk_segments(offsets, raws)
+                order, used, starts = _by_shard(hashes, shards)
                 flags = np.zeros(len(first), bool)
-                used, starts = np.unique(shard[order], return_index=True)
-                cuts = dict(zip(used.tolist(), zip(starts.tolist(), np.append(starts[1:], len(order)).tolist())))
+                cuts = dict(zip(used.tolist(), zip(starts[:-1].tolist(), starts[1:].tolist())))
                 for reply in replies.as_py():
                     a, b = cuts[reply["shard"]]
                     flags[order[a:b]] = np.unpackbits(np.frombuffer(reply["flags"], np.uint8), count=b - a).astype(bool)
-                pick = np.flatnonzero(flags & lead[owner])
-                home = (hashes[pick] >> np.uint64(20)) % np.uint64(homes)
-                order = np.argsort(home, kind="stable")
-                pick, home = pick[order], home[order]
-                used, starts = np.unique(home, return_index=True)
-                # equal segments of a chunk travel once, with their smallest id; where they stood goes with them
-                begin, lengths, whose = first[pick], last[pick] - first[pick] + SPAN, ids[owner[pick]]
-                sample, kind = distinct_ranges(data, begin, lengths)
-                least = np.full(len(sample), LAST_ID, np.int64)
-                np.minimum.at(least, kind, whose)
-                rows = []
-                for a, b in zip(starts, np.append(starts[1:], len(pick))):
-                    # equal segments have one home, so the numbers of this home's contents are its own
-                    own, place = np.unique(kind[a:b], return_inverse=True)
-                    flat = data[_ranges_of(begin[sample[own]], lengths[sample[own]])]
-                    columns = (flat, lengths[sample[own]].astype(np.int32), least[own], place.astype(np.int32), begin[a:b], whose[a:b])
-                    rows.append([c.tobytes() for c in columns])
-                names = ["bytes", "lengths", "least", "kinds", "starts", "ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(used.astype(np.int64)),
-                        pa.array([chunk.as_py()] * len(used), pa.int64()),
-                        *[pa.array([r[k] for r in rows], pa.binary()) for k in range(len(names))],
-                    ],
-                    ["home", "chunk", *names],
-                )
+                flags &= lead[owner]
+                for a, b, (_, base, _, data) in zip(at[:-1], at[1:], _pieces(offsets, raws)):
+                    pick = a + np.flatnonzero(flags[a:b])
+                    if not len(pick):
+                        continue
+                    begin = first[pick].astype(np.int64)
+                    lengths, whose = last[pick] - begin + SPAN, ids[owner[pick]]
+                    sample, kind = distinct_ranges(data, begin, lengths)
+                    order = np.argsort(kind, kind="stable")
+                    places = np.stack([begin[order] + base, whose[order]], axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(((hashes[pick[sample]] >> np.uint64(20)) % np.uint64(homes)).astype(np.int64)),
+                            pa.array(np.full(len(sample), chunk.as_py())),
+                            _binary(data[_ranges_of(begin[sample], lengths[sample])], lengths[sample]),
+                            _binary(places, np.bincount(kind) * 16),
+                        ],
+                        ["home", "chunk", "bytes", "places"],
+                    )
 
     return work
 
@@ -258,74 +331,87 @@ def smallest_owner(raw: np.ndarray, lengths: np.ndarray, ids: np.ndarray, span:
 
 def _sorted_shard(group: pa.Table) -> pa.Table:
     """Ranges to remove in each chunk, from the suffix array over the shard's distinct segments."""
-
-    def joined(name: str, kind: type) -> np.ndarray:
-        return np.concatenate([np.frombuffer(x.as_py(), kind) for x in group.column(name)])
-
-    raw, lengths, ids = joined("bytes", np.uint8), joined("lengths", np.int32).astype(np.int64), joined("least", np.int64)
+    raw, lengths = _whole(group.column("bytes"))
+    places, counts = _whole(group.column("places"))
+    starts, ids = places.view(np.int64).reshape(-1, 2).T
+    counts = counts // 16
     begin = np.cumsum(lengths) - lengths
     sample, kind = distinct_ranges(raw, begin, lengths)
     least = np.full(len(sample), LAST_ID, np.int64)
-    np.minimum.at(least, kind, ids)
+    own = np.repeat(kind, counts)
+    np.minimum.at(least, own, ids)
     size = lengths[sample]
     owners = smallest_owner(raw[_ranges_of(begin[sample], size)], size, least)
     strings = size - SPAN + 1
     first = np.cumsum(strings) - strings
-    lows, highs, at = [], [], 0
-    for n, kinds, starts, whose in zip(*(group.column(c) for c in ("lengths", "kinds", "starts", "ids"))):
-        # a string goes if its smallest id is below the id of the document it stands in
-        own = kind[at + np.frombuffer(kinds.as_py(), np.int32)]
-        at += len(n.as_py()) // 4
-        starts, whose = np.frombuffer(starts.as_py(), np.int64), np.frombuffer(whose.as_py(), np.int64)
-        count = strings[own]
-        total = np.cumsum(count)
-        gone = owners[_ranges_of(first[own], count)] < np.repeat(whose, count)
+    # a string goes if its smallest id is below the id of the document it stands in
+    hit = np.flatnonzero(np.minimum.reduceat(owners, first)[own] < ids)
+    chunk = np.repeat(group.column("chunk").to_numpy(), counts)[hit]
+    own, starts, ids = own[hit], starts[hit], ids[hit]
+    total = np.cumsum(strings[own])
+    cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, total[-1] if len(total) else 0, STRINGS)), len(total)))
+    lows, highs, chunks = [], [], []
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        count = strings[own[i:j]]
+        ends = np.cumsum(count)
+        gone = owners[_ranges_of(first[own[i:j]], count)] < np.repeat(ids[i:j], count)
         edge = np.zeros(len(gone) + 1, bool)
-        edge[np.append(total - count, total[-1])] = True
+        edge[np.append(ends - count, ends[-1])] = True
         a = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
         b = np.flatnonzero(gone & (edge[1:] | ~np.concatenate([gone[1:], [False]])))
-        which = np.searchsorted(total, a, side="right")
-        shift = starts[which] - (total - count)[which]
-        lows.append((a + shift).tobytes())
-        highs.append((b + shift + SPAN).tobytes())
-    return pa.table({"chunk": group.column("chunk"), "low": pa.array(lows, pa.binary()), "high": pa.array(highs, pa.binary())})
+        which = np.searchsorted(ends, a, side="right")
+        shift = starts[i:j][which] - (ends - count)[which]
+        lows.append(a + shift)
+        highs.append(b + shift + SPAN)
+        chunks.append(chunk[i:j][which])
+    none = [np.zeros(0, np.int64)]
+    return pa.table({name: np.concatenate(none + found) for name, found in (("chunk", chunks), ("low", lows), ("high", highs))})
 
 
 def _cleaned(keep_text: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, firsts, offsets, raw, replies, *beside in zip(*batch.columns):
-                offsets, data, ids, firsts = np.frombuffer(offsets.as_py(), np.int64), _bytes(raw), ids.as_py(), firsts.as_py()
-                cover = np.zeros(len(data) + 1, np.int32)
-                for reply in replies.as_py() or []:
-                    np.add.at(cover, np.frombuffer(reply["low"], np.int64), 1)
-                    np.add.at(cover, np.frombuffer(reply["high"], np.int64), -1)
-                gone = np.cumsum(cover[:-1]) > 0
-                for a, b, own, lead in zip(offsets[:-1], offsets[1:], ids, firsts):
-                    if (LAST_ID if own is None else own) != lead and b - a >= SPAN:
-                        gone[a:b] = True
-                begins = gone & np.concatenate([[True], ~gone[:-1]]) if len(gone) else gone
-                begins[offsets[:-1][offsets[:-1] < len(gone)]] |= gone[offsets[:-1][offsets[:-1] < len(gone)]]
-                removed = np.concatenate([[0], np.cumsum(gone)])
-                spans = np.concatenate([[0], np.cumsum(begins)])
-                left = data[~gone].tobytes()
-                at = offsets - removed[offsets]
-                texts = [left[a:b] for a, b in zip(at[:-1], at[1:])]
-                columns = [
-                    pa.array(ids, pa.int64()),
-                    pa.array(np.diff(offsets), pa.int64()),
-                    pa.array(np.diff(removed[offsets]), pa.int64()),
-                    pa.array(np.diff(spans[offsets]), pa.int64()),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                ]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                if keep_text:
-                    # a cut may fall inside a character; what is left of it goes as well
-                    columns.append(pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()))
-                    names.append("kept_text")
-                columns += [c.values for c in beside]
-                names += batch.schema.names[5:]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for row in zip(*batch.columns):
+                yield from cleaned(row, batch.schema.names[6:])
+
+    def cleaned(row: tuple, more: list[str]) -> Iterator[pa.RecordBatch]:
+        all_ids, kinds, firsts, all_offsets, raws, replies, *beside = row
+        ids, kinds = _ids(all_ids), np.frombuffer(kinds.as_py(), np.int32)
+        copy = _ids(firsts)[kinds] != ids
+        low = high = np.zeros(0, np.int64)
+        if replies.is_valid:
+            low, high = (replies.values.field(k).to_numpy() for k in (0, 1))
+            order = np.argsort(low)
+            low, high = low[order], high[order]
+        for text, base, offsets, data in _pieces(all_offsets, raws):
+            cover = np.zeros(len(data) + 1, np.int32)
+            own = slice(*np.searchsorted(low, [base, base + len(data)]))
+            np.add.at(cover, low[own] - base, 1)
+            np.add.at(cover, high[own] - base, -1)
+            gone = np.cumsum(cover[:-1]) > 0
+            n = len(offsets) - 1
+            for k in np.flatnonzero(copy[text : text + n] & (np.diff(offsets) >= SPAN)):
+                gone[offsets[k] : offsets[k + 1]] = True
+            begins = gone & np.concatenate([[True], ~gone[:-1]]) if len(gone) else gone
+            begins[offsets[:-1][offsets[:-1] < len(gone)]] |= gone[offsets[:-1][offsets[:-1] < len(gone)]]
+            removed = np.concatenate([[0], np.cumsum(gone)])
+            spans = np.concatenate([[0], np.cumsum(begins)])
+            left = data[~gone].tobytes()
+            at = offsets - removed[offsets]
+            texts = [left[a:b] for a, b in zip(at[:-1], at[1:])]
+            columns = [
+                all_ids.values.slice(text, n),
+                pa.array(np.diff(offsets), pa.int64()),
+                pa.array(np.diff(removed[offsets]), pa.int64()),
+                pa.array(np.diff(spans[offsets]), pa.int64()),
+                pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+            ]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if keep_text:
+                # a cut may fall inside a character; what is left of it goes as well
+                columns.append(pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()))
+                names.append("kept_text")
+            yield pa.RecordBatch.from_arrays(columns + [c.values.slice(text, n) for c in beside], names + more)
 
     return work
 
@@ -343,35 +429,34 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, beside: Column | N
     more = [] if beside is None else [beside.alias("beside")]
     rows = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *more)
     kind = rows.schema["beside"].dataType.simpleString() if more else ""
-    chunks = materialise(rows.mapInArrow(_stored, CHUNK_SCHEMA + (f", beside array<{kind}>" if more else "")), "texts")
-    # the smallest id of every distinct text, in the order of each chunk's documents
-    flat = chunks.select("chunk", F.posexplode(F.arrays_zip("doc_ids", "digests")).alias("place", "d"))
-    flat = flat.select("chunk", "place", F.col("d.doc_ids").alias("doc_id"), F.col("d.digests").alias("digest"))
-    least = flat.groupBy("digest").agg(F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("first"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    shards, limit = dealt(size, parts)
+    chunks = materialise(rows.mapInArrow(_stored(limit), CHUNK_SCHEMA + (f", beside array<{kind}>" if more else "")), "texts")
+    # the smallest id of every distinct text, in the order of each chunk's distinct texts
+    flat = chunks.select("chunk", F.posexplode(F.arrays_zip("leasts", "digests")).alias("place", "d"))
+    flat = flat.select("chunk", "place", F.col("d.leasts").alias("least"), F.col("d.digests").alias("digest"))
+    least = flat.groupBy("digest").agg(F.min("least").alias("first"))
     firsts = (
         flat.join(least, "digest")
         .groupBy("chunk")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "first"))), lambda x: x["first"]).alias("firsts"))
     )
-    size = chunks.agg(F.coalesce(F.sum(F.expr("length(offsets)")), F.lit(0)).alias("n"), F.coalesce(F.sum(F.expr("length(bytes)")), F.lit(0)).alias("b")).first()
-    shards = max(parts, -(-size.b // SHARD_ENTRIES))
-    sent = chunks.select("chunk", "digests", "offsets", "bytes").mapInArrow(
+    sent = chunks.select("chunk", "kinds", "digests", "offsets", "bytes").mapInArrow(
         _hash_blobs(shards), "shard bigint, chunk bigint, hashes binary, nodes binary, owners binary"
     )
     flags = materialise(sent.groupBy("shard").applyInArrow(_shared, "chunk bigint, shard bigint, n bigint, flags binary"), "flags")
     shared = flags.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     homes = max(parts, -(-shared * 2 * SPAN // SHARD_BYTES))
     replies = flags.groupBy("chunk").agg(F.collect_list(F.struct("shard", "flags")).alias("replies"))
-    known = chunks.join(firsts, "chunk")
-    asked = chunks.drop("beside").join(firsts, "chunk").join(replies, "chunk").select("chunk", "doc_ids", "firsts", "offsets", "bytes", "replies")
-    blobs = asked.mapInArrow(
-        _segment_blobs(shards, homes),
-        "home bigint, chunk bigint, bytes binary, lengths binary, least binary, kinds binary, starts binary, ids binary",
+    known = chunks.drop("digests", "leasts").join(firsts, "chunk")
+    asked = chunks.drop("beside").join(firsts, "chunk").join(replies, "chunk")
+    found = asked.select("chunk", "doc_ids", "kinds", "firsts", "offsets", "bytes", "replies").mapInArrow(
+        _shared_segments(shards, homes), "home bigint, chunk bigint, bytes binary, places binary"
     )
-    ranges = blobs.groupBy("home").applyInArrow(_sorted_shard, "chunk bigint, low binary, high binary")
+    ranges = found.groupBy("home").applyInArrow(_sorted_shard, "chunk bigint, low bigint, high bigint")
     ranges = materialise(ranges, "ranges").groupBy("chunk").agg(F.collect_list(F.struct("low", "high")).alias("replies"))
     whole = known.join(ranges, "chunk", "left").select(
-        "doc_ids", "firsts", "offsets", "bytes", "replies", *(["beside"] if more else [])
+        "doc_ids", "kinds", "firsts", "offsets", "bytes", "replies", *(["beside"] if more else [])
     )
     text = (", kept_text string" if keep_text else "") + (f", beside {kind}" if more else "")
     return whole.mapInArrow(

@@ -4,6 +4,7 @@ import pytest
 from conftest import frame, odd
 from pyspark.sql import functions as F
 
+from reviewloom.llm import repeats
 from reviewloom.llm.repeats import without_repeats
 from reviewloom.llm.suffixes import doubled, permuted_prefixes, suffix_array
 
@@ -58,3 +59,25 @@ def test_text_and_other_columns_go_on(spark):
 
 def test_empty(spark):
     assert without_repeats(frame(spark, [])).count() == 0
+
+
+def test_rows_between_chunks_and_shards_grow_with_the_text():
+    def rows(size):
+        shards, limit = repeats.dealt(size, 32)
+        return shards * -(-size // limit)
+
+    for gigabytes in (1, 5, 25):
+        assert rows(gigabytes << 30) <= 1.1 * gigabytes * rows(1 << 30)
+    assert repeats.dealt(200 << 30, 32)[1] == repeats.MOST_CHUNK
+
+
+def test_copies_in_a_chunk_are_named_once(spark):
+    docs = frame(spark, [(i, "the same text in many documents, long enough to go") for i in range(50)]).coalesce(1)
+    chunks = docs.mapInArrow(repeats._stored(1 << 20), repeats.CHUNK_SCHEMA).collect()
+    assert [(len(c.doc_ids), len(c.digests), c.leasts) for c in chunks] == [(50, 1, [0])]
+
+
+def test_many_chunks_pieces_and_shards(spark, documents, monkeypatch):
+    for name, value in (("PIECE", 1 << 12), ("SHARD_TEXT", 1 << 16), ("ROW_TEXT", 1 << 8), ("SHARD_BYTES", 1 << 14)):
+        monkeypatch.setattr(repeats, name, value)
+    assert as_rows(without_repeats(odd(spark, documents).coalesce(2))) == sorted(brute.remove_repeats(documents), key=str)
