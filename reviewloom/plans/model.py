@@ -83,6 +83,19 @@ class ReviewModel:
         group = F.struct(*[F.col(s).alias(c) for c, s in source.items()])
         return rows.groupBy("review_id").agg(F.collect_set(group).alias(f"_{bridge}")), f"_{bridge}"
 
+    def label_sets(self, bridges: tuple[str, ...], by: list[str]) -> DataFrame:
+        """One row per review that every named bridge holds, with the set of its labels of each bridge in ``by``.
+
+        The set of a bridge is in the column ``_<bridge>``; ``by`` may name columns of bridges and of reviews.
+        """
+        plain = [c for c in by if OWNERS[c][0] not in BRIDGES]
+        bare = tuple(b for b in bridges if b not in {OWNERS[c][0] for c in by})
+        rows = self.scoped(bare, plain)
+        for name in dict.fromkeys(OWNERS[c][0] for c in by if c not in plain):
+            members = F.struct(*[F.col(OWNERS[c][1]).alias(c) for c in by if OWNERS[c][0] == name])
+            rows = rows.join(self.bridge(name).groupBy("review_id").agg(F.collect_set(members).alias(f"_{name}")), "review_id")
+        return rows
+
     def hot(self, key: str) -> list:
         """Products or reviews with a large part of all links, looked up once per model."""
         if key not in self._hot:
