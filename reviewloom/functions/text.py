@@ -26,16 +26,26 @@ PRODUCT_IN_NAME = "\\(([^)]*)\\)"
 BLANKS = "(?U)[\\s\\x1C-\\x1F]+"
 
 
+def only_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def clean_text(text: Column) -> Column:
-    """Strip tags, decode entities in order, straighten quotes, collapse blanks. NULL gives ''."""
-    untagged = F.regexp_replace(F.coalesce(text, F.lit("")), "<[^>]*>", " ")
+    """Strip tags, decode entities in order, straighten quotes, collapse blanks. NULL gives ''.
+
+    A text of ASCII characters without tags and entities has at most back quotes to straighten.
+    """
+    raw = F.coalesce(text, F.lit(""))
+    untagged = F.regexp_replace(raw, "<[^>]*>", " ")
     decoded = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, untagged)
     folded = F.translate(
         decoded,
         SINGLE_QUOTES + DOUBLE_QUOTES,
         "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES),
     )
-    return F.trim(F.regexp_replace(folded, BLANKS, " "))
+    simple = only_ascii(raw) & ~F.contains(raw, F.lit("<")) & ~F.contains(raw, F.lit("&"))
+    straight = F.when(simple, F.replace(raw, F.lit("`"), F.lit("'"))).otherwise(folded)
+    return F.trim(F.regexp_replace(straight, BLANKS, " "))
 
 
 def review_id(url: Column) -> Column:
