@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import BROADCAST_IDS, batch_chunks, components, materialise, narrowed, one_worker_each, semi, small_batches
+from reviewloom.llm.common import BROADCAST_IDS, batch_chunks, broadcast_if_small, components, materialise, narrowed, one_worker_each, semi, small_batches
 from reviewloom.llm.words import counted, mix, text_shingles
 from reviewloom.session import has_at_most
 
@@ -186,7 +186,7 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     Texts are dealt into blocks of some ``BLOCK_BYTES`` by their digests, and pairs meet by their two blocks. A text
     travels once to every block pair that needs it, not once for each of its pairs, and is cut into shingles there.
     """
-    needed = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "needed")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     # one text for each node: copies have equal texts, so any will do
     own = materialise(semi(texts, needed, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
     n_blocks = max(1, -(-(own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
@@ -336,90 +336,79 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         "signed",
     )
     light = ["weight", *SKETCH]
-    nodes = materialise(signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*light, "marks", "bands", "keys")]), "nodes")
+    one = [F.first(c).alias(c) for c in (*light, "marks", "bands", "keys")]
+    nodes = materialise(signed.groupBy("node").agg(F.min("doc_id").alias("first"), *one), "nodes")
     texts = rows_in.select(
         F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
 
-    def in_buckets(keys: Column) -> DataFrame:
-        """(key, node, head) of the buckets with several nodes."""
-        hits = nodes.where(F.col("weight") > 0).select("node", F.explode(keys).alias("key"))
-        crowded = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where(F.col("n") > 1).drop("n")
-        return materialise(hits.join(crowded, "key"), "members")
-
-    def described(df: DataFrame, node: str, side: str) -> DataFrame:
-        """Adds weight and bits of a node's text under names that end in ``side``."""
-        return df.join(nodes.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}_{side}") for c in light]), node)
-
-    def alike() -> Column:
-        """Whether the texts of sides a and b can have the similarity."""
-        weights = F.least("weight_a", "weight_b") >= similarity * F.greatest("weight_a", "weight_b")
-        far = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH)
+    def alike(a: str, b: str) -> Column:
+        """Whether the texts described by the structs a and b can have the similarity."""
+        weights = F.least(f"{a}.weight", f"{b}.weight") >= similarity * F.greatest(f"{a}.weight", f"{b}.weight")
+        far = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SKETCH)
         return weights & (far <= far_bits)
 
     # the bound on bits is that of the standard similarity; below it bits rule nothing out
     far_bits = FAR_BITS if similarity >= SIMILARITY else SKETCH_BITS
     least_equal = LEAST_EQUAL if similarity >= SIMILARITY and bands * rows == BANDS * ROWS else 0
-    starred = in_buckets(F.slice("keys", 1, FIRST_BANDS)).where(F.col("node") != F.col("head"))
-    tried = materialise(starred.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    stars = materialise(described(described(tried, "a", "a"), "b", "b").where(alike()).select("a", "b"), "stars")
+    some = nodes.where(F.col("weight") > 0)
+    # what is compared travels with the keys, so no pair has to fetch it
+    hits = some.select(F.struct("node", *light).alias("own"), F.explode(F.slice("keys", 1, FIRST_BANDS)).alias("key"))
+    crowded = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("head")).where(F.col("n") > 1)
+    starred = hits.join(crowded, "key").where((F.col("own.node") != F.col("head.node")) & alike("head", "own"))
+    stars = materialise(starred.select(F.col("head.node").alias("a"), F.col("own.node").alias("b")).distinct(), "stars")
     links = _links(stars, texts, similarity)
     roots = components(links)
-    members = in_buckets(F.col("keys"))
-
-    def labelled(known: DataFrame) -> DataFrame:
-        return members.select("key", "node").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def open_buckets(rows_of: DataFrame) -> DataFrame:
-        """Members of the buckets that still hold more than one class."""
-        spread = rows_of.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
-        return rows_of.join(spread.select("key"), "key", "left_semi")
+    # members of the buckets that hold more than one class; a node without a class of its own is its class
+    n_rows = F.count(F.lit(1))
+    hits = some.join(broadcast_if_small(roots), "node", "left").select("node", F.nullif("root", "node").alias("root"), F.explode("keys").alias("key"))
+    root = F.coalesce("root", "node")
+    spread = hits.groupBy("key").agg(F.min(root).alias("x"), F.max(root).alias("y"), F.ceil(n_rows / block_rows).cast("int").alias("parts"))
+    rest = hits.join(spread.where(F.col("x") != F.col("y")).select("key", "parts"), "key")
+    rest = materialise(rest.select("key", root.alias("root"), "node", "parts"), "open")
 
     tasks = one_worker_each(docs.sparkSession)
     traits = ["weight", *SKETCH, "marks", "bands"]
 
-    def met(rest: DataFrame, wide: DataFrame, known: DataFrame) -> DataFrame:
-        """Rows (key, root, node) with what is known of their nodes, sorted by bucket; ``wide`` ones in parts that meet."""
-        wide = materialise(wide.where(F.col("parts") > 1), "wide")
-        dealt = rest.select("key", "root", "node", F.col("key").alias("bucket"), F.lit(0).alias("side"))
+    def met(rest: DataFrame, known: DataFrame) -> DataFrame:
+        """Rows (key, root, node) with what is known of their nodes, sorted by bucket; wide ones in ``parts`` that meet."""
+        dealt = rest.where(F.col("parts") == 1).select("key", "root", "node", F.col("key").alias("bucket"), F.lit(0).alias("side"))
+        wide = rest.where(F.col("parts") > 1)
         if not wide.isEmpty():
-            split = rest.join(wide, "key").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            split = wide.withColumn("_part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             split = split.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
             side = F.when(low == high, 0).otherwise(F.when(F.col("_part") == low, 1).otherwise(2))
             split = split.select(F.xxhash64("key", low, high).alias("key"), "root", "node", F.col("key").alias("bucket"), side.alias("side"))
-            dealt = dealt.join(wide, "key", "left_anti").unionByName(split)
+            dealt = dealt.unionByName(split)
         columns = [c for c in known.columns if c != "node"]
         dealt = dealt.join(known, "node").select("key", "side", "root", "node", "bucket", *columns)
         return dealt.repartition(tasks, "key").sortWithinPartitions("key", "root")
 
     limits = (similarity, far_bits, least_equal)
-    rest = materialise(open_buckets(labelled(roots)).select("key", "root", "node"), "open")
-    n_rows = F.count(F.lit(1))
-    wide = rest.groupBy("key").agg(F.ceil(n_rows / block_rows).cast("int").alias("parts"))
-    every = met(rest, wide, nodes.select("node", *traits))
-    suspects = every.mapInArrow(_suspects(*limits), "key bigint, root binary, node binary, weight bigint").distinct()
-    suspects = materialise(suspects, "suspects")
+    suspects = met(rest, nodes.select("node", *traits)).mapInArrow(_suspects(*limits), "key bigint, root binary, node binary, weight bigint")
+    suspects = materialise(suspects.distinct(), "suspects")
     parts = F.ceil(F.greatest(n_rows / block_rows, F.sum("weight") / BLOCK_SHINGLES)).cast("int").alias("parts")
-    again = materialise(suspects.select("node").distinct(), "again")
+    again = suspects.select("node")
     # one text for each node: copies have equal texts, so any will do
     own = materialise(semi(texts, again, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
     known = semi(nodes.select("node", *traits), again, "node").join(own, "node")
-    joined = met(suspects, suspects.groupBy("key").agg(parts), known).mapInArrow(_joined(*limits), "a binary, b binary")
+    dealt = materialise(suspects.join(suspects.groupBy("key").agg(parts), "key"), "dealt")
+    joined = met(dealt, known).mapInArrow(_joined(*limits), "a binary, b binary")
     more = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     every_link = materialise(links.select("a", "b").unionByName(more), "every_link")
     roots = components(every_link)
 
-    ends = every_link.select(F.col("a").alias("node")).union(every_link.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    by_node = nodes.select("node", "weight").join(roots, "node", "left").join(degree, "node", "left")
-    by_node = by_node.select("node", "weight", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    first = signed.groupBy("node").agg(F.min("doc_id").alias("first"))
-    named = materialise(by_node.join(first, "node"), "named")
-    heads = named.groupBy("root").agg(F.min("first").alias("class_id"))
-    of_node = materialise(named.join(heads, "root").select("node", "weight", "class_id", "n_links"), "of_node")
+    # nodes without links are classes of their own and take no part in what follows
+    degree = every_link.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(n_rows.alias("n_links"))
+    linked = materialise(nodes.select("node", "first").join(broadcast_if_small(roots), "node"), "linked")
+    heads = linked.groupBy("root").agg(F.min("first").alias("class_id"))
+    of_linked = materialise(linked.join(heads, "root").join(degree, "node").select("node", "class_id", "n_links"), "of_linked")
+    of_node = nodes.select("node", "first").join(broadcast_if_small(of_linked), "node", "left")
+    of_node = of_node.select("node", F.coalesce("class_id", "first").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return (
-        signed.select("doc_id", "node")
+        signed.select("doc_id", "node", "weight")
         .join(of_node, "node")
         .select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), "weight", "n_links", F.col("node").alias("digest"))
     )

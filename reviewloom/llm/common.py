@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.session import has_at_most, materialise
+from reviewloom.session import BROADCAST_ROWS, broadcast_if_small, has_at_most, materialise
 
 # Ids that may be broadcast: 16-byte digests, about 50 MB with the hash table around them.
 BROADCAST_IDS = 300_000
@@ -18,7 +18,7 @@ BROADCAST_IDS = 300_000
 # Bytes of text that numpy works on at once inside a task; a longer text is one piece of its own.
 CHUNK_BYTES = 1 << 19
 
-__all__ = ["batch_chunks", "components", "fold", "materialise", "narrowed", "one_worker_each", "read", "semi", "small_batches", "text_array"]
+__all__ = ["batch_chunks", "broadcast_if_small", "components", "fold", "materialise", "narrowed", "one_worker_each", "read", "semi", "small_batches", "text_array"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,29 +94,25 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 
     ``links`` has the columns a and b. Large-star and small-star rounds: each stores its links in the shared
     folder, so a lost executor costs one round, and the number of rounds grows with the logarithm of the
-    longest chain. A hub is met by an aggregate and a join that adaptive execution can split.
+    longest chain. They end when every node is the smallest of its neighbours or has one neighbour, a smaller one,
+    and that is seen from the aggregate a round begins with. A hub is met by an aggregate and a join that adaptive
+    execution can split; the smallest neighbours of few nodes are broadcast, so that links stay where they are.
     """
-    spark = links.sparkSession
     smaller, larger = F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")
-    edges = materialise(links.where(F.col("a") != F.col("b")).select(larger, smaller).distinct(), label)
-    before = None
+    edges = materialise(links.where(F.col("a") != F.col("b")).select(larger, smaller), label)
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(low, "u")
-        small = (
-            pairs.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .where(F.col("u") != F.col("v"))
-            .distinct()
-        )
-        edges = materialise(small, label)
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return materialise(roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct(), label)
+        ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(ways).alias("way")).select("way.u", "way.v")
+        below, above = F.max(F.when(F.col("v") < F.col("u"), F.col("v"))).alias("below"), F.max(F.col("v") > F.col("u")).alias("above")
+        low = materialise(both.groupBy("u").agg(F.min("v").alias("m"), below, above), label)
+        at_rest = F.col("below").isNull() | ((F.col("below") == F.col("m")) & ~F.col("above"))
+        n_nodes, moving = low.agg(F.count(F.lit(1)), F.count_if(~at_rest)).first()
+        low = low.select("u", F.least("m", "u").alias("m"))
+        if not moving:
+            return low.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        few = F.broadcast if n_nodes <= BROADCAST_ROWS else lambda df: df
+        large = edges.join(few(low.withColumnRenamed("u", "v")), "v").select("u", F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        ways = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        small = large.join(few(least), "u").select(F.explode(ways).alias("way")).select("way.u", "way.v")
+        edges = materialise(small.where(F.col("u") != F.col("v")).distinct(), label)

@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     small_batches(docs.sparkSession)
     signed = materialise(fingerprints(docs), "fingerprints")
     nodes = materialise(signed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(materialise(links(nodes.select("fp"), bucket), "links"))
+    roots = components(links(nodes.select("fp"), bucket).distinct())
     named = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_node = materialise(named.join(heads, "root").select("fp", "component_id"), "of-fingerprint")

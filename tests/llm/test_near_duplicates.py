@@ -3,7 +3,7 @@ import numpy as np
 from conftest import frame, odd
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bagminhash
+from reviewloom.llm import bagminhash, common
 from reviewloom.llm.bagminhash import FAR_BITS, bag_signatures, deduplicated, near_duplicates, sketch_words, weighted_jaccard
 from reviewloom.llm.common import components, materialise
 
@@ -69,6 +69,23 @@ def test_components_of_chains_stars_and_rings(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200, 202: 200}
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    # links whose nodes hang on the smallest one already, some of them twice, are seen to be at rest by one aggregate
+    links = [(100, i) for i in range(101, 140)] + [(139, 100), (7, 9)]
+    stored = []
+    monkeypatch.setattr(common, "materialise", lambda df, label: stored.append(label) or materialise(df, label))
+    got = {r.node: r.root for r in components(frame(spark, links, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 100 for i in range(100, 140)}, 7: 7, 9: 7}
+    assert len(stored) <= 2
+
+
+def test_components_without_broadcast(spark, monkeypatch):
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(i, 100) for i in range(150, 160)]
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0, raising=False)
+    got = {r.node: r.root for r in components(frame(spark, links, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in [*range(100, 140), *range(150, 160)]}}
+
+
 def test_kept_is_one_of_each_class(spark, documents):
     kept = near_duplicates(frame(spark, documents)).where(F.col("kept"))
     assert kept.count() == kept.select("class_id").distinct().count() == len(set(brute.near_classes(documents).values()))
