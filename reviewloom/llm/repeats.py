@@ -284,17 +284,15 @@ def _ranges_of(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def distinct_ranges(data: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One index for every distinct content among ranges of bytes, and the content's number for each range.
+    """One index for every distinct content among ranges of bytes in order, and the content's number for each range.
 
-    Contents are told apart by length and two 64-bit hashes.
+    Contents are told apart by length and two 64-bit hashes. Ranges are hashed some ``PIECE`` bytes at a time, so that
+    many copies of a passage cost their bytes and no tables over all of them.
     """
-    up, down = power_tables(len(data) + 1)
     end = begin + lengths
-    total = np.zeros(len(data) + 1, np.uint64)
-    keys = []
-    for twist in (1, 131):
-        np.cumsum(mix(data.astype(np.uint64) + np.uint64(twist)) * up[: len(data)], out=total[1:])
-        keys.append(mix((total[end] - total[begin]) * down[begin] + lengths.astype(np.uint64)))
+    cuts = np.unique(np.append(np.searchsorted(end, np.arange(0, end[-1] if len(end) else 0, PIECE)), len(end)))
+    parts = [_range_keys(data[begin[i] : end[j - 1]], begin[i:j] - begin[i], lengths[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
+    keys = np.concatenate([np.zeros((2, 0), np.uint64), *parts], axis=1)
     order = np.lexsort((keys[1], keys[0]))
     new = np.ones(len(order), bool)
     new[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
@@ -303,6 +301,17 @@ def distinct_ranges(data: np.ndarray, begin: np.ndarray, lengths: np.ndarray) ->
     return order[new], kind
 
 
+def _range_keys(data: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Two hashes of each range, which do not depend on its place."""
+    up, down = power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    keys = []
+    for twist in (1, 131):
+        np.cumsum(mix(data.astype(np.uint64) + np.uint64(twist)) * up[: len(data)], out=total[1:])
+        keys.append(mix((total[begin + lengths] - total[begin]) * down[begin] + lengths.astype(np.uint64)))
+    return np.stack(keys)
+
+
 def smallest_owner(raw: np.ndarray, lengths: np.ndarray, ids: np.ndarray, span: int = SPAN) -> np.ndarray:
     """For every string of ``span`` bytes inside the segments, in order, the smallest id of a segment with it."""
     ends = np.cumsum(lengths)

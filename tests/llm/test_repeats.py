@@ -1,3 +1,5 @@
+import tracemalloc
+
 import brute
 import numpy as np
 import pytest
@@ -81,3 +83,21 @@ def test_many_chunks_pieces_and_shards(spark, documents, monkeypatch):
     for name, value in (("PIECE", 1 << 12), ("SHARD_TEXT", 1 << 16), ("ROW_TEXT", 1 << 8), ("SHARD_BYTES", 1 << 14)):
         monkeypatch.setattr(repeats, name, value)
     assert as_rows(without_repeats(odd(spark, documents).coalesce(2))) == sorted(brute.remove_repeats(documents), key=str)
+
+
+def test_copies_in_a_shard_cost_no_tables_over_all_of_them():
+    # a passage that many pieces have: rows grow, distinct segments do not
+    rng = np.random.default_rng(4)
+    words, pick = rng.integers(97, 123, (300, 70)).astype(np.uint8), rng.integers(0, 300, 60_000)
+    lengths = rng.integers(50, 71, 300)[pick]
+    raw = np.concatenate([words[k, :n] for k, n in zip(pick, lengths)])
+    begin = np.cumsum(lengths) - lengths
+    tracemalloc.start()
+    sample, kind = repeats.distinct_ranges(raw, begin, lengths)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    number: dict[bytes, int] = {}
+    want = [number.setdefault(raw[b : b + n].tobytes(), len(number)) for b, n in zip(begin, lengths)]
+    assert len(sample) == len(number) == len(set(zip(kind.tolist(), want)))
+    assert all(kind[s] == k for k, s in enumerate(sample))
+    assert peak < 10 * len(raw)
